@@ -65,14 +65,16 @@ def multi_flag_stats(df: DataFrame, entity: Sequence[str], target: str, flag: st
 
 def enrich_scores(
     scores: DataFrame,
-    bridge: DataFrame,
-    years: DataFrame,
+    bridge: DataFrame | None,
+    years: DataFrame | None,
     subject_map: Mapping[str, str],
+    attached: bool = False,
 ) -> DataFrame:
     """M7: (student, term, subject) grades with school, year and the
     multi-school flag (student in 2+ schools in the same year; NULL year is
-    its own group, as in a window partition)."""
-    ctx = attach_context(scores, bridge, years, subject_map)
+    its own group, as in a window partition).  With ``attached=True``,
+    ``scores`` is already the output of ``attach_context``."""
+    ctx = scores if attached else attach_context(scores, bridge, years, subject_map)
     stats = multi_flag_stats(ctx, ["student_id", "year"], "school_id", "multi_school")
     cond = (ctx["student_id"] == stats["student_id"]) & ctx["year"].eqNullSafe(stats["year"])
     out = ctx.join(stats, cond, "left").select(ctx["*"], stats["multi_school"])

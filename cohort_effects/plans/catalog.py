@@ -220,3 +220,167 @@ MART_D = "pct_multi_school, raw_effect, weight, adj_effect, std_err, ci_low, ci_
 @register("effect_mart", sql(["mart"], "SELECT * FROM mart", MART_D))
 def q_mart(spark, base):
     return normalize(layers(spark, base).mart)
+
+
+# --------------------------------------------------------------------------
+# Data quality (Q1-Q19)
+# --------------------------------------------------------------------------
+
+from cohort_effects.operators import quality as Qm  # noqa: E402
+from cohort_effects.plans import suite as SU  # noqa: E402
+
+_DQ_ALL = SU.ALL_SQL_TABLES
+
+
+def _dq_kind(*kinds):
+    checks = [c for c in SU.generic_checks(QP) if c.kind in kinds]
+
+    def spark_fn(spark, base):
+        L = layers(spark, base)
+        return Qm.check_counts(checks, SU.tables_of(L))
+
+    return spark_fn, sql(_DQ_ALL, SU.counts_sql(checks, QP))
+
+
+for _name, _kinds in [
+    ("dq_not_null", ("not_null",)),
+    ("dq_unique", ("unique",)),
+    ("dq_unique_combo", ("unique_combination",)),
+    ("dq_accepted_values", ("accepted_values",)),
+    ("dq_relationships", ("relationships",)),
+    ("dq_between", ("between",)),
+    ("dq_mean_stdev", ("mean_between", "stdev_between")),
+]:
+    _fn, _sql = _dq_kind(*_kinds)
+    register(_name, _sql)(_fn)
+
+
+@register(
+    "dq_zero_sum",
+    sql(["demeaned"], f"""SELECT count(*) AS n_groups,
+        count_if(abs(m) > {QP.zero_sum_tol!r}) AS failures
+        FROM (SELECT student_id, year, avg(grade_dm) AS m FROM demeaned GROUP BY student_id, year)"""),
+)
+def q_zero_sum(spark, base):
+    dm = layers(spark, base).demeaned
+    per = dm.groupBy("student_id", "year").agg(F.avg("grade_dm").alias("m"))
+    return per.agg(
+        F.count(F.lit(1)).alias("n_groups"),
+        F.count_if(F.abs("m") > F.lit(QP.zero_sum_tol)).alias("failures"),
+    )
+
+
+@register(
+    "dq_monotone_weight",
+    sql(["mart"], f"""SELECT count(*) AS n_rows,
+        count_if(prev IS NOT NULL AND weight < prev - {QP.monotone_tol!r}) AS failures
+        FROM (SELECT weight, lag(weight) OVER (PARTITION BY subject, year ORDER BY n_obs ASC, school_id ASC) AS prev
+              FROM mart)"""),
+)
+def q_monotone(spark, base):
+    m = layers(spark, base).mart
+    fails = Qm.monotone(m, ["subject", "year"], ["n_obs", "school_id"], "weight", QP.monotone_tol)
+    return m.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(
+        fails.agg(F.count(F.lit(1)).alias("failures"))
+    )
+
+
+@register(
+    "dq_row_conservation",
+    sql(["mart", "demeaned"], """SELECT coalesce(m.subject, i.subject) AS subject,
+        coalesce(m.year, i.year) AS year, m.n_obs_mart, i.n_obs_int,
+        coalesce(m.n_obs_mart, -1) != coalesce(i.n_obs_int, -1) AS mismatch
+        FROM (SELECT subject, year, CAST(sum(n_obs) AS BIGINT) AS n_obs_mart FROM mart GROUP BY subject, year) m
+        FULL OUTER JOIN (SELECT subject, year, count(*) AS n_obs_int FROM demeaned
+                         WHERE school_id IS NOT NULL GROUP BY subject, year) i
+        ON m.subject = i.subject AND m.year = i.year"""),
+)
+def q_row_conservation(spark, base):
+    L = layers(spark, base)
+    return Qm.row_conservation(L.mart, L.demeaned)
+
+
+@register(
+    "dq_term_gaps",
+    sql(["enriched"], """SELECT student_id, year, subject, count(DISTINCT term) AS n_terms, max(term) AS max_term
+        FROM enriched WHERE term IS NOT NULL GROUP BY student_id, year, subject
+        HAVING count(DISTINCT term) != max(term)"""),
+)
+def q_term_gaps(spark, base):
+    return Qm.term_gaps(layers(spark, base).enriched)
+
+
+@register(
+    "dq_class_one_year",
+    sql(["stg_classes"], """SELECT class_id, count(DISTINCT year) AS n_values FROM stg_classes
+        WHERE class_id IS NOT NULL AND year IS NOT NULL GROUP BY class_id HAVING count(DISTINCT year) > 1"""),
+)
+def q_class_one_year(spark, base):
+    return Qm.one_value_per_key(layers(spark, base).classes, "class_id", "year")
+
+
+@register(
+    "dq_orphan_share_scores",
+    sql(["enriched"], f"""SELECT n_orphans, n_total, pct_orphans, pct_orphans > {QP.max_orphan_share_scores!r} AS failed
+        FROM (SELECT count_if(school_id IS NULL) AS n_orphans, count(*) AS n_total,
+              CAST(count_if(school_id IS NULL) AS DOUBLE) / nullif(count(*), 0) AS pct_orphans FROM enriched)""",
+        "pct_orphans"),
+)
+def q_orphan_scores(spark, base):
+    st = Qm.orphan_share_rows(layers(spark, base).enriched, "school_id")
+    return normalize(st.withColumn("failed", F.col("pct_orphans") > F.lit(QP.max_orphan_share_scores)))
+
+
+@register(
+    "dq_orphan_share_classes",
+    sql(["stg_attendance"], f"""SELECT n_orphans, n_total, pct_orphans,
+        pct_orphans > {QP.max_orphan_share_classes!r} AS failed
+        FROM (SELECT count_if(has = 0) AS n_orphans, count(*) AS n_total,
+              CAST(count_if(has = 0) AS DOUBLE) / nullif(count(*), 0) AS pct_orphans
+              FROM (SELECT class_id, max(CASE WHEN school_id IS NOT NULL THEN 1 ELSE 0 END) AS has
+                    FROM stg_attendance WHERE class_id IS NOT NULL GROUP BY class_id))""",
+        "pct_orphans"),
+)
+def q_orphan_classes(spark, base):
+    st = Qm.orphan_share_groups(layers(spark, base).attendance, "class_id", "school_id")
+    return normalize(st.withColumn("failed", F.col("pct_orphans") > F.lit(QP.max_orphan_share_classes)))
+
+
+@register(
+    "mask_sensitive",
+    sql(["stg_students"], """SELECT sha256(student_id) AS student_id, CAST(NULL AS VARCHAR) AS age_band, district
+        FROM stg_students"""),
+)
+def q_mask(spark, base):
+    from cohort_effects.sources.schemas import DEMOGRAPHIC, DIRECT_ID, STUDENT_TAGS
+
+    st = Qm.tag_columns(layers(spark, base).students, STUDENT_TAGS)
+    return Qm.mask_sensitive(st, {DIRECT_ID: "hash", DEMOGRAPHIC: "null"})
+
+
+def _contract_sql():
+    from cohort_effects.sources.schemas import MART_SCHEMA
+
+    rows = " UNION ALL ".join(
+        f"SELECT '{f.name}' AS column_name, count_if({f.name} IS NULL) AS n_null FROM mart"
+        for f in MART_SCHEMA.fields
+    )
+    return sql(["mart"], rows)
+
+
+@register("mart_contract_nulls", _contract_sql())
+def q_contract(spark, base):
+    from cohort_effects.sources.schemas import MART_SCHEMA
+
+    m = Qm.enforce_contract(layers(spark, base).mart, MART_SCHEMA)
+    return Qm.null_counts(m)
+
+
+@register("dq_suite", sql(_DQ_ALL, SU.results_sql(SU.generic_checks(QP) + SU.singular_meta(QP), QP)))
+def q_suite(spark, base):
+    # 41 checks read the layers many times: run them on checkpointed layers
+    # (the project materialises its layers as tables too).
+    from cohort_effects.plans.pipeline import checkpointed
+
+    L = fixture_layers(spark, base, QP, materialize=checkpointed)
+    return Qm.run_checks(SU.suite(L, QP), SU.tables_of(L), QP.target)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,21 +33,39 @@ class Layers:
     mart: DataFrame
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``
+    (a shared folder on a cluster), so a lost executor never forces a
+    recompute from the sources."""
+    from cohort_effects.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def build_layers(
     raw_scores: DataFrame,
     raw_attendance: DataFrame,
     raw_classes: DataFrame,
     raw_students: DataFrame | None = None,
     params: Params = Params(),
+    materialize: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Layers:
-    scores = staging.clean_scores(raw_scores, measures=list(params.subject_map))
-    attendance = staging.clean_attendance(raw_attendance)
-    classes = staging.clean_classes(raw_classes)
-    students = staging.clean_students(raw_students) if raw_students is not None else None
-    bridge = enrich.class_school_bridge(attendance)
-    years = enrich.class_year(classes)
-    context = enrich.attach_context(scores, bridge, years, params.subject_map)
-    enriched = enrich.enrich_scores(scores, bridge, years, params.subject_map)
+    """All layers as lazy DataFrames.
+
+    ``materialize`` (e.g. ``checkpointed``) is applied to every layer that
+    later layers or checks read more than once, and the following layers are
+    built on the materialised result.
+    """
+    m = materialize or (lambda d: d)
+    scores = m(staging.clean_scores(raw_scores, measures=list(params.subject_map)))
+    attendance = m(staging.clean_attendance(raw_attendance))
+    classes = m(staging.clean_classes(raw_classes))
+    students = m(staging.clean_students(raw_students)) if raw_students is not None else None
+    bridge = m(enrich.class_school_bridge(attendance))
+    years = m(enrich.class_year(classes))
+    context = m(enrich.attach_context(scores, bridge, years, params.subject_map))
+    enriched = m(enrich.enrich_scores(context, None, None, params.subject_map, attached=True))
     # The flag and the demeaning statistics share one (student, year)
     # aggregate: for rows with a year both are over the same partition.
     demeaned = fx.demean(
@@ -58,20 +77,21 @@ def build_layers(
         "student_id", "class_id", "year", "term", "subject", "school_id",
         "grade", "student_mean", "grade_dm", "n_obs_student", "multi_school",
     )
-    moments = fx.group_moments(demeaned)
+    demeaned = m(demeaned)
+    moments = m(fx.group_moments(demeaned))
     effects = moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect")
-    variances = fx.variance_components(moments)
-    mart = fx.score_effects(moments, None, params)
+    variances = m(fx.variance_components(moments))
+    mart = m(fx.score_effects(moments, None, params))
     return Layers(students, scores, attendance, classes, bridge, years, context, enriched,
                   demeaned, moments, effects, variances, mart)
 
 
-def fixture_layers(spark: SparkSession, base: str, params: Params = Params()) -> Layers:
+def fixture_layers(spark: SparkSession, base: str, params: Params = Params(), materialize=None) -> Layers:
     """Layers over the driver tables through the fixture adapters."""
     li = read_table(spark, base, "lineitem")
     students = fixtures.raw_student(read_table(spark, base, "orders"), read_table(spark, base, "customer"))
     return build_layers(
-        fixtures.raw_score(li), fixtures.raw_attendance(li), fixtures.raw_class(li), students, params
+        fixtures.raw_score(li), fixtures.raw_attendance(li), fixtures.raw_class(li), students, params, materialize
     )
 
 
