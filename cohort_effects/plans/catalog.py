@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -279,10 +279,10 @@ def q_zero_sum(spark, base):
 )
 def q_monotone(spark, base):
     m = layers(spark, base).mart
-    fails = Qm.monotone(m, ["subject", "year"], ["n_obs", "school_id"], "weight", QP.monotone_tol)
-    return m.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(
-        fails.agg(F.count(F.lit(1)).alias("failures"))
-    )
+    w = Window.partitionBy("subject", "year").orderBy("n_obs", "school_id")
+    prev = F.lag("weight").over(w)
+    flagged = m.select((prev.isNotNull() & (F.col("weight") < prev - F.lit(QP.monotone_tol))).alias("bad"))
+    return flagged.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("bad").alias("failures"))
 
 
 @register(
@@ -384,3 +384,450 @@ def q_suite(spark, base):
 
     L = fixture_layers(spark, base, QP, materialize=checkpointed)
     return Qm.run_checks(SU.suite(L, QP), SU.tables_of(L), QP.target)
+
+
+# --------------------------------------------------------------------------
+# Profiling (E1-E12, A11-A15, T-2..T-5) and table metadata
+# --------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from cohort_effects.operators import profile as Pm  # noqa: E402
+from cohort_effects.plans import fixtures as FX  # noqa: E402
+from cohort_effects.sources import io as IO  # noqa: E402
+
+# A fixed "today" keeps rule and freshness reports repeatable.
+NOW = _dt.datetime(2024, 3, 1, 0, 0, 0)
+
+
+def _t(spark, base, name):
+    return IO.read_table(spark, base, name)
+
+
+_ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _profile_sql():
+    rows = []
+    for c in _ORDERS_COLS:
+        rows.append(
+            f"""SELECT 'orders' AS table_name, '{c}' AS column_name, count(*) AS n_rows,
+            CAST(count_if({c} IS NULL) AS DOUBLE) / count(*) AS pct_null,
+            count(DISTINCT {c}) AS nunique,
+            coalesce(CAST((SELECT max(n) FROM (SELECT count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY {c}))
+                     AS DOUBLE) / count(*), 0.0) AS pct_mode
+            FROM orders"""
+        )
+    return O.norm(" UNION ALL ".join(rows), ["pct_null", "pct_mode"])
+
+
+@register("column_profile", _profile_sql())
+def q_profile(spark, base):
+    return normalize(Pm.column_profile(_t(spark, base, "orders").select(*_ORDERS_COLS), "orders"))
+
+
+def _raw(spark, base):
+    li = _t(spark, base, "lineitem")
+    return {
+        "raw_score": FX.raw_score(li),
+        "raw_attendance": FX.raw_attendance(li),
+        "raw_class": FX.raw_class(li),
+        "raw_student": FX.raw_student(_t(spark, base, "orders"), _t(spark, base, "customer")),
+    }
+
+
+_GRAINS = [
+    ("lineitem (l_orderkey, l_linenumber)", "lineitem", ["l_orderkey", "l_linenumber"]),
+    ("orders (o_orderkey)", "orders", ["o_orderkey"]),
+    ("customer (c_custkey)", "customer", ["c_custkey"]),
+    ("raw_score (student_key, term)", "raw_score", ["student_key", "term"]),
+    ("raw_attendance (student_key, class_id, start, end, subject)", "raw_attendance",
+     ["student_key", "class_id", "start", "end", "subject"]),
+    ("raw_class (student_key, class_id, year)", "raw_class", ["student_key", "class_id", "year"]),
+]
+
+
+def _q(c):
+    return f'"{c}"'
+
+
+def _grain_sql():
+    parts = [
+        f"""SELECT '{label}' AS grain, CAST(sum(c) AS BIGINT) AS total, count(*) AS n_distinct,
+            CAST(sum(c) AS BIGINT) - count(*) AS duplicates
+            FROM (SELECT count(*) AS c FROM {t} GROUP BY {', '.join(_q(k) for k in keys)})"""
+        for label, t, keys in _GRAINS
+    ]
+    return O.with_ctes(["raw_score", "raw_attendance", "raw_class"], " UNION ALL ".join(parts))
+
+
+@register("grain_report", _grain_sql())
+def q_grain(spark, base):
+    tabs = {**_raw(spark, base), **{n: _t(spark, base, n) for n in ("lineitem", "orders", "customer")}}
+    return Pm.grain_report([(label, tabs[t], keys) for label, t, keys in _GRAINS])
+
+
+_FKS = [
+    ("documents", "doc_id", "labels", "doc_id"),
+    ("labels", "doc_id", "documents", "doc_id"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("stg_attendance", "class_id", "stg_classes", "class_id"),
+    ("stg_scores", "class_id", "stg_classes", "class_id"),
+]
+
+
+def _fk_sql():
+    parts = [
+        f"""SELECT '{c}' AS child, '{cc}' AS fk, '{p}' AS parent, count(*) AS n_child,
+            count_if(pk._m IS NULL) AS n_orphans,
+            CAST(count_if(pk._m IS NULL) AS DOUBLE) / nullif(count(*), 0) AS orphan_rate
+            FROM {c} ch LEFT JOIN (SELECT DISTINCT {pc} AS _pk, true AS _m FROM {p}) pk ON ch.{cc} = pk._pk"""
+        for c, cc, p, pc in _FKS
+    ]
+    return O.norm(O.with_ctes(["stg_attendance", "stg_classes", "stg_scores"], " UNION ALL ".join(parts)),
+                  ["orphan_rate"])
+
+
+@register("fk_match_report", _fk_sql())
+def q_fk(spark, base):
+    L = layers(spark, base)
+    stg = {"stg_attendance": L.attendance, "stg_classes": L.classes, "stg_scores": L.scores}
+
+    def tab(n):
+        return stg[n] if n in stg else _t(spark, base, n)
+
+    return normalize(Pm.fk_match_report([(c, tab(c), cc, p, tab(p), pc) for c, cc, p, pc in _FKS]))
+
+
+def _rules(p: Params = QP):
+    from cohort_effects.functions import parse_date
+
+    lo, hi = p.eda_grade_range
+    start, end = parse_date("start"), parse_date("end")
+    att = [
+        ("start_date > today", start > F.lit(NOW.date())),
+        ("start_date > end_date", start > end),
+        ("pct outside range", Pm.out_of_range("pct", *p.pct_range)),
+    ]
+    sco = [("term not in valid set", ~F.col("term").isin([str(t) for t in p.valid_terms]))]
+    sco += [(f"{m} outside range", Pm.out_of_range(m, lo, hi)) for m in p.subject_map]
+    return att, sco
+
+
+def _rules_sql(p: Params = QP):
+    lo, hi = p.eda_grade_range
+    s = "CAST(try_strptime(\"start\", '%Y-%m-%d') AS DATE)"
+    e = "CAST(try_strptime(\"end\", '%Y-%m-%d') AS DATE)"
+    terms = ", ".join(f"'{t}'" for t in p.valid_terms)
+    att = [
+        ("start_date > today", f"{s} > DATE '{NOW.date()}'"),
+        ("start_date > end_date", f"{s} > {e}"),
+        ("pct outside range", f"pct IS NOT NULL AND (pct < {p.pct_range[0]!r} OR pct > {p.pct_range[1]!r})"),
+    ]
+    sco = [("term not in valid set", f"NOT (term IN ({terms}))")]
+    sco += [(f"{m} outside range", f"{m} IS NOT NULL AND ({m} < {lo!r} OR {m} > {hi!r})") for m in p.subject_map]
+    parts = []
+    for tname, rules in (("raw_attendance", att), ("raw_score", sco)):
+        for name, pred in rules:
+            parts.append(
+                f"""SELECT '{tname}' AS table_name, '{name}' AS rule, count_if({pred}) AS violations,
+                count(*) AS total, CAST(count_if({pred}) AS DOUBLE) / count(*) AS pct FROM {tname}"""
+            )
+    return O.norm(O.with_ctes(["raw_attendance", "raw_score"], " UNION ALL ".join(parts)), ["pct"])
+
+
+@register("rule_report", _rules_sql())
+def q_rules(spark, base):
+    raw = _raw(spark, base)
+    att, sco = _rules()
+    return normalize(Pm.rule_report([("raw_attendance", raw["raw_attendance"], att), ("raw_score", raw["raw_score"], sco)]))
+
+
+@register(
+    "monthly_counts",
+    O.with_ctes(["stg_attendance"], """
+        SELECT 'events.ts' AS series, CAST(date_trunc('month', ts) AS DATE) AS period, count(*) AS n_rows
+        FROM events GROUP BY 1, 2
+        UNION ALL
+        SELECT 'attendance.start_date', CAST(date_trunc('month', start_date) AS DATE), count(*)
+        FROM stg_attendance GROUP BY 1, 2"""),
+)
+def q_monthly(spark, base):
+    ev = Pm.period_counts(_t(spark, base, "events"), F.col("ts")).select(F.lit("events.ts").alias("series"), "*")
+    at = Pm.period_counts(layers(spark, base).attendance, F.col("start_date")).select(
+        F.lit("attendance.start_date").alias("series"), "*"
+    )
+    return ev.unionByName(at)
+
+
+@register(
+    "period_list",
+    O.with_ctes(["stg_attendance"], """SELECT DISTINCT CAST(date_trunc('month', start_date) AS DATE) AS period
+        FROM stg_attendance ORDER BY period"""),
+)
+def q_periods(spark, base):
+    return Pm.distinct_sorted(layers(spark, base).attendance, F.trunc("start_date", "month"), "period")
+
+
+@register("value_counts", "SELECT o_orderpriority AS value, count(*) AS n_rows FROM orders GROUP BY 1 ORDER BY n_rows DESC, value")
+def q_value_counts(spark, base):
+    return Pm.value_counts(_t(spark, base, "orders"), "o_orderpriority").orderBy(F.desc("n_rows"), "value")
+
+
+@register(
+    "term_counts",
+    O.with_ctes(["stg_scores"], """SELECT term, 'B' || CAST(term AS VARCHAR) AS label, count(*) AS n_rows
+        FROM stg_scores GROUP BY term ORDER BY term"""),
+)
+def q_term_counts(spark, base):
+    s = layers(spark, base).scores
+    return (
+        s.groupBy("term").agg(F.count(F.lit(1)).alias("n_rows"))
+        .select("term", F.concat(F.lit("B"), F.col("term").cast("string")).alias("label"), "n_rows")
+        .orderBy("term")
+    )
+
+
+@register(
+    "multi_target_counts",
+    O.with_ctes(["stg_attendance"], """
+        SELECT 'students in 2+ classes' AS check_name, count(*) AS n_entities FROM (
+            SELECT student_id FROM (SELECT DISTINCT student_id, class_id FROM stg_attendance)
+            GROUP BY student_id HAVING count(*) > 1)
+        UNION ALL
+        SELECT 'classes in 2+ schools', count(*) FROM (
+            SELECT class_id FROM (SELECT DISTINCT class_id, school_id FROM stg_attendance)
+            GROUP BY class_id HAVING count(*) > 1)"""),
+)
+def q_multi(spark, base):
+    a = layers(spark, base).attendance
+    return (
+        Pm.count_multi(a, "student_id", "class_id").select(F.lit("students in 2+ classes").alias("check_name"), "n_entities")
+        .unionByName(
+            Pm.count_multi(a, "class_id", "school_id").select(F.lit("classes in 2+ schools").alias("check_name"), "n_entities")
+        )
+    )
+
+
+@register(
+    "pointer_coherence",
+    O.with_ctes(["stg_scores", "stg_classes"], """SELECT count(*) AS n_rows, count_if(r._m IS NULL) AS n_unmatched
+        FROM stg_scores s LEFT JOIN (SELECT DISTINCT student_id, class_id, true AS _m FROM stg_classes) r
+        ON s.student_id = r.student_id AND s.class_id = r.class_id"""),
+)
+def q_pointer(spark, base):
+    L = layers(spark, base)
+    return Pm.pointer_coherence(L.scores, L.classes, ["student_id", "class_id"])
+
+
+@register(
+    "grain_volumes",
+    O.with_ctes(["stg_attendance", "stg_scores"], """
+        SELECT 'school x month' AS grain, count(*) AS n_rows FROM
+          (SELECT DISTINCT school_id, date_trunc('month', start_date) FROM stg_attendance)
+        UNION ALL SELECT 'student x month', count(*) FROM
+          (SELECT DISTINCT student_id, date_trunc('month', start_date) FROM stg_attendance)
+        UNION ALL SELECT 'student x subject x month', count(*) FROM
+          (SELECT DISTINCT student_id, subject, date_trunc('month', start_date) FROM stg_attendance)
+        UNION ALL SELECT 'student x term', count(*) FROM (SELECT DISTINCT student_id, term FROM stg_scores)
+        UNION ALL SELECT 'class x term', count(*) FROM (SELECT DISTINCT class_id, term FROM stg_scores)
+        UNION ALL SELECT 'school x term', count(*) FROM (SELECT DISTINCT a.school_id, b.term FROM
+          (SELECT DISTINCT school_id, class_id FROM stg_attendance) a
+          JOIN (SELECT DISTINCT class_id, term FROM stg_scores) b ON a.class_id = b.class_id)"""),
+)
+def q_grain_volumes(spark, base):
+    L = layers(spark, base)
+    a, s = L.attendance, L.scores
+    month = F.trunc("start_date", "month")
+    pairs = a.select("school_id", "class_id").distinct().join(s.select("class_id", "term").distinct(), "class_id")
+    parts = [
+        Pm.distinct_count(a, ["school_id", month], "school x month"),
+        Pm.distinct_count(a, ["student_id", month], "student x month"),
+        Pm.distinct_count(a, ["student_id", "subject", month], "student x subject x month"),
+        Pm.distinct_count(s, ["student_id", "term"], "student x term"),
+        Pm.distinct_count(s, ["class_id", "term"], "class x term"),
+        Pm.distinct_count(pairs, ["school_id", "term"], "school x term"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.orderBy("n_rows")
+
+
+def _hist_sql(table: str, col: str, by: str, bins: int, ctes) -> str:
+    body = f"""SELECT {by}, bin, lo + (bin - 1) * ((hi - lo) / {float(bins)!r}) AS bin_low,
+        lo + bin * ((hi - lo) / {float(bins)!r}) AS bin_high, count(*) AS n
+        FROM (SELECT t.{by}, r.lo, r.hi,
+              CAST(CASE WHEN r.hi - r.lo = 0 THEN 1
+                   ELSE least(floor((t.{col} - r.lo) / (r.hi - r.lo) * {float(bins)!r}) + 1, {bins}) END AS BIGINT) AS bin
+              FROM {table} t JOIN (SELECT {by}, min({col}) AS lo, max({col}) AS hi FROM {table}
+                                   WHERE {col} IS NOT NULL GROUP BY {by}) r ON t.{by} = r.{by}
+              WHERE t.{col} IS NOT NULL)
+        GROUP BY {by}, bin, lo, hi"""
+    return O.norm(O.with_ctes(ctes, body), ["bin_low", "bin_high"])
+
+
+@register("grade_histogram", _hist_sql("enriched", "grade", "subject", 60, ["enriched"]))
+def q_hist(spark, base):
+    return normalize(Pm.histogram(layers(spark, base).enriched, "grade", 60, ["subject"]))
+
+
+_NULL_TABLES = ["raw_score", "raw_attendance", "raw_class", "raw_student"]
+_RAW_COLS = {
+    "raw_score": ["student_key", "term", "class_id", "subject_1", "subject_2", "subject_3", "subject_4"],
+    "raw_attendance": ["school_id", "student_key", "class_id", "start", "end", "subject", "pct"],
+    "raw_class": ["year", "class_id", "student_key"],
+    "raw_student": ["student_key", "age_band", "district"],
+}
+
+
+def _null_long_sql():
+    parts = []
+    for t in _NULL_TABLES:
+        for c in _RAW_COLS[t]:
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                f"CAST(count_if({_q(c)} IS NULL) AS DOUBLE) / count(*) AS pct_null FROM {t}"
+            )
+    return " UNION ALL ".join(parts)
+
+
+def _null_heat_sql():
+    pivot = ", ".join(f"max(CASE WHEN table_name = '{t}' THEN pct_null END) AS {t}" for t in _NULL_TABLES)
+    body = f"SELECT column_name, {pivot} FROM ({_null_long_sql()}) GROUP BY column_name"
+    return O.norm(O.with_ctes(_NULL_TABLES, body), _NULL_TABLES)
+
+
+@register("null_heat", _null_heat_sql())
+def q_null_heat(spark, base):
+    return normalize(Pm.null_heat(_raw(spark, base)))
+
+
+@register(
+    "top_null_columns",
+    O.norm(O.with_ctes(_NULL_TABLES, f"""SELECT * FROM ({_null_long_sql()})
+        ORDER BY pct_null DESC, table_name, column_name LIMIT 10"""), ["pct_null"]),
+)
+def q_top_null(spark, base):
+    return normalize(Pm.top_null_columns(_raw(spark, base), 10))
+
+
+@register(
+    "id_overlap",
+    """SELECT count_if(a.id IS NOT NULL) AS n_left, count_if(b.id IS NOT NULL) AS n_right,
+        count_if(a.id IS NOT NULL AND b.id IS NOT NULL) AS n_overlap
+        FROM (SELECT DISTINCT doc_id AS id FROM labels WHERE doc_id IS NOT NULL) a
+        FULL OUTER JOIN (SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id IS NOT NULL) b ON a.id = b.id""",
+)
+def q_overlap(spark, base):
+    return Pm.id_overlap(_t(spark, base, "labels"), "doc_id", _t(spark, base, "documents"), "doc_id")
+
+
+_SUBJ = list(QP.subject_map)
+
+
+def _score_stats_sql():
+    cols = [
+        "count(*) AS n_rows",
+        "count(DISTINCT student_key) AS n_students",
+        "count_if(term IS NOT NULL AND TRY_CAST(term AS BIGINT) IS NULL) AS n_term_cast_fail",
+        "min(class_id) AS min_class_id",
+        "max(class_id) AS max_class_id",
+    ]
+    for m in _SUBJ:
+        cols += [
+            f"count_if({m} IS NULL) AS {m}_nulls",
+            f"min({m}) AS {m}_min",
+            f"max({m}) AS {m}_max",
+            f"avg({m}) AS {m}_mean",
+            f"stddev_samp({m}) AS {m}_std",
+        ]
+    dbl = [f"{m}_{s}" for m in _SUBJ for s in ("min", "max", "mean", "std")]
+    return O.norm(O.with_ctes(["raw_score"], f"SELECT {', '.join(cols)} FROM raw_score"), dbl)
+
+
+@register("score_stats", _score_stats_sql())
+def q_score_stats(spark, base):
+    r = _raw(spark, base)["raw_score"]
+    aggs = [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("student_key").alias("n_students"),
+        F.count_if(F.col("term").isNotNull() & F.col("term").try_cast("bigint").isNull()).alias("n_term_cast_fail"),
+        F.min("class_id").alias("min_class_id"),
+        F.max("class_id").alias("max_class_id"),
+    ]
+    for m in _SUBJ:
+        aggs += [
+            F.count_if(F.col(m).isNull()).alias(f"{m}_nulls"),
+            F.min(m).alias(f"{m}_min"),
+            F.max(m).alias(f"{m}_max"),
+            F.avg(m).alias(f"{m}_mean"),
+            F.stddev_samp(m).alias(f"{m}_std"),
+        ]
+    return normalize(r.agg(*aggs))
+
+
+@register(
+    "attendance_stats",
+    O.norm(O.with_ctes(["stg_attendance"], """SELECT count(pct) AS n, min(pct) AS min,
+        quantile_disc(pct, 0.01) AS p01, quantile_disc(pct, 0.5) AS p50, avg(pct) AS mean,
+        quantile_disc(pct, 0.99) AS p99, max(pct) AS max, stddev_samp(pct) AS std FROM stg_attendance"""),
+        ["min", "p01", "p50", "mean", "p99", "max", "std"]),
+)
+def q_att_stats(spark, base):
+    return normalize(Pm.numeric_summary(layers(spark, base).attendance, "pct"))
+
+
+@register(
+    "mode_value",
+    """SELECT o_orderpriority, count(*) AS n_rows FROM orders WHERE o_orderpriority IS NOT NULL
+        GROUP BY o_orderpriority ORDER BY n_rows DESC, o_orderpriority ASC LIMIT 1""",
+)
+def q_mode(spark, base):
+    return Pm.mode(_t(spark, base, "orders"), "o_orderpriority")
+
+
+@register(
+    "sample_rows",
+    O.norm("""SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 10""", ["o_totalprice"]),
+)
+def q_sample(spark, base):
+    return normalize(Pm.sample_rows(_t(spark, base, "orders"), "o_orderkey", 10))
+
+
+@register("schema_catalog")
+def q_schema(spark, base):
+    return IO.describe_schema(IO.read_tables(spark, base))
+
+
+@register("table_volumes")
+def q_volumes(spark, base):
+    return normalize(IO.table_volumes(IO.read_tables(spark, base)))
+
+
+@register(
+    "freshness_events",
+    O.norm(O.with_ctes(["stg_attendance"], f"""
+        SELECT source, max_loaded_at, age_days,
+          CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_days > err THEN 'error'
+               WHEN age_days > warn THEN 'warn' ELSE 'pass' END AS status
+        FROM (
+          SELECT 'events' AS source, max(ts) AS max_loaded_at,
+                 (epoch_us(TIMESTAMP '{NOW}') - epoch_us(max(ts))) / 86400e6 AS age_days, 7.0 AS warn, 30.0 AS err
+          FROM events
+          UNION ALL
+          SELECT 'attendance', CAST(max(start_date) AS TIMESTAMP),
+                 (epoch_us(TIMESTAMP '{NOW}') - epoch_us(CAST(max(start_date) AS TIMESTAMP))) / 86400e6,
+                 10950.0, 18250.0
+          FROM stg_attendance)"""), ["age_days"]),
+)
+def q_fresh(spark, base):
+    ev = IO.freshness(_t(spark, base, "events"), "events", "ts", 7, 30, NOW)
+    at = IO.freshness(layers(spark, base).attendance, "attendance", F.col("start_date"), 10950, 18250, NOW)
+    return normalize(ev.unionByName(at))
