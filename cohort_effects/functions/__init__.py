@@ -8,6 +8,7 @@ from cohort_effects.functions.columns import (  # noqa: F401
     no_neg_zero,
     parse_date,
     round_double,
+    round_half_up,
     safe_double,
     safe_int,
     trim_ws,

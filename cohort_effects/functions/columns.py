@@ -74,3 +74,13 @@ def band(col, cuts: Sequence[tuple[str, float, str]], otherwise: str) -> Column:
         cond = ops[op](F.lit(float(thr)))
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(otherwise)) if expr is not None else F.lit(otherwise)
+
+
+def round_half_up(col, digits: int) -> Column:
+    """Deterministic half-up rounding: snap to 9 digits, then round with
+    plain IEEE arithmetic.  Gives the same result on any engine even when
+    inputs differ in the last ulp (``round`` implementations do not)."""
+    y = F.round(_c(col), 9)
+    scale = F.lit(float(10**digits))
+    r = F.floor(y * scale + F.lit(0.5)).cast("double") / scale
+    return F.when(F.isnan(y) | (F.abs(y) >= F.lit(1e12)), y).otherwise(r) + F.lit(0.0)

@@ -81,3 +81,11 @@ def enrich_scores(
     return out.select(
         "student_id", "term", "subject", "class_id", "school_id", "year", "grade", "multi_school"
     )
+
+
+def flag_unknown(df: DataFrame, roster: DataFrame, key: str = "class_id", flag: str = "unknown_class") -> DataFrame:
+    """Mark rows whose key is absent from the roster (left join against
+    the roster's distinct keys, so no fan-out)."""
+    keys = roster.select(F.col(key).alias("_k")).filter(F.col("_k").isNotNull()).distinct().withColumn("_m", F.lit(True))
+    j = df.join(keys, df[key] == F.col("_k"), "left")
+    return j.withColumn(flag, F.col("_m").isNull()).drop("_k", "_m")

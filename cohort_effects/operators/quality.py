@@ -392,3 +392,23 @@ def gate(results: DataFrame) -> None:
     failed = results.filter(F.col("status") == "fail").select("check_name").limit(20).collect()
     if failed:
         raise ContractError(f"failed checks: {[r[0] for r in failed]}")
+
+
+def domain_rules(attendance: DataFrame, scores: DataFrame) -> DataFrame:
+    """Z3: (rule, violations, total).
+
+    * period start before its end, per attendance row (both known);
+    * every scored student has some attendance (distinct students, anti join).
+    """
+    s, e = F.col("start_date"), F.col("end_date")
+    r1 = attendance.agg(
+        F.count_if(s.isNotNull() & e.isNotNull() & ~(s < e)).alias("violations"),
+        F.count(F.lit(1)).alias("total"),
+    ).select(F.lit("start_before_end").alias("rule"), "violations", "total")
+    scored = scores.select("student_id").filter(F.col("student_id").isNotNull()).distinct()
+    seen = attendance.select(F.col("student_id").alias("_s")).distinct().withColumn("_m", F.lit(True))
+    j = scored.join(seen, F.col("student_id") == F.col("_s"), "left")
+    r2 = j.agg(F.count_if(F.col("_m").isNull()).alias("violations"), F.count(F.lit(1)).alias("total")).select(
+        F.lit("scored_student_has_attendance").alias("rule"), "violations", "total"
+    )
+    return r1.unionByName(r2)

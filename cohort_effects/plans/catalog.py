@@ -831,3 +831,251 @@ def q_fresh(spark, base):
     ev = IO.freshness(_t(spark, base, "events"), "events", "ts", 7, 30, NOW)
     at = IO.freshness(layers(spark, base).attendance, "attendance", F.col("start_date"), 10950, 18250, NOW)
     return normalize(ev.unionByName(at))
+
+
+# --------------------------------------------------------------------------
+# Mart reports
+# --------------------------------------------------------------------------
+
+from cohort_effects.operators import report as Rm  # noqa: E402
+
+_MART_COLS = "school_id, subject, year, n_obs, pct_multi_school, raw_effect, weight, adj_effect, std_err, ci_low, ci_high, effect_class, confidence, rank_in_subject"
+
+
+def _mart(spark, base):
+    return layers(spark, base).mart
+
+
+@register(
+    "effect_distribution",
+    O.with_ctes(["mart"], f"""SELECT subject, count(adj_effect) AS count,
+        {O.rhu('avg(adj_effect)', 3)} AS mean, {O.rhu('stddev_samp(adj_effect)', 3)} AS std,
+        {O.rhu('min(adj_effect)', 3)} AS min, {O.rhu('quantile_cont(adj_effect, 0.25)', 3)} AS q25,
+        {O.rhu('quantile_cont(adj_effect, 0.5)', 3)} AS q50, {O.rhu('quantile_cont(adj_effect, 0.75)', 3)} AS q75,
+        {O.rhu('max(adj_effect)', 3)} AS max
+        FROM mart GROUP BY subject"""),
+)
+def q_effect_dist(spark, base):
+    return Rm.describe_by(_mart(spark, base), ["subject"], "adj_effect", 3)
+
+
+@register("effect_histogram", _hist_sql("mart", "adj_effect", "subject", 30, ["mart"]))
+def q_effect_hist(spark, base):
+    return normalize(Pm.histogram(_mart(spark, base), "adj_effect", 30, ["subject"]))
+
+
+_TOP_COLS = ["rank_in_subject", "school_id", "n_obs", "adj_effect", "ci_low", "ci_high", "effect_class", "confidence"]
+_TOP_SQL = O.norm(O.with_ctes(["mart"], f"""SELECT subject, year, {', '.join(_TOP_COLS)} FROM (
+        SELECT *, row_number() OVER (PARTITION BY subject, year ORDER BY rank_in_subject, school_id) AS rn FROM mart)
+        WHERE rn <= 10"""), ["adj_effect", "ci_low", "ci_high"])
+
+
+def _top10(spark, base):
+    return Rm.top_n_per(_mart(spark, base), ["subject", "year"], "rank_in_subject", 10, ["school_id"], _TOP_COLS)
+
+
+@register("top10_by_subject", _TOP_SQL)
+def q_top10(spark, base):
+    return normalize(_top10(spark, base))
+
+
+# Reference pair: "math" vs "language" -> subject_4 vs subject_1 in the fixture.
+_A, _B = "subject_4", "subject_1"
+_EXTREME_SQL_BODY = f"""SELECT school_id, year, a_effect, b_effect,
+        (a_effect >= {QP.strong_cut!r} AND b_effect <= -{QP.weak_cut!r})
+        OR (a_effect <= -{QP.strong_cut!r} AND b_effect >= {QP.weak_cut!r}) AS extreme
+        FROM (SELECT school_id, year,
+              max(CASE WHEN subject = '{_A}' THEN adj_effect END) AS a_effect,
+              max(CASE WHEN subject = '{_B}' THEN adj_effect END) AS b_effect
+              FROM mart GROUP BY school_id, year)
+        WHERE a_effect IS NOT NULL AND b_effect IS NOT NULL"""
+
+
+@register("extreme_profiles", O.norm(O.with_ctes(["mart"], _EXTREME_SQL_BODY), ["a_effect", "b_effect"]))
+def q_extreme(spark, base):
+    return normalize(Rm.extreme_profiles(_mart(spark, base), _A, _B, QP.strong_cut, QP.weak_cut))
+
+
+@register(
+    "extreme_share",
+    O.norm(O.with_ctes(["mart"], f"""SELECT count(*) AS n_complete, count_if(extreme) AS n_extreme,
+        count_if(extreme) * 100.0 / count(*) AS pct_extreme FROM ({_EXTREME_SQL_BODY})"""), ["pct_extreme"]),
+)
+def q_extreme_share(spark, base):
+    return normalize(Rm.extreme_share(Rm.extreme_profiles(_mart(spark, base), _A, _B, QP.strong_cut, QP.weak_cut)))
+
+
+@register(
+    "shrink_limits",
+    O.norm(O.with_ctes(["mart"], """SELECT subject, count(*) AS n, min(raw_effect) AS raw_min, max(raw_effect) AS raw_max,
+        min(adj_effect) AS adj_min, max(adj_effect) AS adj_max, CAST(sum(n_obs) AS BIGINT) AS n_obs_total,
+        greatest(abs(min(raw_effect)), abs(max(raw_effect))) * 1.05 AS "limit"
+        FROM mart GROUP BY subject"""), ["raw_min", "raw_max", "adj_min", "adj_max", '"limit"']),
+)
+def q_limits(spark, base):
+    return normalize(Rm.symmetric_limits(_mart(spark, base)))
+
+
+def _box_sql():
+    c = "pct_multi_school"
+    body = f"""SELECT subject, count({c}) AS n,
+        count_if({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS n_outliers,
+        {O.rhu('q1', 3)} AS q1, {O.rhu('median', 3)} AS median, {O.rhu('q3', 3)} AS q3,
+        {O.rhu(f'min(CASE WHEN {c} >= q1 - 1.5 * (q3 - q1) THEN {c} END)', 3)} AS whisker_low,
+        {O.rhu(f'max(CASE WHEN {c} <= q3 + 1.5 * (q3 - q1) THEN {c} END)', 3)} AS whisker_high,
+        {O.rhu(f'avg({c})', 3)} AS mean, {O.rhu(f'max({c})', 3)} AS max,
+        {O.rhu(f'avg(CASE WHEN {c} > 0.1 THEN 1.0 ELSE 0.0 END)', 3)} AS share_above
+        FROM mart JOIN (SELECT subject AS s, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median,
+                        quantile_cont({c}, 0.75) AS q3 FROM mart GROUP BY subject) q ON mart.subject = q.s
+        GROUP BY subject, q1, median, q3"""
+    return O.with_ctes(["mart"], body)
+
+
+@register("mobility_box", _box_sql())
+def q_box(spark, base):
+    return Rm.box_stats(_mart(spark, base), ["subject"], "pct_multi_school", 0.10, 3)
+
+
+_ROW_ORDER = [QP.effect_labels[4], QP.effect_labels[3], QP.effect_labels[2], QP.effect_labels[1], QP.effect_labels[0]]
+
+
+def _crosstab_sql():
+    sig, inc = QP.confidence_labels
+    order = " ".join(f"WHEN '{r}' THEN {i}" for i, r in enumerate([*_ROW_ORDER, "total"]))
+    body = f"""SELECT effect_class,
+        CAST(coalesce(max(CASE WHEN c = '{sig}' THEN n END), 0) AS BIGINT) AS {sig},
+        CAST(coalesce(max(CASE WHEN c = '{inc}' THEN n END), 0) AS BIGINT) AS {inc},
+        CAST(coalesce(max(CASE WHEN c = 'total' THEN n END), 0) AS BIGINT) AS total,
+        CAST(CASE effect_class {order} END AS BIGINT) AS row_order
+        FROM (SELECT CASE WHEN grouping(effect_class) = 1 THEN 'total' ELSE effect_class END AS effect_class,
+                     CASE WHEN grouping(confidence) = 1 THEN 'total' ELSE confidence END AS c, count(*) AS n
+              FROM mart GROUP BY CUBE (effect_class, confidence))
+        GROUP BY effect_class ORDER BY row_order"""
+    return O.with_ctes(["mart"], body)
+
+
+@register("class_confidence_crosstab", _crosstab_sql())
+def q_crosstab(spark, base):
+    return Rm.crosstab(_mart(spark, base), "effect_class", "confidence", _ROW_ORDER, list(QP.confidence_labels))
+
+
+_DASH_CLASSES = [QP.effect_labels[0], QP.effect_labels[1]]
+
+
+@register(
+    "dashboard_list",
+    O.norm(O.with_ctes(["mart"], f"""SELECT * FROM mart WHERE effect_class IN ({', '.join(repr(c) for c in _DASH_CLASSES)})
+        AND confidence IN ({', '.join(repr(c) for c in QP.confidence_labels)})
+        ORDER BY subject, year, rank_in_subject, school_id"""), MART_D.split(", ")),
+)
+def q_dashboard(spark, base):
+    return normalize(Rm.dashboard_list(_mart(spark, base), _DASH_CLASSES, QP.confidence_labels))
+
+
+@register(
+    "study_shortlist",
+    O.norm(O.with_ctes(["mart"], f"""SELECT *, row_number() OVER (PARTITION BY subject, year
+            ORDER BY weight DESC, rank_in_subject ASC, school_id ASC) AS priority
+        FROM mart WHERE effect_class IN ('{QP.effect_labels[0]}', '{QP.effect_labels[4]}')
+        AND confidence = '{QP.confidence_labels[0]}'"""), MART_D.split(", ")),
+)
+def q_shortlist(spark, base):
+    return normalize(Rm.study_shortlist(_mart(spark, base), QP))
+
+
+@register(
+    "monitoring_list",
+    O.norm(O.with_ctes(["mart"], f"""SELECT * FROM mart WHERE effect_class IN ('{QP.effect_labels[0]}', '{QP.effect_labels[4]}')
+        AND confidence = '{QP.confidence_labels[1]}'"""), MART_D.split(", ")),
+)
+def q_monitoring(spark, base):
+    return normalize(Rm.monitoring_list(_mart(spark, base), QP))
+
+
+# --------------------------------------------------------------------------
+# Sinks: partitioned mart, per-subject CSV, single-year overwrite
+# --------------------------------------------------------------------------
+
+from cohort_effects.session import work_path  # noqa: E402
+from cohort_effects.sources.schemas import MART_SCHEMA  # noqa: E402
+
+_SLICE_YEAR = 1998
+
+
+@register("mart_year_slice", O.norm(O.with_ctes(["mart"], f"SELECT * FROM mart WHERE year = {_SLICE_YEAR}"), MART_D.split(", ")))
+def q_year_slice(spark, base):
+    path = work_path(spark, "mart")
+    IO.write_partitioned(_mart(spark, base), path, ["year"], ["subject", "effect_class", "school_id"])
+    return normalize(IO.read_partition(spark, path, {"year": _SLICE_YEAR}).select(*_MART_COLS.split(", ")))
+
+
+@register("top10_csv", _TOP_SQL)
+def q_top10_csv(spark, base):
+    path = work_path(spark, "top10_csv")
+    IO.write_csv_by(_top10(spark, base), path, "subject")
+    schema = (
+        "year bigint, rank_in_subject bigint, school_id bigint, n_obs bigint, adj_effect double, "
+        "ci_low double, ci_high double, effect_class string, confidence string, subject string"
+    )
+    back = spark.read.schema(schema).option("header", True).csv(path)
+    return normalize(back.select("subject", "year", *_TOP_COLS))
+
+
+@register("mart_overwrite_year", O.norm(O.with_ctes(["mart"], "SELECT * FROM mart"), MART_D.split(", ")))
+def q_overwrite(spark, base):
+    path = work_path(spark, "mart_rw")
+    m = _mart(spark, base)
+    IO.write_partitioned(m, path, ["year"], ["subject", "effect_class", "school_id"])
+    # Rebuild only one year: with dynamic overwrite the other years stay.
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    IO.write_partitioned(m.filter(F.col("year") == _SLICE_YEAR), path, ["year"], ["subject", "effect_class", "school_id"])
+    return normalize(spark.read.parquet(path).select(*_MART_COLS.split(", ")))
+
+
+# --------------------------------------------------------------------------
+# Declared-but-unbuilt ideas of the project
+# --------------------------------------------------------------------------
+
+
+@register(
+    "unknown_class_flag",
+    O.norm(O.with_ctes(["stg_attendance", "stg_classes"], """SELECT count(*) AS n_rows,
+        count_if(r._m IS NULL) AS n_unknown_class,
+        CAST(count_if(r._m IS NULL) AS DOUBLE) / count(*) AS pct_unknown_class
+        FROM stg_attendance a LEFT JOIN (SELECT DISTINCT class_id AS _k, true AS _m FROM stg_classes
+                                         WHERE class_id IS NOT NULL) r ON a.class_id = r._k"""),
+        ["pct_unknown_class"]),
+)
+def q_unknown(spark, base):
+    from cohort_effects.operators.enrich import flag_unknown
+
+    L = layers(spark, base)
+    f = flag_unknown(L.attendance, L.classes)
+    return normalize(
+        f.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("unknown_class").alias("n_unknown_class")).withColumn(
+            "pct_unknown_class", F.try_divide(F.col("n_unknown_class").cast("double"), F.col("n_rows").cast("double"))
+        )
+    )
+
+
+@register(
+    "domain_rules",
+    O.with_ctes(["stg_attendance", "stg_scores"], """
+        SELECT 'start_before_end' AS rule,
+               count_if(start_date IS NOT NULL AND end_date IS NOT NULL AND NOT (start_date < end_date)) AS violations,
+               count(*) AS total FROM stg_attendance
+        UNION ALL
+        SELECT 'scored_student_has_attendance', count_if(a._m IS NULL), count(*)
+        FROM (SELECT DISTINCT student_id FROM stg_scores WHERE student_id IS NOT NULL) s
+        LEFT JOIN (SELECT DISTINCT student_id AS _s, true AS _m FROM stg_attendance) a ON s.student_id = a._s"""),
+)
+def q_domain(spark, base):
+    L = layers(spark, base)
+    return Qm.domain_rules(L.attendance, L.scores)
+
+
+@register("bootstrap_se")
+def q_bootstrap(spark, base):
+    from cohort_effects.operators.effects import bootstrap_se
+
+    return normalize(bootstrap_se(layers(spark, base).demeaned, replicates=20))
