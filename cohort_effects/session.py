@@ -18,6 +18,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
+    # small local inputs: let AQE keep several post-shuffle tasks busy
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.driver.memory": "16g",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -19,14 +19,35 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Scan ``{base}/{name}.{fmt}``; the format is a flag, not guessed."""
+def read_table(
+    spark: SparkSession,
+    base: str,
+    name: str,
+    fmt: str = "parquet",
+    schema=None,
+    min_partitions: int | None = -1,
+) -> DataFrame:
+    """Scan ``{base}/{name}.{fmt}``; the format is a flag, not guessed.
+
+    A scan can only split at file / row-group boundaries, so a small table
+    stored as one row group is read by one task.  When the scan plans fewer
+    partitions than ``min_partitions`` (default: the cluster's default
+    parallelism) it is spread round-robin first.  On large inputs the scan
+    already has far more splits than cores and this is a no-op.
+    """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.load(f"{base.rstrip('/')}/{name}.{fmt}")
+    df = reader.load(f"{base.rstrip('/')}/{name}.{fmt}")
+    if min_partitions == -1:
+        min_partitions = spark.sparkContext.defaultParallelism
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        # hash on the leading (key) column: deterministic on retry and, unlike
+        # round-robin, needs no local sort; other columns stay prunable.
+        df = df.repartition(min_partitions, F.col(df.columns[0]))
+    return df
 
 
 def read_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
