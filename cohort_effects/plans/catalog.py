@@ -1079,3 +1079,27 @@ def q_bootstrap(spark, base):
     from cohort_effects.operators.effects import bootstrap_se
 
     return normalize(bootstrap_se(layers(spark, base).demeaned, replicates=20))
+
+
+@register("mart_stream_refresh", O.norm(O.with_ctes(["mart"], "SELECT * FROM mart"), MART_D.split(", ")))
+def q_stream_refresh(spark, base):
+    """Score files arrive in two drops; after each drop the refresh stream
+    runs (available-now trigger, one shared checkpoint, so the second run
+    sees only the new files) and rebuilds the touched years.  The mart is
+    then read back whole."""
+    from cohort_effects.plans.pipeline import build_layers
+    from cohort_effects.streaming import start_year_refresh
+
+    li = _t(spark, base, "lineitem")
+    raw_att, raw_cls = FX.raw_attendance(li), FX.raw_class(li)
+    inbox, mart_path, ckpt = work_path(spark, "inbox"), work_path(spark, "mart_stream"), work_path(spark, "stream_ckpt")
+    schema = FX.raw_score(li).schema
+
+    def build_mart(scores):
+        return build_layers(scores, raw_att, raw_cls, None, QP).mart
+
+    first = F.year("l_shipdate") < 1998  # every row lands in one of the two drops
+    for drop in (li.filter(first), li.filter(~first)):
+        FX.raw_score(drop).write.mode("append").parquet(inbox)
+        start_year_refresh(spark, inbox, schema, build_mart, raw_cls, mart_path, ckpt).awaitTermination()
+    return normalize(spark.read.parquet(mart_path).select(*_MART_COLS.split(", ")))
