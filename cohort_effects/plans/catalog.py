@@ -1006,7 +1006,8 @@ _SLICE_YEAR = 1998
 def q_year_slice(spark, base):
     path = work_path(spark, "mart")
     IO.write_partitioned(_mart(spark, base), path, ["year"], ["subject", "effect_class", "school_id"])
-    return normalize(IO.read_partition(spark, path, {"year": _SLICE_YEAR}).select(*_MART_COLS.split(", ")))
+    back = IO.read_partition(spark, path, {"year": _SLICE_YEAR}, schema=_mart(spark, base).schema)
+    return normalize(back.select(*_MART_COLS.split(", ")))
 
 
 @register("top10_csv", _TOP_SQL)
@@ -1029,7 +1030,7 @@ def q_overwrite(spark, base):
     # Rebuild only one year: with dynamic overwrite the other years stay.
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     IO.write_partitioned(m.filter(F.col("year") == _SLICE_YEAR), path, ["year"], ["subject", "effect_class", "school_id"])
-    return normalize(spark.read.parquet(path).select(*_MART_COLS.split(", ")))
+    return normalize(spark.read.schema(m.schema).parquet(path).select(*_MART_COLS.split(", ")))
 
 
 # --------------------------------------------------------------------------
@@ -1102,4 +1103,14 @@ def q_stream_refresh(spark, base):
     for drop in (li.filter(first), li.filter(~first)):
         FX.raw_score(drop).write.mode("append").parquet(inbox)
         start_year_refresh(spark, inbox, schema, build_mart, raw_cls, mart_path, ckpt).awaitTermination()
-    return normalize(spark.read.parquet(mart_path).select(*_MART_COLS.split(", ")))
+    return normalize(spark.read.schema(MART_SCHEMA).parquet(mart_path).select(*_MART_COLS.split(", ")))
+
+
+@register("build_and_test", sql(_DQ_ALL, SU.results_sql(SU.generic_checks(QP) + SU.singular_meta(QP), QP)))
+def q_build(spark, base):
+    """M16 end to end: write the table layers (contract + NOT NULL guard),
+    then run the suite on what was written."""
+    from cohort_effects.plans.pipeline import checkpointed, run_build
+
+    L = fixture_layers(spark, base, QP, materialize=checkpointed)
+    return run_build(L, work_path(spark, "build"), QP, gate_on_errors=False)

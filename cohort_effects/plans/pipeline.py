@@ -103,3 +103,47 @@ def effect_mart(
 ) -> DataFrame:
     """The flagship: (school, subject, year) shrunken effects, 14 columns."""
     return build_layers(raw_scores, raw_attendance, raw_classes, None, params).mart
+
+
+def run_build(
+    layers: Layers,
+    out_root: str,
+    params: Params = Params(),
+    gate_on_errors: bool = True,
+) -> DataFrame:
+    """Materialise the two table layers, then test: the full build.
+
+    * S8: each layer goes to its own folder under ``out_root``
+      (``intermediate/demeaned``, ``marts/effects``).
+    * Q12/Q13: the mart is checked against its contract, and a NOT NULL
+      guard inside the write fails the job before the table is committed.
+    * S6/S7: both tables are partitioned by year and clustered.
+    * Q19: the suite runs on the written tables; error failures raise.
+
+    Returns the check results.
+    """
+    from cohort_effects.operators import quality as Q
+    from cohort_effects.plans import suite as SU
+    from cohort_effects.sources.io import write_partitioned
+    from cohort_effects.sources.schemas import MART_SCHEMA, NOT_NULL_DEMEANED, NOT_NULL_MART
+
+    spark = layers.scores.sparkSession
+    root = out_root.rstrip("/")
+    dm_path, mart_path = f"{root}/intermediate/demeaned", f"{root}/marts/effects"
+    write_partitioned(Q.assert_not_null(layers.demeaned, NOT_NULL_DEMEANED), dm_path, ["year"],
+                      ["subject", "school_id"])
+    demeaned = spark.read.schema(layers.demeaned.schema).parquet(dm_path).select(*layers.demeaned.columns)
+    moments = fx.group_moments(demeaned)
+    mart = Q.enforce_contract(fx.score_effects(moments, None, params), MART_SCHEMA)
+    write_partitioned(Q.assert_not_null(mart, NOT_NULL_MART), mart_path, ["year"],
+                      ["subject", "effect_class", "school_id"])
+    mart = spark.read.schema(MART_SCHEMA).parquet(mart_path).select(*MART_SCHEMA.fieldNames())
+    built = Layers(layers.students, layers.scores, layers.attendance, layers.classes, layers.bridge, layers.years,
+                   layers.context, layers.enriched, demeaned, moments,
+                   moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect"),
+                   fx.variance_components(moments), mart)
+    results = Q.run_checks(SU.suite(built, params), SU.tables_of(built), params.target)
+    results = results.checkpoint(eager=True)
+    if gate_on_errors:
+        Q.gate(results)
+    return results

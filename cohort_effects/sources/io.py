@@ -84,9 +84,15 @@ def write_partitioned(
     return path
 
 
-def read_partition(spark: SparkSession, path: str, where: Mapping[str, object] | None = None) -> DataFrame:
-    """Read a partitioned table back; equality filters prune directories."""
-    df = spark.read.parquet(path)
+def read_partition(
+    spark: SparkSession, path: str, where: Mapping[str, object] | None = None, schema=None
+) -> DataFrame:
+    """Read a partitioned table back; equality filters prune directories.
+
+    Pass the table's schema: partition discovery would otherwise infer the
+    partition column's type from directory names (bigint -> int).
+    """
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     for k, v in (where or {}).items():
         df = df.filter(F.col(k) == F.lit(v))
     return df
