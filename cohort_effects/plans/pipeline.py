@@ -34,13 +34,15 @@ class Layers:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``
-    (a shared folder on a cluster), so a lost executor never forces a
-    recompute from the sources."""
-    from cohort_effects.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing the layer as a Parquet table under
+    ``spark.checkpoint.dir`` (a shared folder on a cluster) and reading it
+    back: a lost executor never forces a recompute from the sources, and
+    later readers get column pruning and filter pushdown on the copy."""
+    from cohort_effects.session import work_path
+
+    path = work_path(df.sparkSession, "layer")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_layers(
