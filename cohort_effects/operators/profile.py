@@ -180,14 +180,16 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
 
     The bin is ``floor((v - min) / (max - min) * bins) + 1`` with the maximum
     folded into the last bin (what ``width_bucket`` would put in bins + 1).
-    The per-group (min, max) table has one row per group.
+    ``by`` is a low-cardinality grouping (e.g. subject): the (min, max) table
+    has one row per group, so it is broadcast -- a shuffle join on a handful
+    of keys would put each group's rows in one task.
     """
     vals = df.filter(F.col(col).isNotNull())
     keys = list(by) or ["_all"]
     if not by:
         vals = vals.withColumn("_all", F.lit(0))
     rng = vals.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    j = vals.join(rng, keys)
+    j = vals.join(F.broadcast(rng), keys)
     width = F.col("_hi") - F.col("_lo")
     raw = F.floor((F.col(col) - F.col("_lo")) / width * F.lit(float(bins))) + F.lit(1)
     b = F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("bigint")
@@ -264,6 +266,12 @@ def mode(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """T-4: Bernoulli sample of about ``fraction`` of the rows (per-partition,
+    no shuffle); repeatable for a fixed seed and partitioning."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
 def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """T-4: a repeatable sample of n rows, ordered by md5 of the key (top-n
     per partition, then merged)."""

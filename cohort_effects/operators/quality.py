@@ -208,6 +208,24 @@ def enforce_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.to(relaxed)
 
 
+def source_drift(df: DataFrame, schema: T.StructType) -> list[tuple[str, str, str]]:
+    """S3: compare a source's schema to its declared input contract.
+
+    Returns (column, issue, detail) for missing, retyped and undeclared
+    columns -- schema metadata only, nothing is scanned.
+    """
+    got = {f.name: f.dataType for f in df.schema.fields}
+    want = {f.name: f.dataType for f in schema.fields}
+    out = []
+    for name, dtype in want.items():
+        if name not in got:
+            out.append((name, "missing", dtype.simpleString()))
+        elif got[name] != dtype:
+            out.append((name, "type", f"{got[name].simpleString()} != {dtype.simpleString()}"))
+    out += [(n, "undeclared", got[n].simpleString()) for n in got if n not in want]
+    return out
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Q13: NULL count per column in one pass, as (column_name, n_null)."""
     cols = list(cols or df.columns)

@@ -84,7 +84,7 @@ def box_stats(df: DataFrame, by: Sequence[str], col: str, threshold: float = 0.1
     threshold, per group.  Two aggregates: quartiles, then fences."""
     q = df.groupBy(*by).agg(F.percentile(col, [0.25, 0.5, 0.75]).alias("_q"))
     q = q.select(*by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    j = df.join(q, list(by))  # one quartile row per group
+    j = df.join(F.broadcast(q), list(by))  # one quartile row per (low-cardinality) group
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     v = F.col(col)

@@ -1114,3 +1114,10 @@ def q_build(spark, base):
 
     L = fixture_layers(spark, base, QP, materialize=checkpointed)
     return run_build(L, work_path(spark, "build"), QP, gate_on_errors=False)
+
+
+
+@register("sample_fraction")
+def q_sample_fraction(spark, base):
+    """T-4: about 10% of lineitem, Bernoulli per row (rows-only check)."""
+    return normalize(Pm.sample_fraction(_t(spark, base, "lineitem"), 0.10, seed=42))

@@ -58,3 +58,32 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder (never a node-local tmp)."""
     base = ensure_checkpoint_dir(spark)
     return "/".join([base.rstrip("/"), "cohort_effects_work", uuid.uuid4().hex[:12], *parts])
+
+
+# Settings for large inputs (hundreds of TB on many executors).  Applied only
+# where the cluster has not set them already.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    # start with many shuffle partitions; AQE coalesces small ones at run time
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_scale_conf(spark: SparkSession, conf: dict | None = None) -> dict:
+    """Set the large-input settings that are not already set; returns what
+    was applied."""
+    applied = {}
+    for key, value in (conf or SCALE_CONF).items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied

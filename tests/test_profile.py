@@ -31,3 +31,19 @@ def test_crosstab_and_topn(spark):
     assert rows["total"].total == 3 and rows["y"].s == 0 and rows["x"].row_order == 1
     t = spark.createDataFrame([("a", 1, 10), ("a", 1, 5), ("a", 2, 1)], "g string, r bigint, id bigint")
     assert [r.id for r in Rm.top_n_per(t, ["g"], "r", 2, ["id"], ["id"]).collect()] == [5, 10]
+
+
+def test_box_stats_whiskers(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in [1, 2, 3, 4, 100]], "g string, x double")
+    r = Rm.box_stats(df, ["g"], "x", 10.0).collect()[0]
+    assert (r.q1, r.median, r.q3) == (2.0, 3.0, 4.0)
+    assert r.whisker_high == 4.0 and r.n_outliers == 1 and r.share_above == 0.2
+
+
+def test_extreme_profiles(spark):
+    m = spark.createDataFrame(
+        [(1, 2000, "A", 0.4), (1, 2000, "B", -0.2), (2, 2000, "A", 0.1), (2, 2000, "B", 0.1), (3, 2000, "A", 0.5)],
+        "school_id bigint, year bigint, subject string, adj_effect double",
+    )
+    rows = {r.school_id: r.extreme for r in Rm.extreme_profiles(m, "A", "B").collect()}
+    assert rows == {1: True, 2: False}  # school 3 lacks subject B

@@ -62,3 +62,12 @@ def test_suite_statuses(spark):
     assert res["bt"].status == "fail"
     with pytest.raises(Q.ContractError):
         Q.gate(Q.run_checks(checks, {"t": df}))
+
+
+def test_source_drift(spark):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(1, "x")], "a bigint, c string")
+    want = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType())])
+    issues = {(c, i) for c, i, _ in Q.source_drift(df, want)}
+    assert issues == {("a", "type"), ("b", "missing"), ("c", "undeclared")}
