@@ -267,9 +267,13 @@ def mode(df: DataFrame, col: str) -> DataFrame:
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """T-4: Bernoulli sample of about ``fraction`` of the rows (per-partition,
-    no shuffle); repeatable for a fixed seed and partitioning."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    """T-4: keep about ``fraction`` of the rows, each row decided by a hash of
+    its values and the seed.  Unlike a per-partition random sampler the
+    choice does not depend on row order, so a retried task (after a lost
+    executor) keeps exactly the same rows.  No shuffle."""
+    scale = 1 << 30
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)), F.lit(scale))
+    return df.filter(h < F.lit(int(fraction * scale)))
 
 
 def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -133,7 +133,7 @@ def run_build(
     root = out_root.rstrip("/")
     dm_path, mart_path = f"{root}/intermediate/demeaned", f"{root}/marts/effects"
     write_partitioned(Q.assert_not_null(layers.demeaned, NOT_NULL_DEMEANED), dm_path, ["year"],
-                      ["subject", "school_id"])
+                      ["subject", "school_id", "student_id", "term"])
     demeaned = spark.read.schema(layers.demeaned.schema).parquet(dm_path).select(*layers.demeaned.columns)
     moments = fx.group_moments(demeaned)
     mart = Q.enforce_contract(fx.score_effects(moments, None, params), MART_SCHEMA)

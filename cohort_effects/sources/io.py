@@ -69,17 +69,21 @@ def write_partitioned(
 ) -> str:
     """One directory per partition value, rows clustered inside.
 
-    ``repartition`` on the partition columns gives one writer per value (no
-    small-file explosion); ``sortWithinPartitions`` on the cluster columns
-    makes Parquet row-group min/max statistics selective for later scans.
-    With ``partitionOverwriteMode=dynamic`` an overwrite only replaces the
+    With ``sort_by`` the rows are range-partitioned on (partition columns,
+    cluster columns) and sorted within each task: a large partition value
+    (a year holding a third of the rows) is split across many writer tasks,
+    each file covers a narrow key range, and Parquet row-group min/max
+    statistics become selective.  End ``sort_by`` with a near-unique column
+    so that no single key value has to fit in one task.  Without ``sort_by``
+    each task writes its own rows (no shuffle).  With
+    ``partitionOverwriteMode=dynamic`` an overwrite only replaces the
     partitions present in ``df`` (Z1).
     """
     out = df
-    if partition_by:
-        out = out.repartition(*partition_by)
     if sort_by:
-        out = out.sortWithinPartitions(*partition_by, *sort_by)
+        out = out.repartitionByRange(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
+    elif partition_by:
+        out = out.sortWithinPartitions(*partition_by)
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return path
 
@@ -99,7 +103,8 @@ def read_partition(
 
 
 def write_csv_by(df: DataFrame, path: str, by: str) -> str:
-    """One CSV (with header) per value of ``by``."""
+    """One CSV (with header) per value of ``by``.  Meant for report-sized
+    tables (top lists), so each value is written by one task."""
     df.repartition(by).write.mode("overwrite").partitionBy(by).option("header", True).csv(path)
     return path
 
