@@ -31,3 +31,29 @@ def test_scan_prunes_columns_and_partitions(spark, tmp_path):
     df = io.read_partition(spark, path, {"year": 1998}).select("school_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "ReadSchema: struct<school_id:bigint>" in plan
+
+
+def test_student_stats_are_partial_aggregates_not_windows(spark):
+    L = layers(spark, SF_SMALL)
+    L.demeaned.collect()
+    s = _plan(L.demeaned)
+    assert "partial_avg(grade" in s and "partial_count(1)" in s
+    assert "Window [avg(grade" not in s
+
+
+def test_mart_shuffles_once_for_variances_and_rank(spark):
+    L = layers(spark, SF_SMALL)
+    L.mart.collect()
+    final = L.mart._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning(subject") == 1
+
+
+def test_bounded_tables_are_broadcast(spark):
+    from cohort_effects.operators import effects as fx
+    from cohort_effects.operators import profile as Pm
+
+    L = layers(spark, SF_SMALL)
+    s = fx.shrink(L.effects, L.variances)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in s
+    h = Pm.histogram(L.enriched, "grade", 10, ["subject"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in h and "SortMergeJoin" not in h
