@@ -56,4 +56,4 @@ def test_bounded_tables_are_broadcast(spark):
     s = fx.shrink(L.effects, L.variances)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in s
     h = Pm.histogram(L.enriched, "grade", 10, ["subject"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in h and "SortMergeJoin" not in h
+    assert "BroadcastHashJoin [subject" in h and "SortMergeJoin [subject" not in h
