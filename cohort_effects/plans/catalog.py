@@ -1028,8 +1028,8 @@ def q_overwrite(spark, base):
     m = _mart(spark, base)
     IO.write_partitioned(m, path, ["year"], ["subject", "effect_class", "school_id"])
     # Rebuild only one year: with dynamic overwrite the other years stay.
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    IO.write_partitioned(m.filter(F.col("year") == _SLICE_YEAR), path, ["year"], ["subject", "effect_class", "school_id"])
+    IO.write_partitioned(m.filter(F.col("year") == _SLICE_YEAR), path, ["year"],
+                         ["subject", "effect_class", "school_id"], dynamic=True)
     return normalize(spark.read.schema(m.schema).parquet(path).select(*_MART_COLS.split(", ")))
 
 

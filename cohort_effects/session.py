@@ -22,7 +22,6 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.driver.memory": "16g",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

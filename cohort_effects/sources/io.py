@@ -66,6 +66,7 @@ def write_partitioned(
     partition_by: Sequence[str] = ("year",),
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
+    dynamic: bool = False,
 ) -> str:
     """One directory per partition value, rows clustered inside.
 
@@ -75,16 +76,19 @@ def write_partitioned(
     each file covers a narrow key range, and Parquet row-group min/max
     statistics become selective.  End ``sort_by`` with a near-unique column
     so that no single key value has to fit in one task.  Without ``sort_by``
-    each task writes its own rows (no shuffle).  With
-    ``partitionOverwriteMode=dynamic`` an overwrite only replaces the
-    partitions present in ``df`` (Z1).
+    each task writes its own rows (no shuffle).  ``dynamic=True`` overwrites
+    only the partitions present in ``df`` (Z1); it is a per-write option, the
+    session setting is left alone.
     """
     out = df
     if sort_by:
         out = out.repartitionByRange(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
     elif partition_by:
         out = out.sortWithinPartitions(*partition_by)
-    out.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = out.write.mode(mode).partitionBy(*partition_by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
     return path
 
 
