@@ -320,6 +320,24 @@ def _poisson1(u: Column) -> Column:
     return expr.otherwise(F.lit(7))
 
 
+def replicate_weights(
+    dm: DataFrame,
+    replicates: int,
+    by: Sequence[str] = ("school_id", "subject", "year"),
+    row_key: Sequence[str] = ("student_id", "term", "subject"),
+    value: str = "grade_dm",
+    seed: int = 42,
+) -> DataFrame:
+    """One row per (detail row, replicate ``_b``) with its Poisson(1) weight
+    ``_wt`` drawn from a hash of (row key, replicate, seed)."""
+    src = dm.filter(F.col(by[0]).isNotNull())
+    reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_b")
+    long = src.select(*by, *[c for c in row_key if c not in by], value, reps)
+    h = F.xxhash64(*[F.col(c) for c in row_key], F.col("_b"), F.lit(seed))
+    u = F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
+    return long.withColumn("_wt", _poisson1(u).cast("double"))
+
+
 def bootstrap_se(
     dm: DataFrame,
     replicates: int = 20,
@@ -336,13 +354,8 @@ def bootstrap_se(
     (group, replicate) with partial aggregation, then the spread of the
     replicate means per group gives the standard error.
     """
-    src = dm.filter(F.col(by[0]).isNotNull())
-    reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_b")
-    long = src.select(*by, *[c for c in row_key if c not in by], value, reps)
-    h = F.xxhash64(*[F.col(c) for c in row_key], F.col("_b"), F.lit(seed))
-    u = (F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30)))
-    w = _poisson1(u).cast("double")
-    per = long.groupBy(*by, "_b").agg(F.sum(w * F.col(value)).alias("_s"), F.sum(w).alias("_w"))
+    long = replicate_weights(dm, replicates, by, row_key, value, seed)
+    per = long.groupBy(*by, "_b").agg(F.sum(F.col("_wt") * F.col(value)).alias("_s"), F.sum("_wt").alias("_w"))
     means = per.select(*by, F.try_divide(F.col("_s"), F.col("_w")).alias("_m"))
     return means.groupBy(*by).agg(
         F.stddev_samp("_m").alias("boot_se"),
