@@ -43,11 +43,8 @@ def column_profile(df: DataFrame, table: str, nulls_as_value: bool = False, with
             c = c + F.lit(0.0)  # -0.0 and 0.0 are one value
         return c.cast("string")
 
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(f.name).alias("column_name"), as_text(f).alias("v")) for f in df.schema.fields])
-        ).alias("kv")
-    ).select("kv.column_name", "kv.v")
+    texts = df.select(*[as_text(f).alias(f.name) for f in df.schema.fields])
+    long = texts.unpivot([], cols, "column_name", "v")  # one Expand, no per-row arrays
     per_value = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
     counted = per_value if nulls_as_value else per_value.filter(F.col("v").isNotNull())
     stats = per_value.groupBy("column_name").agg(
