@@ -64,11 +64,12 @@ def _doubles(df_cols: str) -> list[str]:
     return [c.strip() for c in df_cols.split(",") if c.strip()]
 
 
-_LAYER_CACHE: dict[tuple[int, str], Layers] = {}
+_LAYER_CACHE: dict[tuple, Layers] = {}
 
 
 def layers(spark: SparkSession, base: str) -> Layers:
-    key = (id(spark), base)
+    """Lazy fixture layers, built once per (session, application, folder)."""
+    key = (id(spark), spark.sparkContext.applicationId, base)
     if key not in _LAYER_CACHE:
         _LAYER_CACHE[key] = fixture_layers(spark, base, QP)
     return _LAYER_CACHE[key]
