@@ -175,7 +175,7 @@ def variance_components_join_form(dm: DataFrame, effects: DataFrame, by: Sequenc
     """M10 written literally (J4/J5): detail joined to its group means.
 
     Kept as an independent check of ``variance_components``; it reads the
-    detail twice and is not used by the pipeline.
+    detail twice and is not used by the build.
     """
     notes = dm.filter(F.col("school_id").isNotNull())
     keys = ["school_id", *by]

@@ -1 +1 @@
-"""Composed plans: fixture adapters, the effect pipeline and the query catalogue."""
+"""Composed plans: fixture adapters, the layered build and the query catalogue."""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from cohort_effects.params import Params
 from cohort_effects.plans import oracle as O
-from cohort_effects.plans.pipeline import Layers, fixture_layers
+from cohort_effects.plans.build import Layers, fixture_layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -381,7 +381,7 @@ def q_contract(spark, base):
 def q_suite(spark, base):
     # 41 checks read the layers many times: run them on checkpointed layers
     # (the project materialises its layers as tables too).
-    from cohort_effects.plans.pipeline import checkpointed
+    from cohort_effects.plans.build import checkpointed
 
     L = fixture_layers(spark, base, QP, materialize=checkpointed)
     return Qm.run_checks(SU.suite(L, QP), SU.tables_of(L), QP.target)
@@ -1089,7 +1089,7 @@ def q_stream_refresh(spark, base):
     runs (available-now trigger, one shared checkpoint, so the second run
     sees only the new files) and rebuilds the touched years.  The mart is
     then read back whole."""
-    from cohort_effects.plans.pipeline import build_layers
+    from cohort_effects.plans.build import build_layers
     from cohort_effects.streaming import start_year_refresh
 
     li = _t(spark, base, "lineitem")
@@ -1111,7 +1111,7 @@ def q_stream_refresh(spark, base):
 def q_build(spark, base):
     """M16 end to end: write the table layers (contract + NOT NULL guard),
     then run the suite on what was written."""
-    from cohort_effects.plans.pipeline import checkpointed, run_build
+    from cohort_effects.plans.build import checkpointed, run_build
 
     L = fixture_layers(spark, base, QP, materialize=checkpointed)
     return run_build(L, work_path(spark, "build"), QP, gate_on_errors=False)

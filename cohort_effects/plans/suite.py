@@ -1,4 +1,4 @@
-"""The project's check suite over the pipeline layers (33 generic + 8
+"""The project's check suite over the build layers (33 generic + 8
 singular checks), and its SQL rendering for the DuckDB oracle."""
 
 from __future__ import annotations
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohort_effects.operators import quality as Q
 from cohort_effects.params import Params
-from cohort_effects.plans.pipeline import Layers
+from cohort_effects.plans.build import Layers
 
 # Layer name -> oracle CTE name
 SQL_TABLE = {

@@ -31,7 +31,7 @@ def test_volumes_and_catalog(spark):
 
 def test_stream_refresh_only_touched_years(spark, tmp_path):
     from cohort_effects.plans import fixtures as FX
-    from cohort_effects.plans.pipeline import build_layers
+    from cohort_effects.plans.build import build_layers
     from cohort_effects.sources.io import read_table
     from cohort_effects.streaming import start_year_refresh
 
@@ -59,7 +59,7 @@ def test_stream_refresh_only_touched_years(spark, tmp_path):
 
 def test_run_build_writes_and_gates(spark, tmp_path):
     from cohort_effects.plans.catalog import QP
-    from cohort_effects.plans.pipeline import fixture_layers, run_build
+    from cohort_effects.plans.build import fixture_layers, run_build
 
     res = run_build(fixture_layers(spark, SF_SMALL, QP), str(tmp_path / "out"), QP, gate_on_errors=False)
     rows = {r.check_name: r for r in res.collect()}
