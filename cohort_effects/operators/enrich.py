@@ -76,7 +76,8 @@ def enrich_scores(
     ``scores`` is already the output of ``attach_context``."""
     ctx = scores if attached else attach_context(scores, bridge, years, subject_map)
     stats = multi_flag_stats(ctx, ["student_id", "year"], "school_id", "multi_school")
-    cond = (ctx["student_id"] == stats["student_id"]) & ctx["year"].eqNullSafe(stats["year"])
+    # NULL student or year is its own group, as in a window partition
+    cond = ctx["student_id"].eqNullSafe(stats["student_id"]) & ctx["year"].eqNullSafe(stats["year"])
     out = ctx.join(stats, cond, "left").select(ctx["*"], stats["multi_school"])
     return out.select(
         "student_id", "term", "subject", "class_id", "school_id", "year", "grade", "multi_school"

@@ -150,3 +150,13 @@ def test_bootstrap_is_repeatable(spark):
     a = fx.bootstrap_se(dm, 10).collect()
     b = fx.bootstrap_se(dm, 10).collect()
     assert a == b and a[0]["n_replicates"] == 10 and a[0]["boot_se"] > 0
+
+
+def test_null_keys_form_their_own_group(spark):
+    scores = spark.createDataFrame(
+        [(None, 1, 10, 5.0), (None, 2, 11, 6.0)], "student_id string, term bigint, class_id bigint, subject_1 double"
+    )
+    bridge = spark.createDataFrame([(10, 1), (11, 2)], "class_id bigint, school_id bigint")
+    years = spark.createDataFrame([(10, 2000), (11, 2000)], "class_id bigint, year bigint")
+    out = enrich.enrich_scores(scores, bridge, years, {"subject_1": "x"}).collect()
+    assert len(out) == 2 and all(r.multi_school is True for r in out)
