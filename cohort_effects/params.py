@@ -75,3 +75,14 @@ class Params:
     @property
     def subjects(self) -> list[str]:
         return list(dict.fromkeys(self.subject_map.values()))
+
+
+def reference_vocabulary(**overrides) -> Params:
+    """Params using the analysed project's own subject names and labels."""
+    base = dict(
+        subject_map=dict(REFERENCE_SUBJECT_NAMES),
+        effect_labels=REFERENCE_EFFECT_LABELS,
+        confidence_labels=REFERENCE_CONFIDENCE_LABELS,
+    )
+    base.update(overrides)
+    return Params(**base)

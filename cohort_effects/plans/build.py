@@ -64,6 +64,11 @@ def build_layers(
     attendance = m(staging.clean_attendance(raw_attendance))
     classes = m(staging.clean_classes(raw_classes))
     students = m(staging.clean_students(raw_students)) if raw_students is not None else None
+    return _layers_from_clean(scores, attendance, classes, students, params, m)
+
+
+def _layers_from_clean(scores, attendance, classes, students, params: Params, m) -> Layers:
+    """Everything after the cleaners (bridges, enrichment, model)."""
     bridge = m(enrich.class_school_bridge(attendance))
     years = m(enrich.class_year(classes))
     context = m(enrich.attach_context(scores, bridge, years, params.subject_map))
@@ -97,6 +102,34 @@ def fixture_layers(spark: SparkSession, base: str, params: Params = Params(), ma
     )
 
 
+def source_layers(
+    spark: SparkSession,
+    base: str,
+    names: dict | None = None,
+    params: Params | None = None,
+    materialize=None,
+) -> Layers:
+    """Layers straight from the analysed project's raw tables.
+
+    ``names`` maps the roles student / roster / attendance / score to file
+    names under ``base`` (``{name}.parquet``); raw column names come from
+    ``SOURCE_COLUMNS`` and the wide score columns from ``params.subject_map``.
+    """
+    from cohort_effects.params import reference_vocabulary
+    from cohort_effects.sources.schemas import SOURCE_COLUMNS
+
+    p = params or reference_vocabulary()
+    names = names or {"student": "aluno", "roster": "turma", "attendance": "frequencia", "score": "avaliacao"}
+    m = materialize or (lambda d: d)
+    raw = {role: read_table(spark, base, fname) for role, fname in names.items()}
+    sc, ac, rc, stc = (SOURCE_COLUMNS[k] for k in ("score", "attendance", "roster", "student"))
+    scores = m(staging.clean_scores(raw["score"], measures=list(p.subject_map), **sc))
+    attendance = m(staging.clean_attendance(raw["attendance"], **ac))
+    classes = m(staging.clean_classes(raw["roster"], **rc))
+    students = m(staging.clean_students(raw["student"], **stc)) if "student" in raw else None
+    return _layers_from_clean(scores, attendance, classes, students, p, m)
+
+
 def effect_mart(
     raw_scores: DataFrame,
     raw_attendance: DataFrame,
