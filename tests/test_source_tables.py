@@ -45,3 +45,13 @@ def test_build_from_source_tables(spark, tmp_path):
     assert {r.confidence for r in mart} <= set(REFERENCE_CONFIDENCE_LABELS)
     assert sum(r.n_obs for r in mart) == L.demeaned.count() == 36 * 4 * 3
     assert L.students.count() == 36 and len(L.students.first().student_id) == 32
+
+
+def test_cli_build(spark, tmp_path):
+    from cohort_effects.__main__ import main
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    _write_raw(spark, str(raw))
+    assert main(["build", str(raw), str(tmp_path / "out"), "--no-gate"]) == 0
+    assert (tmp_path / "out" / "marts" / "effects").is_dir()
