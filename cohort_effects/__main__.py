@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     apply_scale_conf(spark)
     ensure_checkpoint_dir(spark)
     params = reference_vocabulary(target=args.target)
-    layers = source_layers(spark, args.raw_dir, params=params, materialize=checkpointed)
+    layers = source_layers(spark, args.raw_dir, params=params, materialize=checkpointed, materialize_model=False)
     try:
         results = run_build(layers, args.out_dir, params, gate_on_errors=not args.no_gate)
     except ContractError as e:

@@ -52,22 +52,25 @@ def build_layers(
     raw_students: DataFrame | None = None,
     params: Params = Params(),
     materialize: Callable[[DataFrame], DataFrame] | None = None,
+    materialize_model: bool = True,
 ) -> Layers:
     """All layers as lazy DataFrames.
 
     ``materialize`` (e.g. ``checkpointed``) is applied to every layer that
     later layers or checks read more than once, and the following layers are
-    built on the materialised result.
+    built on the materialised result.  ``materialize_model=False`` leaves the
+    model layers (demeaned .. mart) lazy, for callers that write them as
+    tables themselves (``run_build``).
     """
     m = materialize or (lambda d: d)
     scores = m(staging.clean_scores(raw_scores, measures=list(params.subject_map)))
     attendance = m(staging.clean_attendance(raw_attendance))
     classes = m(staging.clean_classes(raw_classes))
     students = m(staging.clean_students(raw_students)) if raw_students is not None else None
-    return _layers_from_clean(scores, attendance, classes, students, params, m)
+    return _layers_from_clean(scores, attendance, classes, students, params, m, materialize_model)
 
 
-def _layers_from_clean(scores, attendance, classes, students, params: Params, m) -> Layers:
+def _layers_from_clean(scores, attendance, classes, students, params: Params, m, materialize_model=True) -> Layers:
     """Everything after the cleaners (bridges, enrichment, model)."""
     bridge = m(enrich.class_school_bridge(attendance))
     years = m(enrich.class_year(classes))
@@ -84,21 +87,25 @@ def _layers_from_clean(scores, attendance, classes, students, params: Params, m)
         "student_id", "class_id", "year", "term", "subject", "school_id",
         "grade", "student_mean", "grade_dm", "n_obs_student", "multi_school",
     )
-    demeaned = m(demeaned)
-    moments = m(fx.group_moments(demeaned))
+    mm = m if materialize_model else (lambda d: d)
+    demeaned = mm(demeaned)
+    moments = mm(fx.group_moments(demeaned))
     effects = moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect")
-    variances = m(fx.variance_components(moments))
-    mart = m(fx.score_effects(moments, None, params))
+    variances = mm(fx.variance_components(moments))
+    mart = mm(fx.score_effects(moments, None, params))
     return Layers(students, scores, attendance, classes, bridge, years, context, enriched,
                   demeaned, moments, effects, variances, mart)
 
 
-def fixture_layers(spark: SparkSession, base: str, params: Params = Params(), materialize=None) -> Layers:
+def fixture_layers(
+    spark: SparkSession, base: str, params: Params = Params(), materialize=None, materialize_model: bool = True
+) -> Layers:
     """Layers over the driver tables through the fixture adapters."""
     li = read_table(spark, base, "lineitem")
     students = fixtures.raw_student(read_table(spark, base, "orders"), read_table(spark, base, "customer"))
     return build_layers(
-        fixtures.raw_score(li), fixtures.raw_attendance(li), fixtures.raw_class(li), students, params, materialize
+        fixtures.raw_score(li), fixtures.raw_attendance(li), fixtures.raw_class(li), students, params, materialize,
+        materialize_model,
     )
 
 
@@ -108,6 +115,7 @@ def source_layers(
     names: dict | None = None,
     params: Params | None = None,
     materialize=None,
+    materialize_model: bool = True,
 ) -> Layers:
     """Layers straight from the analysed project's raw tables.
 
@@ -127,7 +135,7 @@ def source_layers(
     attendance = m(staging.clean_attendance(raw["attendance"], **ac))
     classes = m(staging.clean_classes(raw["roster"], **rc))
     students = m(staging.clean_students(raw["student"], **stc)) if "student" in raw else None
-    return _layers_from_clean(scores, attendance, classes, students, p, m)
+    return _layers_from_clean(scores, attendance, classes, students, p, m, materialize_model)
 
 
 def effect_mart(
@@ -168,7 +176,9 @@ def run_build(
     write_partitioned(Q.assert_not_null(layers.demeaned, NOT_NULL_DEMEANED), dm_path, ["year"],
                       ["subject", "school_id", "student_id", "term"])
     demeaned = spark.read.schema(layers.demeaned.schema).parquet(dm_path).select(*layers.demeaned.columns)
-    moments = fx.group_moments(demeaned)
+    # level-1 moments are mart-sized; writing them once keeps the effect and
+    # variance checks from re-aggregating the whole detail table each time
+    moments = checkpointed(fx.group_moments(demeaned))
     mart = Q.enforce_contract(fx.score_effects(moments, None, params), MART_SCHEMA)
     write_partitioned(Q.assert_not_null(mart, NOT_NULL_MART), mart_path, ["year"],
                       ["subject", "effect_class", "school_id"])

@@ -1113,7 +1113,7 @@ def q_build(spark, base):
     then run the suite on what was written."""
     from cohort_effects.plans.build import checkpointed, run_build
 
-    L = fixture_layers(spark, base, QP, materialize=checkpointed)
+    L = fixture_layers(spark, base, QP, materialize=checkpointed, materialize_model=False)
     return run_build(L, work_path(spark, "build"), QP, gate_on_errors=False)
 
 
