@@ -70,19 +70,23 @@ def write_partitioned(
 ) -> str:
     """One directory per partition value, rows clustered inside.
 
-    With ``sort_by`` the rows are range-partitioned on (partition columns,
-    cluster columns) and sorted within each task: a large partition value
-    (a year holding a third of the rows) is split across many writer tasks,
-    each file covers a narrow key range, and Parquet row-group min/max
-    statistics become selective.  End ``sort_by`` with a near-unique column
-    so that no single key value has to fit in one task.  Without ``sort_by``
+    With ``sort_by`` the rows are hash-partitioned on (partition columns,
+    cluster columns) and sorted within each task by the same columns.  A
+    large partition value (a year holding a third of the rows) is spread
+    over all writer tasks, and each file's row groups cover narrow, sorted
+    key ranges, so Parquet min/max statistics stay selective.  End
+    ``sort_by`` with a near-unique column so no single key value has to fit
+    in one task.  (Range partitioning would give disjoint files but costs a
+    sampling job that recomputes the whole input plan.)  Without ``sort_by``
     each task writes its own rows (no shuffle).  ``dynamic=True`` overwrites
     only the partitions present in ``df`` (Z1); it is a per-write option, the
     session setting is left alone.
     """
     out = df
     if sort_by:
-        out = out.repartitionByRange(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
+        out = out.repartition(*[F.col(c) for c in (*partition_by, *sort_by)]).sortWithinPartitions(
+            *partition_by, *sort_by
+        )
     elif partition_by:
         out = out.sortWithinPartitions(*partition_by)
     writer = out.write.mode(mode).partitionBy(*partition_by)
