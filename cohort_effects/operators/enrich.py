@@ -40,15 +40,20 @@ def attach_context(
     subject_map: Mapping[str, str],
     ids: Sequence[str] = ("student_id", "class_id", "term"),
 ) -> DataFrame:
-    """Unpivot clean scores and add school and year (left joins keep orphans).
-
-    Join strategy is left to the optimizer: AQE turns a join into a broadcast
-    only after measuring the bridge at run time, and splits skewed class
+    """Add school and year to clean scores (left joins keep orphans), then
+    unpivot to one row per (student, term, subject) grade.
+
+    The joins run on the wide rows -- one per (student, term) -- before the
+    unpivot multiplies them by the number of subjects, so the join probes a
+    third as many rows (a bridge fan-out is carried through the unpivot
+    unchanged).  Join strategy is left to the optimizer: AQE broadcasts a
+    side only after measuring it at run time, and splits skewed class
     partitions otherwise.
     """
     measures = {m: s for m, s in subject_map.items() if m in scores.columns}
-    long = melt_measures(scores, list(ids), measures, "subject", "grade")
-    return long.join(bridge, "class_id", "left").join(years, "class_id", "left")
+    wide = scores.select(*ids, *measures).join(bridge, "class_id", "left").join(years, "class_id", "left")
+    long = melt_measures(wide, [*ids, "school_id", "year"], measures, "subject", "grade")
+    return long.select(*ids, "subject", "grade", "school_id", "year")
 
 
 def multi_flag_stats(df: DataFrame, entity: Sequence[str], target: str, flag: str) -> DataFrame:
