@@ -366,10 +366,14 @@ def failing_rows(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
 def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """(check_name, failures) for every check.
 
-    Row-level checks on one table share one aggregate (one scan); the others
-    each count their failing rows.  All branches form one plan, so identical
+    Row-level checks on one table share one aggregate (one scan).  The other
+    checks tag their failing rows with the check name; the tagged rows of all
+    checks are counted by a single grouped aggregate (one shuffle for all of
+    them, partially aggregated per task), and checks without failing rows
+    get 0 from the list of names.  All branches form one plan, so identical
     sub-plans are computed once (exchange reuse).
     """
+    spark = next(iter(tables.values())).sparkSession
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for ch in checks:
@@ -379,13 +383,18 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
         agg = tables[tname].agg(*[_row_level_exprs(ch).cast("bigint").alias(f"c{i}") for i, ch in enumerate(group)])
         stack = ", ".join(f"'{ch.name}', c{i}" for i, ch in enumerate(group))
         parts.append(agg.selectExpr(f"stack({len(group)}, {stack}) as (check_name, failures)"))
-    for ch in checks:
-        if ch.kind in ROW_KINDS:
-            continue
+    tagged = [failing_rows(ch, tables).select(F.lit(ch.name).alias("check_name"))
+              for ch in checks if ch.kind not in ROW_KINDS]
+    if tagged:
+        rows = tagged[0]
+        for t in tagged[1:]:
+            rows = rows.unionByName(t)
+        counted = rows.groupBy("check_name").agg(F.count(F.lit(1)).alias("failures"))
+        names = spark.createDataFrame([(ch.name,) for ch in checks if ch.kind not in ROW_KINDS], "check_name string")
+        # one row per check: bounded by the suite size
         parts.append(
-            failing_rows(ch, tables).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(ch.name).alias("check_name"), "failures"
-            )
+            F.broadcast(names).join(counted, "check_name", "left")
+            .select("check_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
         )
     out = parts[0]
     for p in parts[1:]:
