@@ -65,3 +65,15 @@ def test_run_build_writes_and_gates(spark, tmp_path):
     rows = {r.check_name: r for r in res.collect()}
     assert len(rows) == 41 and rows["zero_sum_demeaned"].status == "pass"
     assert os.path.isdir(str(tmp_path / "out" / "marts" / "effects"))
+
+
+def test_scale_conf_only_fills_unset_keys(spark):
+    from cohort_effects.session import apply_scale_conf
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    key = "spark.sql.adaptive.skewJoin.skewedPartitionFactor"
+    was_set = spark.conf.get(key, None)
+    applied = apply_scale_conf(spark, {"spark.sql.shuffle.partitions": "20000", key: "4"})
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # set by the session: kept
+    assert "spark.sql.shuffle.partitions" not in applied
+    assert (key in applied) == (was_set is None)
