@@ -405,26 +405,39 @@ def _t(spark, base, name):
     return IO.read_table(spark, base, name)
 
 
-_ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+# Profiles of several tables stacked into one result.
+_PROFILE_TABLES = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "region": ["r_regionkey", "r_name"],
+}
 
 
 def _profile_sql():
     rows = []
-    for c in _ORDERS_COLS:
-        rows.append(
-            f"""SELECT 'orders' AS table_name, '{c}' AS column_name, count(*) AS n_rows,
-            CAST(count_if({c} IS NULL) AS DOUBLE) / count(*) AS pct_null,
-            count(DISTINCT {c}) AS nunique,
-            coalesce(CAST((SELECT max(n) FROM (SELECT count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY {c}))
-                     AS DOUBLE) / count(*), 0.0) AS pct_mode
-            FROM orders"""
-        )
+    for t, cols in _PROFILE_TABLES.items():
+        for c in cols:
+            rows.append(
+                f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows,
+                CAST(count_if({c} IS NULL) AS DOUBLE) / count(*) AS pct_null,
+                count(DISTINCT {c}) AS nunique,
+                coalesce(CAST((SELECT max(n) FROM (SELECT count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}))
+                         AS DOUBLE) / count(*), 0.0) AS pct_mode
+                FROM {t}"""
+            )
     return O.norm(" UNION ALL ".join(rows), ["pct_null", "pct_mode"])
 
 
 @register("column_profile", _profile_sql())
 def q_profile(spark, base):
-    return normalize(Pm.column_profile(_t(spark, base, "orders").select(*_ORDERS_COLS), "orders"))
+    parts = [Pm.column_profile(_t(spark, base, t).select(*cols), t) for t, cols in _PROFILE_TABLES.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return normalize(out)
 
 
 def _raw(spark, base):
