@@ -63,17 +63,31 @@ def build_layers(
     tables themselves (``run_build``).
     """
     m = materialize or (lambda d: d)
-    scores = m(staging.clean_scores(raw_scores, measures=list(params.subject_map)))
-    attendance = m(staging.clean_attendance(raw_attendance))
-    classes = m(staging.clean_classes(raw_classes))
-    students = m(staging.clean_students(raw_students)) if raw_students is not None else None
+    scores, attendance, classes, students = _each(m, [
+        staging.clean_scores(raw_scores, measures=list(params.subject_map)),
+        staging.clean_attendance(raw_attendance),
+        staging.clean_classes(raw_classes),
+        staging.clean_students(raw_students) if raw_students is not None else None,
+    ])
     return _layers_from_clean(scores, attendance, classes, students, params, m, materialize_model)
 
 
+def _each(m, dfs: list) -> list:
+    """Apply ``m`` to independent layers; when ``m`` materialises, the jobs
+    are submitted concurrently (one thread each) so their stages share the
+    cluster instead of waiting on each other's stage barriers."""
+    if m is None or getattr(m, "__name__", "") == "<lambda>":
+        return [m(d) if d is not None else None for d in dfs]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(dfs))) as pool:
+        futures = [pool.submit(m, d) if d is not None else None for d in dfs]
+        return [f.result() if f is not None else None for f in futures]
+
+
 def _layers_from_clean(scores, attendance, classes, students, params: Params, m, materialize_model=True) -> Layers:
     """Everything after the cleaners (bridges, enrichment, model)."""
-    bridge = m(enrich.class_school_bridge(attendance))
-    years = m(enrich.class_year(classes))
+    bridge, years = _each(m, [enrich.class_school_bridge(attendance), enrich.class_year(classes)])
     context = m(enrich.attach_context(scores, bridge, years, params.subject_map))
     enriched = m(enrich.enrich_scores(context, None, None, params.subject_map, attached=True))
     # The flag and the demeaning statistics share one (student, year)
@@ -131,10 +145,12 @@ def source_layers(
     m = materialize or (lambda d: d)
     raw = {role: read_table(spark, base, fname) for role, fname in names.items()}
     sc, ac, rc, stc = (SOURCE_COLUMNS[k] for k in ("score", "attendance", "roster", "student"))
-    scores = m(staging.clean_scores(raw["score"], measures=list(p.subject_map), **sc))
-    attendance = m(staging.clean_attendance(raw["attendance"], **ac))
-    classes = m(staging.clean_classes(raw["roster"], **rc))
-    students = m(staging.clean_students(raw["student"], **stc)) if "student" in raw else None
+    scores, attendance, classes, students = _each(m, [
+        staging.clean_scores(raw["score"], measures=list(p.subject_map), **sc),
+        staging.clean_attendance(raw["attendance"], **ac),
+        staging.clean_classes(raw["roster"], **rc),
+        staging.clean_students(raw["student"], **stc) if "student" in raw else None,
+    ])
     return _layers_from_clean(scores, attendance, classes, students, p, m, materialize_model)
 
 
