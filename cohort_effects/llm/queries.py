@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from cohort_effects.llm.op3_packing import op3_packing
 from cohort_effects.llm.op10_sharding import op10_sharding
 
 QUERIES = {
+    "op3_packing": op3_packing,
     "op10_sharding": op10_sharding,
 }
 
