@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from cohort_effects.llm.op2_suffix import op2_suffix_dedup
 from cohort_effects.llm.op3_packing import op3_packing
 from cohort_effects.llm.op4_quality import op4_quality
 from cohort_effects.llm.op6_langid import op6_langid
+from cohort_effects.llm.op9_substring import op9_substring_dedup
 from cohort_effects.llm.op10_sharding import op10_sharding
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op6_langid": op6_langid,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 
