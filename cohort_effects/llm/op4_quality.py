@@ -9,9 +9,9 @@ the two classes; a linear model with hinge loss is then fitted to the scaled
 indicators by dual coordinate descent.
 
 Counts cover all labelled rows outside the held-out fold.  The hinge model is
-fitted to at most ``FIT_ROWS`` of those rows (a documented bound: the rows with
-the smallest hash of their id, of either class up to half of it); the model,
-one float a bucket, is broadcast.
+fitted to at most ``FIT_ROWS`` of those rows (a documented bound: all of a class
+up to half of it, else those whose id hashes below a share); the model, one
+float a bucket, is broadcast.
 
 Scores are 1 / (1 + exp(-SLOPE * margin)), shifted so that margin 0 scores the
 threshold 0.3.  Edge cases: null and empty texts are scored like any text
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_effects.llm.tables import held_out, read
+from cohort_effects.llm.tables import held_out, materialise, read
 from cohort_effects.llm.textarrays import ODD, U, chunks, mix, word_hashes, words
 
 BUCKETS = 1 << 16
@@ -113,7 +113,7 @@ def indicators(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def featured(rows: DataFrame) -> DataFrame:
-    """``doc_id``, ``label`` and the sorted buckets of each row's text."""
+    """``doc_id`` and the sorted buckets of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,11 +121,9 @@ def featured(rows: DataFrame) -> DataFrame:
                 d, g = indicators(buf, off)
                 at = np.searchsorted(d, np.arange(hi - lo + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(g.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("label").slice(lo, hi - lo), lists], names=["doc_id", "label", "buckets"]
-                )
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), lists], names=["doc_id", "buckets"])
 
-    return rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, buckets array<int>")
+    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, buckets array<int>")
 
 
 def hinge_fit(indptr: np.ndarray, index: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
@@ -155,20 +153,22 @@ def hinge_fit(indptr: np.ndarray, index: np.ndarray, y: np.ndarray, scale: np.nd
 
 
 def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
-    """(scale, weights, bias) from rows with ``label`` 0 or 1, or None."""
-    got = featured(rows)
-    counts = got.select("label", F.explode("buckets").alias("bucket")).groupBy("label", "bucket").agg(F.count("*").alias("n")).toArrow()
+    """(scale, weights, bias) from rows with ``label`` 0 or 1 and ``buckets``,
+    or None."""
+    totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(totals) < 2:
+        return None
+    counts = rows.select("label", F.explode("buckets").alias("bucket")).groupBy("label", "bucket").agg(F.count("*").alias("n")).toArrow()
     n = np.zeros((2, BUCKETS))
     n[counts["label"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"].to_numpy()
-    if not n.any(axis=1).all():
-        return None
     p, q = n[1] + SMOOTHING, n[0] + SMOOTHING
     scale = np.log(p / p.sum()) - np.log(q / q.sum())
     scale[n.sum(axis=0) == 0] = 0
-    parts = [
-        featured(rows.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS // 2)).toArrow()
-        for label in (0, 1)
-    ]
+    half, parts = FIT_ROWS // 2, []
+    for label, total in totals.items():
+        share = 1.0 if total <= half else 0.95 * half / total
+        drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+        parts.append(rows.where((F.col("label") == label) & drawn).limit(half).select("label", "buckets").toArrow())
     table = pa.concat_tables(parts).combine_chunks()
     lists = table["buckets"].combine_chunks()
     indptr = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
@@ -202,7 +202,8 @@ def score(rows: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None) -
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with one undisputed label each, whole; a repeated id counts once."""
+    """Buckets of the texts with one undisputed label.  The buckets are made
+    where the texts are read, so the join moves them and not the texts."""
     one = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -210,7 +211,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .where(F.col("label") == F.col("_most"))
         .select("doc_id", F.col("label").cast("int").alias("label"))
     )
-    return docs.where(F.col("doc_id").isNotNull()).join(one, "doc_id")
+    return materialise(featured(docs.where(F.col("doc_id").isNotNull())).join(one, "doc_id"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
