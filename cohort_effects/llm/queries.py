@@ -6,6 +6,8 @@ from cohort_effects.llm.op2_suffix import op2_suffix_dedup
 from cohort_effects.llm.op3_packing import op3_packing
 from cohort_effects.llm.op4_quality import op4_quality
 from cohort_effects.llm.op6_langid import op6_langid
+from cohort_effects.llm.op7_topk import OP7_SQL, op7_topk
+from cohort_effects.llm.op8_minhash import op8_minhash
 from cohort_effects.llm.op9_substring import op9_substring_dedup
 from cohort_effects.llm.op10_sharding import op10_sharding
 
@@ -14,8 +16,12 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op6_langid": op6_langid,
+    "op7_topk": op7_topk,
+    "op8_minhash": op8_minhash,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_topk": OP7_SQL,
+}

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_effects.llm.tables import texts
-from cohort_effects.llm.textarrays import ODD, U, as_long, chunks, mix, shingle_hashes, sliding_min, word_hashes, words
+from cohort_effects.llm.textarrays import ODD, U, as_long, chunks, mix, shingle_hashes, sliding_min, whole_groups, word_hashes, words
 
 NO_ID = -(2**63)
 HOT_SHARE = 1e-5
@@ -276,26 +276,8 @@ def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: in
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):  # so that one batch is never much over the limit
-                part = batch.slice(lo, 4096)
-                held.append(part)
-                size += pa.compute.sum(pa.compute.binary_length(part.column("span"))).as_py() or 0
-                if size < limit:
-                    continue
-                table = pa.Table.from_batches(held).combine_chunks()
-                a, s = table["anchor"].to_numpy(), table["salt"].to_numpy()
-                change = np.flatnonzero((a[1:] != a[:-1]) | (s[1:] != s[:-1]))
-                if not len(change):
-                    held, size = table.to_batches(), 0  # one group still; try again after as much more
-                    continue
-                cut = int(change[-1]) + 1
-                yield from settle(table.slice(0, cut))
-                held, size = table.slice(cut).to_batches(), 0
-        if held:
-            yield from settle(pa.Table.from_batches(held).combine_chunks())
+        for table in whole_groups(batches, ("anchor", "salt"), "span", limit):
+            yield from settle(table)
 
     return run
 

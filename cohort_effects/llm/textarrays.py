@@ -117,3 +117,28 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
 
 def as_long(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, str], payload: str, limit: int) -> Iterator[pa.Table]:
+    """Tables that hold whole groups of a partition sorted by ``keys`` (integer
+    columns), each of about ``limit`` bytes of ``payload`` or one larger group."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 4096):  # one batch can be far over the limit
+            part = batch.slice(lo, 4096)
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column(payload))).as_py() or 0
+            if size < limit:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            a, b = (table[k].to_numpy() for k in keys)
+            change = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+            if not len(change):  # one group still: look again after as much more
+                held, size = table.to_batches(), 0
+                continue
+            cut = int(change[-1]) + 1
+            yield table.slice(0, cut)
+            held, size = table.slice(cut).to_batches(), 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
