@@ -5,6 +5,7 @@ from __future__ import annotations
 from cohort_effects.llm.op2_suffix import op2_suffix_dedup
 from cohort_effects.llm.op3_packing import op3_packing
 from cohort_effects.llm.op4_quality import op4_quality
+from cohort_effects.llm.op5_ngram import op5_ngram_lm
 from cohort_effects.llm.op6_langid import op6_langid
 from cohort_effects.llm.op7_topk import OP7_SQL, op7_topk
 from cohort_effects.llm.op8_minhash import op8_minhash
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
+    "op5_ngram_lm": op5_ngram_lm,
     "op6_langid": op6_langid,
     "op7_topk": op7_topk,
     "op8_minhash": op8_minhash,

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_effects.session import ensure_checkpoint_dir
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers that share the driver's disk (local mode) import
+    this package from where the driver did; a cluster has it installed."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
