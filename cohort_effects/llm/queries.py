@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohort_effects.llm.op1_decontaminate import op1_decontaminate
 from cohort_effects.llm.op2_suffix import op2_suffix_dedup
 from cohort_effects.llm.op3_packing import op3_packing
 from cohort_effects.llm.op4_quality import op4_quality
@@ -13,6 +14,7 @@ from cohort_effects.llm.op9_substring import op9_substring_dedup
 from cohort_effects.llm.op10_sharding import op10_sharding
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
