@@ -86,7 +86,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
                         [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.list_(pa.int64()), pa.int32()), strict=True)], names=["item_id", "words", "answer"]
                     )
 
-    rows = texts(benchmark, "item_id").withColumn("text", F.lower("text")).distinct()
+    rows = texts(benchmark, id_col="item_id").withColumn("text", F.lower("text")).distinct()
     return rows.mapInArrow(run, "item_id long, words array<long>, answer int")
 
 
@@ -302,5 +302,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without a leak."""
+    leaks = contamination(docs, benchmark).select(F.struct("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, F.struct(docs["doc_id"].cast("long").alias("doc_id")) == F.col("_leak"), "left_anti")
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -53,7 +53,7 @@ def bucket_refine(buf: np.ndarray, off: np.ndarray, n: np.ndarray, group: np.nda
     return pointer[at]
 
 
-def _digest(ids: pa.Array, copies: np.ndarray, buf: np.ndarray, off: np.ndarray, s: Symbols, removed: np.ndarray) -> pa.RecordBatch:
+def _digest(rows: pa.RecordBatch, copies: np.ndarray, buf: np.ndarray, off: np.ndarray, s: Symbols, removed: np.ndarray) -> pa.RecordBatch:
     gone = covered(removed, off, copies, WINDOW)
     total = np.concatenate([[0], np.cumsum(gone)])
     begins = gone.copy()
@@ -66,7 +66,7 @@ def _digest(ids: pa.Array, copies: np.ndarray, buf: np.ndarray, off: np.ndarray,
         for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)
     ]
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(np.diff(off)), pa.array(np.diff(total[off])), pa.array(np.diff(spans[off])), pa.array(sha)],
+        [rows.column("_id"), pa.array(np.diff(off)), pa.array(np.diff(total[off])), pa.array(np.diff(spans[off])), pa.array(sha)],
         names=["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     )
 

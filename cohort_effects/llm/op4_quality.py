@@ -177,25 +177,28 @@ def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
     return scale, w, bias
 
 
+def scores(model: tuple[np.ndarray, np.ndarray, float] | None, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Score of each document of a chunk."""
+    docs = len(off) - 1
+    if model is None:
+        return np.ones(docs)
+    scale, w, bias = model
+    d, g = indicators(buf, off)
+    dot = np.bincount(d, (scale * w)[g], docs) + bias
+    norm = np.sqrt(np.bincount(d, (scale * scale)[g], docs) + 1)
+    return 1 / (1 + np.exp(-(SLOPE * dot / norm + np.log(THRESHOLD / (1 - THRESHOLD)))))
+
+
 def score(rows: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` of every row's whole text."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    shift = np.log(THRESHOLD / (1 - THRESHOLD))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             for lo, hi, buf, off in chunks(batch):
-                if model is None:
-                    out = np.ones(hi - lo)
-                else:
-                    scale, w, bias = model
-                    d, g = indicators(buf, off)
-                    dot = np.bincount(d, (scale * w)[g], hi - lo) + bias
-                    norm = np.sqrt(np.bincount(d, (scale * scale)[g], hi - lo) + 1)
-                    out = 1 / (1 + np.exp(-(SLOPE * dot / norm + shift)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(out)], names=["doc_id", "held_out", "score"]
+                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(scores(shared.value, buf, off))],
+                    names=["doc_id", "held_out", "score"],
                 )
 
     return rows.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double")
@@ -224,5 +227,20 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
     return score(rows, model).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
+    """The rows of ``docs``, all columns, that the classifier does not reject;
+    they are filtered where they are read."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    model = fit(labelled(rows.where(~held_out(F.col("doc_id"), folds, fold)), labels))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, buf, off in chunks(batch):
+                yield batch.slice(lo, hi - lo).filter(pa.array(scores(shared.value, buf, off) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

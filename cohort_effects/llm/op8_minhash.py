@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohort_effects.llm.components import components
@@ -256,6 +256,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return all_docs.select("id", "n", "a", "b").join(settled, ["a", "b", "n"], "left").select("id", "n", F.coalesce("component", "id").alias("component"))
 
 
+def representatives(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, one of each group of near duplicates
+    (the smallest id; of rows that share id and text, one)."""
+    kept = near_duplicates(docs, shingle, percent).where("id = component").select(F.col("id").alias("_kept")).distinct()
+    rows = docs.withColumn("_kept", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    stay = rows.join(kept.hint("shuffle_hash"), "_kept", "left_semi").withColumn("_text", F.xxhash64("text"))
+    first = F.row_number().over(Window.partitionBy("_kept", "_text").orderBy("_kept"))
+    return stay.withColumn("_first", first).where("_first = 1").select(*docs.columns)
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=4, percent=80).select(

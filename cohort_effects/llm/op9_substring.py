@@ -72,7 +72,7 @@ def seed_extend(buf: np.ndarray, off: np.ndarray, n: np.ndarray, group: np.ndarr
     return np.unique(mix(key), return_inverse=True)[1]
 
 
-def _digest(ids: pa.Array, copies: np.ndarray, buf: np.ndarray, off: np.ndarray, s: Symbols, removed: np.ndarray) -> pa.RecordBatch:
+def _digest(rows: pa.RecordBatch, copies: np.ndarray, buf: np.ndarray, off: np.ndarray, s: Symbols, removed: np.ndarray) -> pa.RecordBatch:
     gone = covered(removed, s.off, copies, WINDOW)
     sha, n_removed = [], []
     for a, b in zip(s.off[:-1].tolist(), s.off[1:].tolist(), strict=True):
@@ -81,7 +81,7 @@ def _digest(ids: pa.Array, copies: np.ndarray, buf: np.ndarray, off: np.ndarray,
         sha.append(hashlib.sha256(kept).hexdigest())
         n_removed.append(b - a - len(keep))
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(np.diff(s.off)), pa.array(n_removed, pa.int64()), pa.array(sha)], names=["_id", "n_words", "n_removed", "kept_sha256"]
+        [rows.column("_id"), pa.array(np.diff(s.off)), pa.array(n_removed, pa.int64()), pa.array(sha)], names=["_id", "n_words", "n_removed", "kept_sha256"]
     )
 
 
@@ -90,7 +90,7 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     return got.select(F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-def _kept_text(ids: pa.Array, copies: np.ndarray, buf: np.ndarray, off: np.ndarray, s: Symbols, removed: np.ndarray) -> pa.RecordBatch:
+def _kept_text(rows: pa.RecordBatch, copies: np.ndarray, buf: np.ndarray, off: np.ndarray, s: Symbols, removed: np.ndarray) -> pa.RecordBatch:
     gone = covered(removed, s.off, copies, WINDOW)
     out, cut = [], []
     for a, b, p, q in zip(s.off[:-1].tolist(), s.off[1:].tolist(), off[:-1].tolist(), off[1:].tolist(), strict=True):
@@ -100,13 +100,18 @@ def _kept_text(ids: pa.Array, copies: np.ndarray, buf: np.ndarray, off: np.ndarr
             out.append(buf[p:q].tobytes())
         else:
             out.append(b" ".join([buf[x:y].tobytes() for x, y in zip(s.starts[keep].tolist(), s.ends[keep].tolist(), strict=True)]))
-    return pa.RecordBatch.from_arrays([ids, pa.array([x.decode("utf-8", "replace") for x in out]), pa.array(cut)], names=["_id", "text", "cut"])
+    return pa.RecordBatch.from_arrays(
+        [rows.column("_rest"), pa.array([x.decode("utf-8", "replace") for x in out], pa.string()), pa.array(cut, pa.bool_())], names=["_rest", "text", "cut"]
+    )
 
 
 def cut_passages(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the ``text`` that stays and whether any was ``cut``."""
-    got = repeated_windows(docs, SCHEME, seed_extend, False, _kept_text, "_id long, text string, cut boolean")
-    return got.select(F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id"), "text", "cut")
+    """``docs``, all columns, with the repeats cut out of ``text`` (the words
+    that stay are joined by a space) and whether any was ``cut``."""
+    carry = [c for c in docs.columns if c != "text"]
+    rest = docs.select(F.struct(*carry).alias("_rest")).schema["_rest"].dataType.simpleString()
+    got = repeated_windows(docs, SCHEME, seed_extend, False, _kept_text, f"_rest {rest}, text string, cut boolean", tuple(carry))
+    return got.select(*[F.col("text") if c == "text" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns], "cut")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

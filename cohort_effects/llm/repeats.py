@@ -155,8 +155,11 @@ def _unique(batch: pa.RecordBatch, lo: int, hi: int, u: Units) -> np.ndarray:
     return out
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return texts(docs).select(
+def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:
+    rows = docs.select(F.struct(*carry).alias("_rest"), "doc_id", "text") if carry else docs
+    rest = ["_rest"] if carry else []
+    return texts(rows, *rest).select(
+        *rest,
         F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"),
         F.pmod(F.xxhash64("text"), F.lit(32749)).cast("smallint").alias("_tag"),
         "text",
@@ -282,12 +285,14 @@ def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: in
     return run
 
 
-def repeated_windows(docs: DataFrame, scheme: Scheme, refine: Refine, same_doc_counts: bool, digest: Callable, schema: str) -> DataFrame:
-    """Runs ``digest(ids, copies, buf, off, symbols, removed starts)`` over
-    every document.  ``same_doc_counts``: an earlier window of the same
+def repeated_windows(
+    docs: DataFrame, scheme: Scheme, refine: Refine, same_doc_counts: bool, digest: Callable, schema: str, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Runs ``digest(rows, copies, buf, off, symbols, removed starts)`` over
+    every document; the columns ``carry`` travel with it as a struct ``_rest``.  ``same_doc_counts``: an earlier window of the same
     document counts too; otherwise only one of another, earlier document."""
-    keyed = _keyed(docs)
-    key = ["_id", "_tag"]
+    keyed = _keyed(docs, list(carry))
+    key, rest = ["_id", "_tag"], ["_rest"] if carry else []
     hashed = keyed.select("_id", "_tag", F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
     heads = hashed.groupBy("a", "b").agg(F.min(F.struct("_id", "_tag")).alias("k")).select("k.*").withColumn("head", F.lit(True)).distinct()
     n_units = (docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0) * 2 / (scheme.window - scheme.gram + 2) / (6 if scheme.by_word else 1)
@@ -302,7 +307,7 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, refine: Refine, same_doc_c
     hot = stats.where(F.col("n") > hot_at).select("anchor", F.ceil(F.col("n") / hot_at).cast("int").alias("split"))
     found = (
         own.join(uniques.hint("shuffle_hash"), key, "left")
-        .select(*key, "text", "uniques")
+        .select(*key, *rest, "text", "uniques")
         .mapInArrow(_unit_pass(scheme), "anchor long, _id long, _tag smallint, first int, n int, span binary")
         .join(F.broadcast(hot), "anchor", "left")
         .withColumn("split", F.coalesce("split", F.lit(1)))
@@ -320,7 +325,6 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, refine: Refine, same_doc_c
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("_id")
             head = pa.compute.fill_null(batch.column("head"), False).to_numpy(zero_copy_only=False)
             for lo, hi, buf, off in chunks(batch):
                 s = symbols(buf, off, scheme)
@@ -334,13 +338,13 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, refine: Refine, same_doc_c
                 np.add.at(gone, a, -1)
                 np.add.at(gone, a + flat.field("length").to_numpy(zero_copy_only=False), 1)
                 removed = np.flatnonzero(np.cumsum(gone) > 0)
-                yield digest(ids.slice(lo, hi - lo), ~head[lo:hi], buf, off, s, removed)
+                yield digest(batch.slice(lo, hi - lo), ~head[lo:hi], buf, off, s, removed)
 
     return (
         keyed.join(heads.hint("shuffle_hash"), key, "left")
         .join(uniques.hint("shuffle_hash"), key, "left")
         .join(firsts.hint("shuffle_hash"), key, "left")
-        .select(*key, "text", "head", "uniques", "runs")
+        .select(*key, *rest, "text", "head", "uniques", "runs")
         .mapInArrow(last, schema)
     )
 

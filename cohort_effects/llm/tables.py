@@ -25,10 +25,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``text`` and nothing else, so that extra columns of the
-    input cannot clash with the columns an operator adds; null text is empty."""
+def texts(docs: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``text`` and nothing else (but ``keep``), so that extra
+    columns of the input cannot clash with the columns an operator adds; null
+    text is empty."""
     return docs.select(
+        *keep,
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
