@@ -89,12 +89,15 @@ class _Sums:
         x = int(a[np.flatnonzero(ok)[-1]])
         return (x, gap - x)
 
-    def filling(self, gap: int) -> tuple[int, ...] | None:
-        """One, two or three lengths left that sum to ``gap``, long ones first."""
-        if self.counts[gap] > 0:
+    def filling(self, gap: int, most: int) -> tuple[int, ...] | None:
+        """Up to ``most`` (three at most) lengths left that sum to ``gap``, as
+        few and as long as possible."""
+        if most and self.counts[gap] > 0:
             return (gap,)
-        if found := self._two(gap, gap - 1):
+        if most > 1 and (found := self._two(gap, gap - 1)):
             return found
+        if most < 3:
+            return None
         first = np.arange(gap - 2, 0, -1)
         for a in first[(self.counts[first] > 0) & self.pair[gap - first]].tolist():
             if a * 3 < gap:
@@ -109,12 +112,22 @@ class _Sums:
         return None
 
 
-def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tuple[int, int]]]]:
-    """(number of sequences, [(length, how many of it)]) for each pattern."""
+Plan = list[tuple[int, list[tuple[int, int]]]]
+
+
+def plan(histogram: dict[int, int], size: int = SIZE) -> Plan:
+    """(number of sequences, [(length, how many of it)]) for each pattern: the
+    best of the plans with combinations of up to three, two, one and no lengths
+    (few pieces can come out better without)."""
+    plans = [_plan(histogram, size, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda p: sum(times for times, _ in p))
+
+
+def _plan(histogram: dict[int, int], size: int, most: int) -> Plan:
     counts = np.zeros(size + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    out: list[tuple[int, list[tuple[int, int]]]] = []
+    out: Plan = []
     sums = _Sums(counts)
     for length in range(size, 0, -1):
         while counts[length] > 0:
@@ -123,7 +136,7 @@ def plan(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, list[tu
                 found: tuple[int, ...] | None = ()
             else:
                 counts[length] -= 1
-                found = sums.filling(gap)
+                found = sums.filling(gap, most)
                 counts[length] += 1
             if found is None:
                 break
