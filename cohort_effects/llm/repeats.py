@@ -41,7 +41,7 @@ from cohort_effects.llm.textarrays import ODD, U, as_long, chunks, mix, shingle_
 
 NO_ID = -(2**63)
 HOT_SHARE = 1e-5
-HOT_LEAST = 4096  # units an anchor may have in one sub-group at least
+HOT_LEAST = 512  # units an anchor may have in one sub-group at least
 
 
 @dataclass(frozen=True)
@@ -161,7 +161,8 @@ def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:
     return texts(rows, *rest).select(
         *rest,
         F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"),
-        F.pmod(F.xxhash64("text"), F.lit(32749)).cast("smallint").alias("_tag"),
+        # never null, and known as such: a null filter would make the join's exchange a second one
+        F.coalesce(F.pmod(F.xxhash64("text"), F.lit(32749)), F.lit(0)).cast("smallint").alias("_tag"),
         "text",
     )
 
@@ -213,7 +214,7 @@ def _unit_pass(scheme: Scheme) -> Callable:
 Refine = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: int = 24 << 20) -> Callable:
+def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: int = 4 << 20) -> Callable:
     """Finds first occurrences group by group; groups come whole and in order,
     many at a time up to ``limit`` bytes (or one that is larger)."""
 
@@ -300,11 +301,14 @@ def repeated_windows(
     own = keyed.join(heads.hint("shuffle_hash"), key, "left_semi")
     stats = (
         own.mapInArrow(_stats_pass(scheme, same_doc_counts), "anchor long, _id long, _tag smallint, ordinal int")
+        .where("anchor is not null")  # as the join below infers it; said here, both uses share one exchange
         .groupBy("anchor")
         .agg(F.count("*").alias("n"), F.max("_id").alias("_id"), F.max("_tag").alias("_tag"), F.max("ordinal").alias("ordinal"))
     )
     uniques = stats.where("n = 1").groupBy(*key).agg(F.collect_list("ordinal").alias("uniques"))
-    hot = stats.where(F.col("n") > hot_at).select("anchor", F.ceil(F.col("n") / hot_at).cast("int").alias("split"))
+    # all columns are read here as well, so that both uses share one exchange
+    hot = stats.where((F.col("n") > hot_at) & (F.col("ordinal") >= -1) & (F.col("_id") >= NO_ID) & (F.col("_tag") >= -(2**15)))
+    hot = hot.select("anchor", F.ceil(F.col("n") / hot_at).cast("int").alias("split"))
     found = (
         own.join(uniques.hint("shuffle_hash"), key, "left")
         .select(*key, *rest, "text", "uniques")
