@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from llm_fixtures import docs, no_docs, pairs  # noqa: F401
 
 from cohort_effects.llm import op8_minhash as M
 from cohort_effects.llm.components import components

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import docs, no_docs, pairs  # noqa: F401
 
 from cohort_effects.llm import op5_ngram as N
 from cohort_effects.llm.op4_quality import accepted, classify, hinge_fit

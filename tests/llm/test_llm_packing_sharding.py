@@ -8,6 +8,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import docs, no_docs, pairs  # noqa: F401
 
 from cohort_effects.llm import op10_sharding as S
 from cohort_effects.llm.op3_packing import pack_documents, plan, slots, tokenizer_path

@@ -2,7 +2,7 @@
 
 import hashlib
 
-from conftest import make
+from llm_fixtures import make, no_docs, pairs  # noqa: F401
 from test_llm_minhash import brute
 from test_llm_repeats import removed_words
 from test_llm_search import planted

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from llm_fixtures import docs, no_docs, pairs  # noqa: F401
 
 from cohort_effects.llm import repeats
 from cohort_effects.llm.op2_suffix import dedup_strings

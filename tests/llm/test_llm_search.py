@@ -4,7 +4,7 @@ import math
 import random
 
 import numpy as np
-from conftest import make, prose
+from llm_fixtures import docs, make, no_docs, pairs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from cohort_effects.llm.op1_decontaminate import clean, common_subsequence, contamination, randomised_svd
