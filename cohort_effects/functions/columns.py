@@ -40,8 +40,9 @@ def parse_date(col, fmt: str = "yyyy-M-d") -> Column:
 
 
 def trim_ws(col) -> Column:
-    """Strip leading/trailing whitespace of any kind (tabs, newlines too)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    """Strip leading/trailing white space of any kind, Unicode's included
+    (tabs, newlines, no-break spaces)."""
+    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
 
 
 def clamp_nonneg(col) -> Column:

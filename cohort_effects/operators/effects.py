@@ -3,6 +3,7 @@ standard errors, labels and ranks (M8-M15)."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,16 +29,18 @@ def _join_back(detail: DataFrame, stats: DataFrame, keys: Sequence[str], null_sa
     )
 
 
-def _distinct_at_least(col: str, k: int, numeric: bool) -> Column:
-    """``count(distinct col) >= k`` as an aggregate expression.
-
-    For k == 2 on a fixed-width column ``min != max`` is exact and keeps a
-    constant-size hash-aggregate buffer.  Strings would force a sort-based
-    aggregate there, so they use the set of distinct values instead (an
-    object hash aggregate whose state is bounded by the number of groups).
-    """
+def _distinct_at_least(col: str, k: int, numeric: bool, values: Sequence[str] = ()) -> Column:
+    """``count(distinct col) >= k`` as an aggregate expression with a buffer of
+    constant size: for known ``values`` (62 at most) a bit set, for k == 2 on a
+    fixed-width column ``min != max``.  Only for other strings is it the set of
+    distinct values, an object hash aggregate."""
     if k <= 1:
         return F.count(col) >= F.lit(k)
+    if 0 < len(values) <= 62:
+        bit = F.lit(0).cast("long")
+        for j, v in enumerate(values):
+            bit = F.when(F.col(col) == F.lit(v), F.lit(1 << j).cast("long")).otherwise(bit)
+        return F.bit_count(F.bit_or(bit)) >= F.lit(k)
     if k == 2 and numeric:
         return F.coalesce(F.min(col) != F.max(col), F.lit(False))
     return F.size(F.collect_set(col)) >= F.lit(k)
@@ -60,6 +63,7 @@ def demean(
     mean_col: str = "student_mean",
     out_col: str = "grade_dm",
     n_col: str = "n_obs_student",
+    group_values: Sequence[str] = (),
 ) -> DataFrame:
     """M8: subtract each entity's own mean; keep entities with at least
     ``min_obs`` rows and ``min_groups`` distinct ``group`` values.
@@ -69,7 +73,8 @@ def demean(
     (instead of unbounded windows): it is reduced map-side before the shuffle,
     and with AQE a hot entity's detail partition is split by the skew-join
     handler instead of being sorted in a single task.  ``flag_target`` adds
-    the multi-target flag (W4) from the same aggregate.
+    the multi-target flag (W4) from the same aggregate.  ``group_values``, if
+    all values of ``group`` are known, keeps the aggregate's state constant.
     """
     src = df
     for r in required:
@@ -77,7 +82,7 @@ def demean(
     aggs = [
         F.avg(value).alias(mean_col),
         F.count(F.lit(1)).alias(n_col),
-        _distinct_at_least(group, min_groups, _is_numeric(src, group)).alias("_enough_groups"),
+        _distinct_at_least(group, min_groups, _is_numeric(src, group), group_values).alias("_enough_groups"),
     ]
     if flag_target:
         aggs.append(F.coalesce(F.min(flag_target) != F.max(flag_target), F.lit(False)).alias(flag_col))
@@ -115,113 +120,56 @@ def raw_effects(dm: DataFrame, by: Sequence[str] = ("school_id", "subject", "yea
     )
 
 
-def _components(moments: DataFrame, by: Sequence[str], over) -> list[Column]:
-    """Variance-component expressions from level-1 moments.
-
-    ``over`` turns an aggregate into either a grouped aggregate (identity) or
-    a window aggregate over (subject, year); the algebra is written once.
-    """
-    n = F.col("n_obs").cast("double")
-    N = over(F.sum(n))
-    k = over(F.count(F.lit(1))).cast("double")
-    grand = F.try_divide(over(F.sum(n * F.col("raw_effect"))), N)
-    nullif0 = lambda c: F.when(c != 0, c)
-    ssw = over(F.sum("m2"))
-    n_eff = F.try_divide(N - F.try_divide(over(F.sum(n * n)), nullif0(N)), nullif0(k - 1))
-    var_within = F.try_divide(ssw, nullif0(N - k))
-    var_between = over(F.var_samp("raw_effect")) - F.try_divide(var_within, nullif0(n_eff))
-    return [grand, ssw, n_eff, var_within, var_between, N]
-
-
 def variance_components(moments: DataFrame, by: Sequence[str] = ("subject", "year")) -> DataFrame:
-    """M10 from the level-1 moments (two-level aggregation, detail read once).
+    """M10 from the level-1 moments (n, mean, m2): one grouping aggregate, with
+    partial sums before the shuffle.
 
-    var_total   = var_samp of all detail values, rebuilt exactly from
-                  (n, mean, m2) per group: (SSW + sum n (mean - grand)^2) / (N - 1)
+    SSW         = sum m2
+    SSB         = sum n mean^2 - (sum n mean)^2 / N   (means of demeaned values, near 0)
+    var_total   = (SSW + SSB) / (N - 1), the sample variance of all detail values
     var_within  = SSW / (N - k)
     var_between = var_samp(group means) - var_within / n_eff   (may be < 0)
     n_eff       = (N - sum n^2 / N) / (k - 1)
     Divisions by zero give NULL.
     """
-    w = Window.partitionBy(*by)
-    staged = moments.withColumn(
-        "_grand",
-        F.try_divide(
-            F.sum(F.col("n_obs").cast("double") * F.col("raw_effect")).over(w),
-            F.sum(F.col("n_obs").cast("double")).over(w),
-        ),
-    )
-    _, ssw, n_eff, var_within, var_between, N = _components(staged, by, lambda a: a)
-    ssb = F.sum(F.col("n_obs").cast("double") * F.pow(F.col("raw_effect") - F.col("_grand"), 2))
-    return staged.groupBy(*by).agg(
-        F.try_divide(ssw + ssb, F.when(N - 1 != 0, N - 1)).alias("var_total"),
-        var_within.alias("var_within"),
-        var_between.alias("var_between"),
-        n_eff.alias("n_eff"),
+    n, mean = F.col("n_obs").cast("double"), F.col("raw_effect")
+    sums = moments.groupBy(*by).agg(
+        F.sum(n).alias("_n"),
+        F.count(F.lit(1)).cast("double").alias("_k"),
+        F.sum(n * n).alias("_nn"),
+        F.sum("m2").alias("_ssw"),
+        F.sum(n * mean).alias("_s"),
+        F.sum(n * mean * mean).alias("_ss"),
+        F.var_samp(mean).alias("_between"),
     )
 
-
-def with_variance_components(moments: DataFrame, by: Sequence[str] = ("subject", "year")) -> DataFrame:
-    """Attach var_within / var_between of the row's (subject, year) to each
-    level-1 row with window aggregates: same values as joining
-    ``variance_components`` back, without a second pass or a self-join, and
-    on the same partitioning the in-subject rank uses afterwards."""
-    w = Window.partitionBy(*by)
-    _, _, _, var_within, var_between, _ = _components(moments, by, lambda a: a.over(w))
-    return moments.withColumn("var_within", var_within).withColumn("var_between", var_between)
-
-
-def variance_components_join_form(dm: DataFrame, effects: DataFrame, by: Sequence[str] = ("subject", "year")) -> DataFrame:
-    """M10 written literally (J4/J5): detail joined to its group means.
-
-    Kept as an independent check of ``variance_components``; it reads the
-    detail twice and is not used by the build.
-    """
-    notes = dm.filter(F.col("school_id").isNotNull())
-    keys = ["school_id", *by]
-    ssw = (
-        notes.join(effects.select(*keys, "raw_effect"), keys, "inner")
-        .groupBy(*by)
-        .agg(F.sum(F.pow(F.col("grade_dm") - F.col("raw_effect"), 2)).alias("ss_within"))
-    )
-    per = effects.groupBy(*by).agg(
-        F.sum("n_obs").alias("n_total"),
-        F.countDistinct("school_id").alias("n_groups"),
-        F.var_samp("raw_effect").alias("var_means"),
-        F.sum(F.col("n_obs").cast("double") * F.col("n_obs")).alias("sum_n2"),
-    )
-    tot = notes.groupBy(*by).agg(F.var_samp("grade_dm").alias("var_total"))
-    nullif0 = lambda c: F.when(c != 0, c)
-    n_eff = F.try_divide(
-        F.col("n_total") - F.try_divide(F.col("sum_n2"), nullif0(F.col("n_total")).cast("double")),
-        nullif0(F.col("n_groups") - 1).cast("double"),
-    )
-    vw = F.try_divide(F.col("ss_within"), nullif0(F.col("n_total") - F.col("n_groups")).cast("double"))
-    return (
-        per.join(tot, list(by)).join(ssw, list(by))
-        .select(
-            *by,
-            "var_total",
-            vw.alias("var_within"),
-            (F.col("var_means") - F.try_divide(vw, nullif0(n_eff))).alias("var_between"),
-            n_eff.alias("n_eff"),
-        )
+    def over(a: Column, b: Column) -> Column:
+        return F.try_divide(a, F.when(b != 0, b))
+
+    N, k, ssw = F.col("_n"), F.col("_k"), F.col("_ssw")
+    within = over(ssw, N - k)
+    n_eff = over(N - over(F.col("_nn"), N), k - 1)
+    ssb = F.greatest(F.lit(0.0), F.col("_ss") - over(F.col("_s") * F.col("_s"), N))
+    return sums.select(
+        *by,
+        over(ssw + ssb, N - 1).alias("var_total"),
+        within.alias("var_within"),
+        (F.col("_between") - over(within, n_eff)).alias("var_between"),
+        n_eff.alias("n_eff"),
     )
 
 
 def shrink(effects: DataFrame, variances: DataFrame | None = None, by: Sequence[str] = ("subject", "year")) -> DataFrame:
     """Clamp var_between at 0 (NULL stays NULL) and shrink the raw effect.
 
-    ``variances`` has one row per (subject, year): its size is bounded by
-    #subjects x #years, independent of the data volume, so it is broadcast.
-    With ``variances=None`` the input already carries var_within/var_between
-    (see ``with_variance_components``).
+    ``variances`` has one row per ``by`` group; it is joined without a hint, so
+    AQE broadcasts it only after measuring it and splits a hot group otherwise.
+    With ``variances=None`` they are made from the level-1 moments in
+    ``effects``; both uses share the moments' exchange.
     """
-    if variances is not None:
-        v = F.broadcast(variances.select(*by, "var_within", "var_between"))
-        j = effects.join(v, list(by), "left")
-    else:
-        j = effects
+    if variances is None:
+        variances = variance_components(effects, by)
+    j = effects.join(variances.select(*by, "var_within", "var_between"), list(by), "left")
     vb = clamp_nonneg("var_between")
     denom = vb + F.try_divide(F.col("var_within"), F.col("n_obs").cast("double"))
     weight = F.try_divide(vb, F.when(denom != 0, denom))
@@ -298,11 +246,9 @@ MART_COLUMNS = (
 def score_effects(moments: DataFrame, variances: DataFrame | None = None, params: Params = Params()) -> DataFrame:
     """M11-M15 on top of level-1 moments.
 
-    Without ``variances`` the components are window aggregates over
-    (subject, year) -- the plan then has one exchange for variances and rank.
+    Without ``variances`` they come from the moments themselves.
     """
-    src = moments if variances is not None else with_variance_components(moments)
-    out = shrink(src, variances)
+    out = shrink(moments, variances)
     out = std_error_ci(out, params.z)
     out = classify(out, params)
     out = confidence(out, params)
@@ -311,13 +257,16 @@ def score_effects(moments: DataFrame, variances: DataFrame | None = None, params
 
 
 def _poisson1(u: Column) -> Column:
-    """Inverse CDF of Poisson(1) at a uniform ``u`` (cumulative probabilities
-    of 0..6 events, rounded to 6 digits)."""
-    cdf = [0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406, 0.999917]
-    expr = F.when(u < F.lit(cdf[0]), F.lit(0))
-    for k, c in enumerate(cdf[1:], start=1):
-        expr = expr.when(u < F.lit(c), F.lit(k))
-    return expr.otherwise(F.lit(7))
+    """Inverse CDF of Poisson(1) at a uniform ``u`` of 30 bits, carried on
+    until the tail is below one step of ``u``."""
+    cdf, term, k, expr = 0.0, math.exp(-1.0), 0, None
+    while True:
+        cdf += term
+        if 1.0 - cdf < 2.0**-30:
+            return expr.otherwise(F.lit(k))
+        expr = F.when(u < F.lit(cdf), F.lit(k)) if expr is None else expr.when(u < F.lit(cdf), F.lit(k))
+        k += 1
+        term /= k
 
 
 def replicate_weights(

@@ -50,7 +50,10 @@ def attach_context(
     side only after measuring it at run time, and splits skewed class
     partitions otherwise.
     """
-    measures = {m: s for m, s in subject_map.items() if m in scores.columns}
+    missing = [m for m in subject_map if m not in scores.columns]
+    if missing:
+        raise ValueError(f"score columns declared but not there: {missing}")
+    measures = dict(subject_map)
     wide = scores.select(*ids, *measures).join(bridge, "class_id", "left").join(years, "class_id", "left")
     long = melt_measures(wide, [*ids, "school_id", "year"], measures, "subject", "grade")
     return long.select(*ids, "subject", "grade", "school_id", "year")

@@ -172,25 +172,32 @@ def distinct_count(df: DataFrame, cols: Sequence[Column | str], label: str) -> D
     )
 
 
+def counts_by_value(df: DataFrame, col: str, by: Sequence[str] = (), digits: int = 9) -> DataFrame:
+    """Rows per (``by``, value ``v``).  Values are snapped to ``digits`` so that
+    sums added in another order are still the same value; what reads this twice
+    shares its exchange."""
+    kind = df.schema[col].dataType
+    snap = F.round(F.col(col), digits) + F.lit(0.0) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(col)
+    return df.where(F.col(col).isNotNull()).groupBy(*by, snap.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins between each group's min and max.
 
     The bin is ``floor((v - min) / (max - min) * bins) + 1`` with the maximum
     folded into the last bin (what ``width_bucket`` would put in bins + 1).
-    ``by`` is a low-cardinality grouping (e.g. subject): the (min, max) table
-    has one row per group, so it is broadcast -- a shuffle join on a handful
-    of keys would put each group's rows in one task.
+    The values are counted first; range and bins both come from those counts,
+    one row per distinct value, joined without a hint.
     """
-    vals = df.filter(F.col(col).isNotNull())
     keys = list(by) or ["_all"]
-    if not by:
-        vals = vals.withColumn("_all", F.lit(0))
-    rng = vals.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    j = vals.join(F.broadcast(rng), keys)
+    src = df if by else df.withColumn("_all", F.lit(0))
+    vals = counts_by_value(src, col, keys)
+    rng = vals.groupBy(*keys).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    j = vals.join(rng, keys)
     width = F.col("_hi") - F.col("_lo")
-    raw = F.floor((F.col(col) - F.col("_lo")) / width * F.lit(float(bins))) + F.lit(1)
-    b = F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("bigint")
-    out = j.groupBy(*by, b.alias("bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
+    raw = F.floor((F.col("v") - F.col("_lo")) / width * F.lit(float(bins))) + F.lit(1)
+    b = F.when(width == 0, F.lit(1)).otherwise(F.greatest(F.lit(1), F.least(raw, F.lit(bins)))).cast("bigint")
+    out = j.groupBy(*by, b.alias("bin"), "_lo", "_hi").agg(F.sum("n").cast("bigint").alias("n"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     return out.select(
         *by,

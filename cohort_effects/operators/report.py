@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cohort_effects.functions import round_half_up
 from cohort_effects.params import Params
+from cohort_effects.operators.profile import counts_by_value
 from cohort_effects.operators.reshape import pivot_wide
 
 DESCRIBE = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -64,8 +65,9 @@ def extreme_share(profiles: DataFrame) -> DataFrame:
 
 
 def symmetric_limits(mart: DataFrame, by: Sequence[str] = ("subject",), margin: float = 1.05) -> DataFrame:
-    """Per group, the range of raw and adjusted effects and the symmetric
-    axis limit max(|min|, |max|) x margin of the raw effect."""
+    """Per group, the range of raw and adjusted effects, and one symmetric
+    axis limit for all: max(|min|, |max|) x margin of the raw effect over the
+    whole mart, so that the groups' panels share their axes."""
     agg = mart.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("raw_effect").alias("raw_min"),
@@ -74,28 +76,31 @@ def symmetric_limits(mart: DataFrame, by: Sequence[str] = ("subject",), margin:
         F.max("adj_effect").alias("adj_max"),
         F.sum("n_obs").cast("bigint").alias("n_obs_total"),
     )
-    lim = F.greatest(F.abs("raw_min"), F.abs("raw_max")) * F.lit(margin)
-    return agg.withColumn("limit", lim)
+    whole = agg.agg((F.greatest(F.max(F.abs("raw_min")), F.max(F.abs("raw_max"))) * F.lit(margin)).alias("limit"))
+    return agg.join(F.broadcast(whole))  # one row
 
 
 def box_stats(df: DataFrame, by: Sequence[str], col: str, threshold: float = 0.10, digits: int = 3) -> DataFrame:
     """Quartiles (linear), 1.5 IQR whiskers (most extreme values
     inside the fences), outliers, median/mean/max and the share above a
-    threshold, per group.  Two aggregates: quartiles, then fences."""
-    q = df.groupBy(*by).agg(F.percentile(col, [0.25, 0.5, 0.75]).alias("_q"))
+    threshold, per group.  Values are counted once; quartiles and fences both
+    read those counts, so a value cannot differ between the two."""
+    vals = counts_by_value(df, col, by)
+    q = vals.groupBy(*by).agg(F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("_q"))
     q = q.select(*by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    j = df.join(F.broadcast(q), list(by))  # one quartile row per (low-cardinality) group
+    j = vals.join(q, list(by))
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    v = F.col(col)
+    v, n = F.col("v"), F.col("n")
+    total = F.sum(n)
     out = j.groupBy(*by, "q1", "median", "q3").agg(
-        F.count(v).alias("n"),
+        total.alias("n"),
         F.min(F.when(v >= lo_f, v)).alias("whisker_low"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_high"),
-        F.count_if((v < lo_f) | (v > hi_f)).alias("n_outliers"),
-        F.avg(v).alias("mean"),
+        F.sum(F.when((v < lo_f) | (v > hi_f), n).otherwise(0)).alias("n_outliers"),
+        (F.sum(v * n) / total).alias("mean"),
         F.max(v).alias("max"),
-        F.avg((v > F.lit(threshold)).cast("double")).alias("share_above"),
+        (F.sum(F.when(v > F.lit(threshold), n).otherwise(0)) / total).alias("share_above"),
     )
     dbl = ["q1", "median", "q3", "whisker_low", "whisker_high", "mean", "max", "share_above"]
     return out.select(*by, "n", "n_outliers", *[round_half_up(c, digits).alias(c) for c in dbl])

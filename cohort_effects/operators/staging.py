@@ -93,11 +93,3 @@ def clean_classes(
         safe_int(year).alias("year"),
     )
 
-
-def score_measures_present(df: DataFrame, measures: Sequence[str] = SCORE_MEASURES) -> list[str]:
-    return [m for m in measures if m in df.columns]
-
-
-def attendance_months(att: DataFrame) -> DataFrame:
-    """Month of each attendance period."""
-    return att.withColumn("month", F.trunc("start_date", "month"))

@@ -62,7 +62,7 @@ def build_layers(
     model layers (demeaned .. mart) lazy, for callers that write them as
     tables themselves (``run_build``).
     """
-    m = materialize or (lambda d: d)
+    m = materialize
     scores, attendance, classes, students = _each(m, [
         staging.clean_scores(raw_scores, measures=list(params.subject_map)),
         staging.clean_attendance(raw_attendance),
@@ -76,8 +76,8 @@ def _each(m, dfs: list) -> list:
     """Apply ``m`` to independent layers; when ``m`` materialises, the jobs
     are submitted concurrently (one thread each) so their stages share the
     cluster instead of waiting on each other's stage barriers."""
-    if m is None or getattr(m, "__name__", "") == "<lambda>":
-        return [m(d) if d is not None else None for d in dfs]
+    if m is None:  # nothing to materialise
+        return dfs
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=max(1, len(dfs))) as pool:
@@ -88,8 +88,9 @@ def _each(m, dfs: list) -> list:
 def _layers_from_clean(scores, attendance, classes, students, params: Params, m, materialize_model=True) -> Layers:
     """Everything after the cleaners (bridges, enrichment, model)."""
     bridge, years = _each(m, [enrich.class_school_bridge(attendance), enrich.class_year(classes)])
-    context = m(enrich.attach_context(scores, bridge, years, params.subject_map))
-    enriched = m(enrich.enrich_scores(context, None, None, params.subject_map, attached=True))
+    keep = m or (lambda d: d)
+    context = keep(enrich.attach_context(scores, bridge, years, params.subject_map))
+    enriched = keep(enrich.enrich_scores(context, None, None, params.subject_map, attached=True))
     # The flag and the demeaning statistics share one (student, year)
     # aggregate: for rows with a year both are over the same partition.
     demeaned = fx.demean(
@@ -97,11 +98,12 @@ def _layers_from_clean(scores, attendance, classes, students, params: Params, m,
         min_obs=params.min_obs_per_student,
         min_groups=params.min_subjects_per_student,
         flag_target="school_id",
+        group_values=sorted(set(params.subject_map.values())),
     ).select(
         "student_id", "class_id", "year", "term", "subject", "school_id",
         "grade", "student_mean", "grade_dm", "n_obs_student", "multi_school",
     )
-    mm = m if materialize_model else (lambda d: d)
+    mm = m if m and materialize_model else (lambda d: d)
     demeaned = mm(demeaned)
     moments = mm(fx.group_moments(demeaned))
     effects = moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect")
@@ -142,7 +144,7 @@ def source_layers(
 
     p = params or reference_vocabulary()
     names = names or {"student": "aluno", "roster": "turma", "attendance": "frequencia", "score": "avaliacao"}
-    m = materialize or (lambda d: d)
+    m = materialize
     raw = {role: read_table(spark, base, fname) for role, fname in names.items()}
     sc, ac, rc, stc = (SOURCE_COLUMNS[k] for k in ("score", "attendance", "roster", "student"))
     scores, attendance, classes, students = _each(m, [

@@ -153,17 +153,6 @@ def q_variances(spark, base):
     return normalize(layers(spark, base).variances)
 
 
-@register(
-    "variance_components_join_form",
-    sql(["variances"], "SELECT * FROM variances", "var_total, var_within, var_between, n_eff"),
-)
-def q_variances_join(spark, base):
-    from cohort_effects.operators.effects import variance_components_join_form
-
-    L = layers(spark, base)
-    return normalize(variance_components_join_form(L.demeaned, L.effects))
-
-
 _SHRUNK_D = "pct_multi_school, raw_effect, var_within, var_between_clamped, weight, adj_effect"
 
 
@@ -258,9 +247,8 @@ for _name, _kinds in [
 
 @register(
     "dq_zero_sum",
-    sql(["demeaned"], f"""SELECT count(*) AS n_groups,
-        count_if(abs(m) > {QP.zero_sum_tol!r}) AS failures
-        FROM (SELECT student_id, year, avg(grade_dm) AS m FROM demeaned GROUP BY student_id, year)"""),
+    sql(["demeaned"], f"""SELECT count(*) AS n_groups, CAST(sum(off) AS BIGINT) AS failures FROM (
+        SELECT CAST(abs(avg(grade_dm)) > {QP.zero_sum_tol!r} AS BIGINT) AS off FROM demeaned GROUP BY student_id, year)"""),
 )
 def q_zero_sum(spark, base):
     dm = layers(spark, base).demeaned
@@ -273,10 +261,7 @@ def q_zero_sum(spark, base):
 
 @register(
     "dq_monotone_weight",
-    sql(["mart"], f"""SELECT count(*) AS n_rows,
-        count_if(prev IS NOT NULL AND weight < prev - {QP.monotone_tol!r}) AS failures
-        FROM (SELECT weight, lag(weight) OVER (PARTITION BY subject, year ORDER BY n_obs ASC, school_id ASC) AS prev
-              FROM mart)"""),
+    sql(["mart"], f"SELECT count(*) AS n_rows, count_if(drops) AS failures FROM ({SU.DROPS.format(tol=QP.monotone_tol)})"),
 )
 def q_monotone(spark, base):
     m = layers(spark, base).mart
@@ -288,44 +273,35 @@ def q_monotone(spark, base):
 
 @register(
     "dq_row_conservation",
-    sql(["mart", "demeaned"], """SELECT coalesce(m.subject, i.subject) AS subject,
-        coalesce(m.year, i.year) AS year, m.n_obs_mart, i.n_obs_int,
-        coalesce(m.n_obs_mart, -1) != coalesce(i.n_obs_int, -1) AS mismatch
-        FROM (SELECT subject, year, CAST(sum(n_obs) AS BIGINT) AS n_obs_mart FROM mart GROUP BY subject, year) m
-        FULL OUTER JOIN (SELECT subject, year, count(*) AS n_obs_int FROM demeaned
-                         WHERE school_id IS NOT NULL GROUP BY subject, year) i
-        ON m.subject = i.subject AND m.year = i.year"""),
+    sql(["mart", "demeaned"], f"SELECT *, n_obs_mart IS DISTINCT FROM n_obs_int AS mismatch FROM ({SU.BALANCE})"),
 )
 def q_row_conservation(spark, base):
     L = layers(spark, base)
     return Qm.row_conservation(L.mart, L.demeaned)
 
 
-@register(
-    "dq_term_gaps",
-    sql(["enriched"], """SELECT student_id, year, subject, count(DISTINCT term) AS n_terms, max(term) AS max_term
-        FROM enriched WHERE term IS NOT NULL GROUP BY student_id, year, subject
-        HAVING count(DISTINCT term) != max(term)"""),
-)
+@register("dq_term_gaps", sql(["enriched"], SU.GAPS))
 def q_term_gaps(spark, base):
     return Qm.term_gaps(layers(spark, base).enriched)
 
 
 @register(
     "dq_class_one_year",
-    sql(["stg_classes"], """SELECT class_id, count(DISTINCT year) AS n_values FROM stg_classes
-        WHERE class_id IS NOT NULL AND year IS NOT NULL GROUP BY class_id HAVING count(DISTINCT year) > 1"""),
+    sql(["stg_classes"], """SELECT class_id, len(list(DISTINCT year)) AS n_values FROM stg_classes
+        WHERE class_id IS NOT NULL AND year IS NOT NULL GROUP BY class_id HAVING min(year) < max(year)"""),
 )
 def q_class_one_year(spark, base):
     return Qm.one_value_per_key(layers(spark, base).classes, "class_id", "year")
 
 
+def _share_sql(flag: str, table: str, limit: float) -> str:
+    return f"""SELECT *, pct_orphans > {limit!r} AS failed FROM (SELECT count_if({flag}) AS n_orphans, count(*) AS n_total,
+        avg(CAST({flag} AS DOUBLE)) AS pct_orphans FROM {table})"""
+
+
 @register(
     "dq_orphan_share_scores",
-    sql(["enriched"], f"""SELECT n_orphans, n_total, pct_orphans, pct_orphans > {QP.max_orphan_share_scores!r} AS failed
-        FROM (SELECT count_if(school_id IS NULL) AS n_orphans, count(*) AS n_total,
-              CAST(count_if(school_id IS NULL) AS DOUBLE) / nullif(count(*), 0) AS pct_orphans FROM enriched)""",
-        "pct_orphans"),
+    sql(["enriched"], _share_sql("school_id IS NULL", "enriched", QP.max_orphan_share_scores), "pct_orphans"),
 )
 def q_orphan_scores(spark, base):
     st = Qm.orphan_share_rows(layers(spark, base).enriched, "school_id")
@@ -334,13 +310,7 @@ def q_orphan_scores(spark, base):
 
 @register(
     "dq_orphan_share_classes",
-    sql(["stg_attendance"], f"""SELECT n_orphans, n_total, pct_orphans,
-        pct_orphans > {QP.max_orphan_share_classes!r} AS failed
-        FROM (SELECT count_if(has = 0) AS n_orphans, count(*) AS n_total,
-              CAST(count_if(has = 0) AS DOUBLE) / nullif(count(*), 0) AS pct_orphans
-              FROM (SELECT class_id, max(CASE WHEN school_id IS NOT NULL THEN 1 ELSE 0 END) AS has
-                    FROM stg_attendance WHERE class_id IS NOT NULL GROUP BY class_id))""",
-        "pct_orphans"),
+    sql(["stg_attendance"], _share_sql("orphan", f"({SU.NO_SCHOOL})", QP.max_orphan_share_classes), "pct_orphans"),
 )
 def q_orphan_classes(spark, base):
     st = Qm.orphan_share_groups(layers(spark, base).attendance, "class_id", "school_id")
@@ -923,7 +893,7 @@ def q_extreme_share(spark, base):
     "shrink_limits",
     O.norm(O.with_ctes(["mart"], """SELECT subject, count(*) AS n, min(raw_effect) AS raw_min, max(raw_effect) AS raw_max,
         min(adj_effect) AS adj_min, max(adj_effect) AS adj_max, CAST(sum(n_obs) AS BIGINT) AS n_obs_total,
-        greatest(abs(min(raw_effect)), abs(max(raw_effect))) * 1.05 AS "limit"
+        (SELECT max(abs(raw_effect)) * 1.05 FROM mart) AS "limit"
         FROM mart GROUP BY subject"""), ["raw_min", "raw_max", "adj_min", "adj_max", '"limit"']),
 )
 def q_limits(spark, base):
@@ -1113,7 +1083,7 @@ def q_stream_refresh(spark, base):
     def build_mart(scores):
         return build_layers(scores, raw_att, raw_cls, None, QP).mart
 
-    first = F.year("l_shipdate") < 1998  # every row lands in one of the two drops
+    first = F.coalesce(F.year("l_shipdate") < 1998, F.lit(False))  # every row lands in one of the two drops
     for drop in (li.filter(first), li.filter(~first)):
         FX.raw_score(drop).write.mode("append").parquet(inbox)
         start_year_refresh(spark, inbox, schema, build_mart, raw_cls, mart_path, ckpt).awaitTermination()

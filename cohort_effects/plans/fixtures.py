@@ -3,7 +3,7 @@
 One observation is one ``lineitem`` row: student = order, class = (supplier,
 ship year), school = supplier, term = ship quarter.  The modulo rules below
 do not thin the data; they plant the gaps real sources have (missing
-grades, classes without a school, roster holes) so the orphan, NULL and
+grades, classes without a school, roster rows without a class) so the orphan, NULL and
 fan-out logic is exercised.  Every row of the source table flows through.
 The same formulas appear in ``cohort_effects.plans.oracle`` as DuckDB SQL.
 """
@@ -51,10 +51,9 @@ def raw_attendance(lineitem: DataFrame) -> DataFrame:
 
 def raw_class(lineitem: DataFrame) -> DataFrame:
     return (
-        lineitem.filter(F.col("l_suppkey") % 33 != 0)
-        .select(
+        lineitem.select(
             F.year("l_shipdate").cast("bigint").alias("year"),
-            (F.col("l_suppkey") * 10000 + F.year("l_shipdate")).alias("class_id"),
+            F.when(F.col("l_suppkey") % 33 != 0, F.col("l_suppkey") * 10000 + F.year("l_shipdate")).alias("class_id"),
             _key("l_orderkey").alias("student_key"),
         )
         .distinct()

@@ -39,12 +39,15 @@ def local_session(master: str | None = None, app: str = "cohort_effects", **conf
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (distributed) folder there; we only set our own
-    when it is unset, which happens in local tests.
+    A cluster names a shared (distributed) folder there; we set our own only
+    when it is unset and the master is local, as in tests.  Elsewhere a folder
+    of one machine would lose rows, so an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
+    if not current and not fallback and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not current:
         current = fallback or os.path.join("/tmp", f"cohort_effects_ckpt_{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -10,5 +10,4 @@ from cohort_effects.sources.io import (  # noqa: F401
     table_volumes,
     write_csv_by,
     write_partitioned,
-    write_replace,
 )

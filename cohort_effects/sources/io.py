@@ -11,7 +11,6 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -19,47 +18,25 @@ TABLES = (
 ).split()
 
 
-def read_table(
-    spark: SparkSession,
-    base: str,
-    name: str,
-    fmt: str = "parquet",
-    schema=None,
-    min_partitions: int | None = -1,
-) -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet", schema=None) -> DataFrame:
     """Scan ``{base}/{name}.{fmt}``; the format is a flag, not guessed.
 
-    A scan can only split at file / row-group boundaries, so a small table
-    stored as one row group is read by one task.  When the scan plans fewer
-    partitions than ``min_partitions`` (default: the cluster's default
-    parallelism) it is spread round-robin first.  On large inputs the scan
-    already has far more splits than cores and this is a no-op.
+    The scan is split by files and row groups alone (the session's
+    ``spark.sql.files.*`` settings); no key of the data decides where a row
+    goes.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
-    df = reader.load(f"{base.rstrip('/')}/{name}.{fmt}")
-    if min_partitions == -1:
-        min_partitions = spark.sparkContext.defaultParallelism
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        # hash on the leading (key) column: deterministic on retry and, unlike
-        # round-robin, needs no local sort; other columns stay prunable.
-        df = df.repartition(min_partitions, F.col(df.columns[0]))
-    return df
+    return reader.load(f"{base.rstrip('/')}/{name}.{fmt}")
 
 
 def read_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
     return {n: read_table(spark, base, n) for n in names}
 
 
-def write_replace(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Full-replace, idempotent load."""
-    df.write.mode("overwrite").format(fmt).save(path)
-    return path
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -198,6 +175,3 @@ def freshness(
         .alias("status"),
     )
 
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

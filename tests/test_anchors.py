@@ -7,10 +7,10 @@ from cohort_effects.plans.build import fixture_layers
 from cohort_effects.plans.catalog import QP
 
 ANCHORS = {
-    "/root/testdata/sf0.001": dict(scores=3783, attendance=5995, classes=5265, students=1500, bridge=63,
+    "/root/testdata/sf0.001": dict(scores=3783, attendance=5995, classes=5792, students=1500, bridge=63,
                                    enriched=11136, no_school=1537, no_year=1537, multi=1852, demeaned=2158,
                                    mart=189, variances=21, neg_vb=13),
-    "/root/testdata/sf0.01": dict(scores=37902, attendance=59994, classes=57497, students=15000, bridge=665,
+    "/root/testdata/sf0.01": dict(scores=37902, attendance=59994, classes=59791, students=15000, bridge=665,
                                   enriched=111461, no_school=6274, no_year=4415, multi=23537, demeaned=25566,
                                   mart=1932, variances=21, neg_vb=1),
 }

@@ -52,32 +52,47 @@ def test_negative_var_between_clamps_to_positive_zero(spark):
     assert str(adj) == "0.0"
 
 
-def test_two_level_matches_join_form(spark):
+def test_components_match_the_detail(spark):
     import random
+    import statistics
 
     rnd = random.Random(7)
     rows = [(s, subj, 2000 + y, rnd.uniform(-2, 2)) for s in range(1, 6) for subj in ("a", "b")
             for y in range(2) for _ in range(rnd.randint(1, 6))]
-    m, dm = _moments(spark, rows)
-    eff = m.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect")
-    a = {(r.subject, r.year): r for r in fx.variance_components(m).collect()}
-    b = {(r.subject, r.year): r for r in fx.variance_components_join_form(dm, eff).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        for c in ("var_total", "var_within", "var_between", "n_eff"):
-            x, y = a[k][c], b[k][c]
-            assert (x is None and y is None) or abs(x - y) < 1e-9
-
-
-def test_window_components_equal_grouped(spark):
+    m, _ = _moments(spark, rows)
+    got = {(r.subject, r.year): r for r in fx.variance_components(m).collect()}
+    assert set(got) == {(r[1], r[2]) for r in rows}
+    for (subj, year), r in got.items():
+        groups = {}
+        for s, b, y, v in rows:
+            if (b, y) == (subj, year):
+                groups.setdefault(s, []).append(v)
+        n, k = sum(map(len, groups.values())), len(groups)
+        means = {s: sum(v) / len(v) for s, v in groups.items()}
+        within = sum((x - means[s]) ** 2 for s, v in groups.items() for x in v) / (n - k)
+        n_eff = (n - sum(len(v) ** 2 for v in groups.values()) / n) / (k - 1)
+        want = (statistics.variance([x for v in groups.values() for x in v]), within,
+                statistics.variance(means.values()) - within / n_eff, n_eff)
+        assert all(abs(x - y) < 1e-9 for x, y in zip((r.var_total, r.var_within, r.var_between, r.n_eff), want))
+
+
+def test_shrink_makes_its_own_components(spark):
     rows = [(s, "a", 2000, float(s * i % 5) - 2) for s in range(1, 5) for i in range(1, 5)]
     m, _ = _moments(spark, rows)
     g = {r.school_id: r for r in fx.shrink(m.drop("m2"), fx.variance_components(m)).collect()}
-    w = {r.school_id: r for r in fx.shrink(fx.with_variance_components(m)).collect()}
+    w = {r.school_id: r for r in fx.shrink(m).collect()}
     for k in g:
         assert abs(g[k]["weight"] - w[k]["weight"]) < 1e-12
 
 
+def test_distinct_groups_by_bit_set(spark):
+    rows = [("s1", 2000, "a", 1.0), ("s1", 2000, "a", 2.0), ("s2", 2000, "a", 1.0), ("s2", 2000, "b", 3.0), ("s2", 2000, None, 3.0)]
+    df = spark.createDataFrame(rows, "student_id string, year int, subject string, grade double")
+    for values in ((), ("a", "b")):
+        got = fx.demean(df, min_obs=2, min_groups=2, group_values=values)
+        assert {r.student_id for r in got.collect()} == {"s2"}
+
+
 def test_demean_filters_after_stats(spark):
     rows = [
         # student a: 4 obs, 2 subjects -> kept

@@ -1,5 +1,7 @@
 """Plan shape: the properties the design relies on at scale."""
 
+from pyspark.sql import functions as F
+
 from cohort_effects.plans.catalog import layers
 from conftest import SF_SMALL
 
@@ -41,19 +43,30 @@ def test_student_stats_are_partial_aggregates_not_windows(spark):
     assert "Window [avg(grade" not in s
 
 
-def test_mart_shuffles_once_for_variances_and_rank(spark):
+def test_mart_has_constant_aggregate_state_and_one_window(spark):
     L = layers(spark, SF_SMALL)
     L.mart.collect()
     final = L.mart._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("Exchange hashpartitioning(subject") == 1
+    assert "ObjectHashAggregate" not in final and "collect_set" not in final
+    assert "Window [dense_rank(" in final and "Window [sum(" not in final and "Window [var_samp(" not in final
 
 
-def test_bounded_tables_are_broadcast(spark):
+def test_no_forced_broadcast_on_caller_chosen_keys(spark):
     from cohort_effects.operators import effects as fx
     from cohort_effects.operators import profile as Pm
 
     L = layers(spark, SF_SMALL)
-    s = fx.shrink(L.effects, L.variances)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in s
-    h = Pm.histogram(L.enriched, "grade", 10, ["subject"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [subject" in h and "SortMergeJoin [subject" not in h
+    for df in (fx.shrink(L.effects, L.variances), Pm.histogram(L.enriched, "grade", 10, ["subject"])):
+        assert "strategy=broadcast" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scans_are_not_dealt_by_a_key(spark, tmp_path):
+    """A constant first column must not gather a table in one task."""
+    from cohort_effects.sources import read_table
+
+    spark.range(8000).selectExpr("2000 as year", "id").repartition(4).write.parquet(f"{tmp_path}/roster.parquet")
+    df = read_table(spark, str(tmp_path), "roster")
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    sizes = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 4 or df.rdd.getNumPartitions() == len(sizes) > 0
+    assert max(sizes) <= 8000 // max(1, df.rdd.getNumPartitions()) * 2
