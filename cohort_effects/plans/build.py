@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -172,14 +173,16 @@ def run_build(
     params: Params = Params(),
     gate_on_errors: bool = True,
 ) -> DataFrame:
-    """Materialise the two table layers, then test: the full build.
+    """Materialise the two table layers, test them, then publish: the full build.
 
     * S8: each layer goes to its own folder under ``out_root``
-      (``intermediate/demeaned``, ``marts/effects``).
+      (``intermediate/demeaned``, ``marts/effects``); both are written to a
+      staging folder beside them and moved there only after the gate.
     * Q12/Q13: the mart is checked against its contract, and a NOT NULL
       guard inside the write fails the job before the table is committed.
     * S6/S7: both tables are partitioned by year and clustered.
-    * Q19: the suite runs on the written tables; error failures raise.
+    * Q19: the suite runs on the staged tables; error failures raise, and the
+      published tables stay as they were.
 
     Returns the check results.
     """
@@ -190,7 +193,8 @@ def run_build(
 
     spark = layers.scores.sparkSession
     root = out_root.rstrip("/")
-    dm_path, mart_path = f"{root}/intermediate/demeaned", f"{root}/marts/effects"
+    staging_root = f"{root}/_staging-{uuid.uuid4().hex[:12]}"
+    dm_path, mart_path = f"{staging_root}/demeaned", f"{staging_root}/effects"
     write_partitioned(Q.assert_not_null(layers.demeaned, NOT_NULL_DEMEANED), dm_path, ["year"],
                       ["subject", "school_id", "student_id", "term"])
     demeaned = spark.read.schema(layers.demeaned.schema).parquet(dm_path).select(*layers.demeaned.columns)
@@ -207,6 +211,31 @@ def run_build(
                    fx.variance_components(moments), mart)
     results = Q.run_checks(SU.suite(built, params), SU.tables_of(built), params.target)
     results = results.checkpoint(eager=True)
-    if gate_on_errors:
-        Q.gate(results)
+    try:
+        if gate_on_errors:
+            Q.gate(results)
+        _publish(spark, dm_path, f"{root}/intermediate/demeaned")
+        _publish(spark, mart_path, f"{root}/marts/effects")
+    finally:
+        _files(spark, staging_root)[0].delete(_files(spark, staging_root)[1], True)
     return results
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of a folder, wherever it lies."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Move a tested table to its place; the one that was there goes last."""
+    fs, source = _files(spark, staged)
+    place = _files(spark, target)[1]
+    before = _files(spark, f"{target}-before")[1]
+    fs.mkdirs(place.getParent())
+    fs.delete(before, True)
+    if fs.exists(place) and not fs.rename(place, before):
+        raise OSError(f"cannot move {target}")
+    if not fs.rename(source, place):
+        raise OSError(f"cannot move {staged} to {target}")
+    fs.delete(before, True)

@@ -67,6 +67,42 @@ def test_run_build_writes_and_gates(spark, tmp_path):
     assert os.path.isdir(str(tmp_path / "out" / "marts" / "effects"))
 
 
+def test_a_failing_check_leaves_the_published_mart(spark, tmp_path):
+    from dataclasses import replace
+
+    import pytest
+
+    from cohort_effects.operators.quality import ContractError
+    from cohort_effects.plans.build import fixture_layers, run_build
+    from cohort_effects.plans.catalog import QP
+
+    out = str(tmp_path / "out")
+    L = fixture_layers(spark, SF_SMALL, QP)
+    run_build(L, out, QP, gate_on_errors=False)
+    files = lambda: sorted(str(f) for f in (tmp_path / "out").rglob("*.parquet"))
+    before = files()
+    assert before and not [f for f in before if "_staging" in f]
+    with pytest.raises(ContractError):
+        run_build(L, out, replace(QP, zero_sum_tol=-1.0))
+    assert files() == before
+
+
+def test_refresh_finds_null_keys_and_drops_emptied_years(spark, tmp_path):
+    from cohort_effects.streaming.refresh import affected_years, refresh_years
+
+    schema = "student_key binary, term string, class_id long"
+    old = spark.createDataFrame([(b"a", "1", 1), (None, None, 2)], schema)
+    batch = spark.createDataFrame([(None, None, 3)], schema)
+    classes = spark.createDataFrame([(1997, 1, b"a"), (1998, 2, b"a"), (1999, 3, b"a")], "year long, class_id long, student_key binary")
+    assert affected_years(batch, old.unionByName(batch), classes) == [1998, 1999]
+    path = str(tmp_path / "mart")
+    cols = "school_id long, subject string, effect_class string, year long"
+    mart = spark.createDataFrame([(1, "s", "x", 1998), (2, "s", "x", 1999)], cols)
+    refresh_years(mart, path, [1998, 1999])
+    refresh_years(mart.where("year = 1999"), path, [1998, 1999])
+    assert [tuple(r) for r in spark.read.parquet(path).select("school_id", "year").collect()] == [(2, 1999)]
+
+
 def test_scale_conf_only_fills_unset_keys(spark):
     from cohort_effects.session import apply_scale_conf
 
