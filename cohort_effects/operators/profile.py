@@ -41,7 +41,10 @@ def column_profile(df: DataFrame, table: str, nulls_as_value: bool = False, with
         c = F.col(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = c + F.lit(0.0)  # -0.0 and 0.0 are one value
-        return c.cast("string")
+        c = c.cast("string")
+        if isinstance(f.dataType, (T.StringType, T.ArrayType)):  # long values group by their digest
+            c = F.when(F.length(c) > 32, F.md5(c)).otherwise(c)
+        return c
 
     texts = df.select(*[as_text(f).alias(f.name) for f in df.schema.fields])
     long = texts.unpivot([], cols, "column_name", "v")  # one Expand, no per-row arrays

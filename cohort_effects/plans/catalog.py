@@ -245,6 +245,35 @@ for _name, _kinds in [
     register(_name, _sql)(_fn)
 
 
+_RAW_CHECKS = SU.raw_checks()
+
+
+@register("dq_raw_layers", O.with_ctes(SU.RAW_TABLES, SU.counts_sql(_RAW_CHECKS, QP)))
+def q_dq_raw(spark, base):
+    """Every kind of generic check on the raw layers, where each one fails."""
+    return Qm.check_counts(_RAW_CHECKS, {t: df for t, df in _raw(spark, base).items() if t in SU.RAW_TABLES})
+
+
+@register(
+    "spanning_classes",
+    """SELECT l_suppkey % 7 AS class_id, count(DISTINCT l_suppkey) AS n_schools, min(year(l_shipdate)) AS year,
+        CASE WHEN count(DISTINCT year(l_shipdate)) > 1 THEN count(DISTINCT year(l_shipdate)) END AS n_years
+        FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY ALL""",
+)
+def q_spanning(spark, base):
+    """Bridge fan-out, lowest year and year conflicts where classes span
+    schools and years."""
+    from cohort_effects.operators.enrich import class_school_bridge, class_year
+
+    rows = _t(spark, base, "lineitem").select(
+        (F.col("l_suppkey") % 7).alias("class_id"), F.col("l_suppkey").alias("school_id"),
+        F.year("l_shipdate").cast("bigint").alias("year"),
+    )
+    schools = class_school_bridge(rows).groupBy("class_id").agg(F.count("*").alias("n_schools"))
+    years = Qm.one_value_per_key(rows, "class_id", "year").withColumnRenamed("n_values", "n_years")
+    return schools.join(class_year(rows), "class_id").join(years, "class_id", "left")
+
+
 @register(
     "dq_zero_sum",
     sql(["demeaned"], f"""SELECT count(*) AS n_groups, CAST(sum(off) AS BIGINT) AS failures FROM (
@@ -375,35 +404,45 @@ def _t(spark, base, name):
     return IO.read_table(spark, base, name)
 
 
-# Profiles of several tables stacked into one result.
-_PROFILE_TABLES = {
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
-    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
-    "nation": ["n_nationkey", "n_name", "n_regionkey"],
-    "region": ["r_regionkey", "r_name"],
+# Profiles of all tables, every column, stacked into one result.
+# The driver's tables as TESTDATA.md describes them.
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
 def _profile_sql():
     rows = []
-    for t, cols in _PROFILE_TABLES.items():
-        for c in cols:
+    for t, columns in _COLUMNS.items():
+        for c, dtype in (x.split(" ") for x in columns.split(", ")):
             rows.append(
-                f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows,
-                CAST(count_if({c} IS NULL) AS DOUBLE) / count(*) AS pct_null,
-                count(DISTINCT {c}) AS nunique,
-                coalesce(CAST((SELECT max(n) FROM (SELECT count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}))
-                         AS DOUBLE) / count(*), 0.0) AS pct_mode
-                FROM {t}"""
+                f"""SELECT '{t}' AS table_name, '{c}' AS column_name, '{dtype}' AS dtype, CAST(sum(n) AS BIGINT) AS n_rows,
+                CAST(coalesce(sum(n) FILTER (v IS NULL), 0) AS DOUBLE) / sum(n) AS pct_null, count(v) AS nunique,
+                coalesce(CAST(max(n) FILTER (v IS NOT NULL) AS DOUBLE) / sum(n), 0.0) AS pct_mode
+                FROM (SELECT {c} AS v, count(*) AS n FROM {t} GROUP BY {c})"""
             )
     return O.norm(" UNION ALL ".join(rows), ["pct_null", "pct_mode"])
 
 
 @register("column_profile", _profile_sql())
 def q_profile(spark, base):
-    parts = [Pm.column_profile(_t(spark, base, t).select(*cols), t) for t, cols in _PROFILE_TABLES.items()]
+    parts = [Pm.column_profile(_t(spark, base, t), t, with_dtype=True) for t in _COLUMNS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -463,6 +502,10 @@ _FKS = [
     ("nation", "n_regionkey", "region", "r_regionkey"),
     ("stg_attendance", "class_id", "stg_classes", "class_id"),
     ("stg_scores", "class_id", "stg_classes", "class_id"),
+    ("stg_attendance", "student_id", "stg_students", "student_id"),
+    ("stg_scores", "student_id", "stg_students", "student_id"),
+    ("stg_classes", "student_id", "stg_students", "student_id"),
+    ("stg_attendance", "school_id", "supplier", "s_suppkey"),
 ]
 
 
@@ -474,14 +517,14 @@ def _fk_sql():
             FROM {c} ch LEFT JOIN (SELECT DISTINCT {pc} AS _pk, true AS _m FROM {p}) pk ON ch.{cc} = pk._pk"""
         for c, cc, p, pc in _FKS
     ]
-    return O.norm(O.with_ctes(["stg_attendance", "stg_classes", "stg_scores"], " UNION ALL ".join(parts)),
+    return O.norm(O.with_ctes(["stg_attendance", "stg_classes", "stg_scores", "stg_students"], " UNION ALL ".join(parts)),
                   ["orphan_rate"])
 
 
 @register("fk_match_report", _fk_sql())
 def q_fk(spark, base):
     L = layers(spark, base)
-    stg = {"stg_attendance": L.attendance, "stg_classes": L.classes, "stg_scores": L.scores}
+    stg = {"stg_attendance": L.attendance, "stg_classes": L.classes, "stg_scores": L.scores, "stg_students": L.students}
 
     def tab(n):
         return stg[n] if n in stg else _t(spark, base, n)

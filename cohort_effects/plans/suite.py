@@ -121,6 +121,24 @@ def singular_meta(p: Params) -> list[Q.Check]:
     ]
 
 
+RAW_TABLES = ["raw_score", "raw_attendance", "raw_class"]
+
+
+def raw_checks() -> list[Q.Check]:
+    """One generic check of each kind over raw layers, narrow enough to fail."""
+    C = Q.Check
+    return [
+        C("raw_nn_attendance_school", "not_null", "raw_attendance", ("school_id",)),
+        C("raw_uq_class", "unique", "raw_class", ("class_id",)),
+        C("raw_uc_score", "unique_combination", "raw_score", ("student_key", "term")),
+        C("raw_av_subject", "accepted_values", "raw_attendance", ("subject",), {"values": ["subject_1", "subject_2"]}),
+        C("raw_rel_class", "relationships", "raw_attendance", ("class_id",), {"to": "raw_class", "field": "class_id"}),
+        C("raw_between_pct", "between", "raw_attendance", ("pct",), {"min": 99.25, "max": 99.75}),
+        C("raw_mean_score", "mean_between", "raw_score", ("subject_1",), {"min": 0.0, "max": 1.0}),
+        C("raw_stdev_score", "stdev_between", "raw_score", ("subject_1",), {"min": 0.0, "max": 1.0}),
+    ]
+
+
 def tables_of(L: Layers) -> dict:
     return {k: getattr(L, k) for k in SQL_TABLE}
 
@@ -139,7 +157,7 @@ def _lit(v) -> str:
 
 
 def _sql_count(ch: Q.Check) -> str:
-    t = SQL_TABLE.get(ch.table)
+    t = SQL_TABLE.get(ch.table, ch.table)
     a = ch.args
     c = ch.cols[0] if ch.cols else None
     if ch.kind == "not_null":
@@ -153,7 +171,7 @@ def _sql_count(ch: Q.Check) -> str:
         vals = ", ".join(_lit(v) for v in a["values"])
         return f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN ({vals}) GROUP BY {c})"
     if ch.kind == "relationships":
-        pt = SQL_TABLE[a["to"]]
+        pt = SQL_TABLE.get(a["to"], a["to"])
         return (f"SELECT count(*) FROM {t} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
                 f"(SELECT 1 FROM {pt} pa WHERE pa.{a['field']} = ch.{c})")
     if ch.kind == "between":
