@@ -88,10 +88,15 @@ def _each(m, dfs: list) -> list:
 
 def _layers_from_clean(scores, attendance, classes, students, params: Params, m, materialize_model=True) -> Layers:
     """Everything after the cleaners (bridges, enrichment, model)."""
-    bridge, years = _each(m, [enrich.class_school_bridge(attendance), enrich.class_year(classes)])
+    from cohort_effects.operators.quality import enforce_contract
+    from cohort_effects.sources import schemas as S
+
+    bridge = enforce_contract(enrich.class_school_bridge(attendance), S.BRIDGE_SCHEMA)
+    bridge, years = _each(m, [bridge, enrich.class_year(classes)])
     keep = m or (lambda d: d)
     context = keep(enrich.attach_context(scores, bridge, years, params.subject_map))
-    enriched = keep(enrich.enrich_scores(context, None, None, params.subject_map, attached=True))
+    enriched = enrich.enrich_scores(context, None, None, params.subject_map, attached=True)
+    enriched = keep(enforce_contract(enriched, S.ENRICHED_SCHEMA))
     # The flag and the demeaning statistics share one (student, year)
     # aggregate: for rows with a year both are over the same partition.
     demeaned = fx.demean(
@@ -105,10 +110,10 @@ def _layers_from_clean(scores, attendance, classes, students, params: Params, m,
         "grade", "student_mean", "grade_dm", "n_obs_student", "multi_school",
     )
     mm = m if m and materialize_model else (lambda d: d)
-    demeaned = mm(demeaned)
+    demeaned = mm(enforce_contract(demeaned, S.DEMEANED_SCHEMA))
     moments = mm(fx.group_moments(demeaned))
-    effects = moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect")
-    variances = mm(fx.variance_components(moments))
+    effects = enforce_contract(moments.select(*S.EFFECTS_SCHEMA.fieldNames()), S.EFFECTS_SCHEMA)
+    variances = mm(enforce_contract(fx.variance_components(moments), S.VARIANCES_SCHEMA))
     mart = mm(fx.score_effects(moments, None, params))
     return Layers(students, scores, attendance, classes, bridge, years, context, enriched,
                   demeaned, moments, effects, variances, mart)
@@ -141,12 +146,17 @@ def source_layers(
     ``SOURCE_COLUMNS`` and the wide score columns from ``params.subject_map``.
     """
     from cohort_effects.params import reference_vocabulary
-    from cohort_effects.sources.schemas import SOURCE_COLUMNS
+    from cohort_effects.operators.quality import ContractError, source_drift
+    from cohort_effects.sources.schemas import SOURCE_COLUMNS, SOURCE_SCHEMAS
 
     p = params or reference_vocabulary()
     names = names or {"student": "aluno", "roster": "turma", "attendance": "frequencia", "score": "avaliacao"}
     m = materialize
     raw = {role: read_table(spark, base, fname) for role, fname in names.items()}
+    for role, df in raw.items():  # undeclared columns may come; declared ones must be there
+        gone = [c for c, issue, _ in source_drift(df, SOURCE_SCHEMAS[role]) if issue == "missing" and c in _read_columns(role, p)]
+        if gone:
+            raise ContractError(f"source {names[role]} lacks {gone}")
     sc, ac, rc, stc = (SOURCE_COLUMNS[k] for k in ("score", "attendance", "roster", "student"))
     scores, attendance, classes, students = _each(m, [
         staging.clean_scores(raw["score"], measures=list(p.subject_map), **sc),
@@ -157,6 +167,15 @@ def source_layers(
     return _layers_from_clean(scores, attendance, classes, students, p, m, materialize_model)
 
 
+def _read_columns(role: str, params: Params) -> set[str]:
+    """Raw columns that the cleaners of a source read."""
+    from cohort_effects.sources.schemas import SOURCE_COLUMNS
+
+    unread = {"class_id"} if role == "student" else set()
+    columns = {raw for name, raw in SOURCE_COLUMNS[role].items() if name not in unread}
+    return columns | set(params.subject_map) if role == "score" else columns
+
+
 def effect_mart(
     raw_scores: DataFrame,
     raw_attendance: DataFrame,

@@ -76,6 +76,40 @@ DEMEANED_SCHEMA = T.StructType([
     _f("multi_school", B, False),
 ])
 
+BRIDGE_SCHEMA = T.StructType([
+    _f("class_id", L, False, "class"),
+    _f("school_id", L, False, "school the class was seen in"),
+])
+
+ENRICHED_SCHEMA = T.StructType([
+    _f("student_id", S, True, "hex student id", DIRECT_ID),
+    _f("term", L),
+    _f("subject", S, False),
+    _f("class_id", L),
+    _f("school_id", L, True, "NULL for a class without a school"),
+    _f("year", L, True, "NULL for a class without a year"),
+    _f("grade", D, False, "grade", MINOR_PERFORMANCE),
+    _f("multi_school", B, False, "student in 2+ schools that year"),
+])
+
+EFFECTS_SCHEMA = T.StructType([
+    _f("school_id", L, False),
+    _f("subject", S, False),
+    _f("year", L, False),
+    _f("n_obs", L, False),
+    _f("pct_multi_school", D, False),
+    _f("raw_effect", D, False, "mean demeaned grade", MINOR_PERFORMANCE),
+])
+
+VARIANCES_SCHEMA = T.StructType([
+    _f("subject", S, False),
+    _f("year", L, False),
+    _f("var_total", D),
+    _f("var_within", D),
+    _f("var_between", D, True, "before clamping; may be negative"),
+    _f("n_eff", D, True, "effective group size"),
+])
+
 NOT_NULL_MART = [f.name for f in MART_SCHEMA.fields if not f.nullable]
 NOT_NULL_DEMEANED = [f.name for f in DEMEANED_SCHEMA.fields if not f.nullable]
 
