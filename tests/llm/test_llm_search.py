@@ -97,3 +97,15 @@ def test_top_k_no_rows(spark, tmp_path):
     assert op7_topk(spark, str(tmp_path)).collect() == []
     one = spark.createDataFrame([(100, [1.0])], "vec_id long, embedding array<float>")
     assert top_k(scaled(one), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_top_k_against_its_sql(spark):
+    import duckdb
+
+    from cohort_effects.llm.op7_topk import OP7_SQL
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW embeddings AS SELECT * FROM '/root/testdata/sf0.001/embeddings.parquet'")
+    want = con.execute(OP7_SQL).fetchall()
+    got = op7_topk(spark, "/root/testdata/sf0.001").select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and want
