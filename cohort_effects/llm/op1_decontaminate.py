@@ -11,7 +11,7 @@
    summed by slices of terms) gives the latent space.
 3. Every document is read once and whole: overlapping windows of ``SPAN`` words
    are projected into the space, and each passage with a cosine of ``COSINE`` or
-   more to a window is a candidate.  The space has as many dimensions as the
+   more to a window that holds ``TERMS`` of its terms is a candidate.  The space has as many dimensions as the
    block has passages, so projecting loses nothing of a passage.
 4. A candidate is a leak if the longest common subsequence of words holds
    ``EXACT`` of the passage, or ``PARAPHRASE`` of it and the answer, the last
@@ -41,8 +41,9 @@ from cohort_effects.llm.textarrays import U, chunks, word_hashes, words
 
 PASSAGE, BLOCK = 64, 256
 SPAN, STRIDE = 96, 32  # a passage lies in some window whole
-COSINE, EXACT, PARAPHRASE, SHORT = 0.35, 0.7, 0.5, 8
-COMMON = 0.04  # share of the benchmark's passages above which a term does not span the space
+COSINE, EXACT, PARAPHRASE, SHORT = 0.5, 0.7, 0.5, 8
+TERMS = 0.4  # share of a passage's spanning terms that a candidate window holds
+COMMON = 0.015  # share of the benchmark's passages above which a term does not span the space
 ANSWER = 3  # words an answer has at least
 SLICE = 1024
 _MARK = np.zeros(256, bool)
@@ -152,16 +153,19 @@ def _gram(rows: DataFrame, terms: np.ndarray, weight: np.ndarray, m: np.ndarray)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, weight, m = shared.value
-        of, out = _lookup(terms), np.zeros_like(m)
+        of, out, any_ = _lookup(terms), np.zeros_like(m), False
         for batch in batches:
+            any_ |= batch.num_rows > 0
             for w in batch.column("words").to_pylist():
                 at, value = _row(np.array(w, np.int64).view(U), of, weight)
                 out[at] += np.outer(value, value @ m[at])
-        for k in range(0, len(out), SLICE):
+        for k in range(0, len(out) if any_ else 0, SLICE):
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([out[k : k + SLICE].tobytes()], pa.binary())], names=["slice", "part"])
 
     def total(table: pa.Table) -> pa.Table:
-        sums = np.sum([np.frombuffer(x.as_py()) for x in table["part"]], axis=0)
+        sums = np.frombuffer(table["part"][0].as_py()).copy()
+        for x in table["part"][1:]:
+            sums += np.frombuffer(x.as_py())
         return pa.table([table["slice"][:1], pa.array([sums.tobytes()], pa.binary())], names=["slice", "part"])
 
     got = rows.select("words").mapInArrow(part, "slice long, part binary").groupBy("slice").applyInArrow(total, "slice long, part binary").collect()
@@ -215,11 +219,15 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
         for j, x in enumerate(w):
             mask[x] = mask.get(x, 0) | 1 << j
         masks.append(mask)
-    model = (terms, (weight[:, None] * space).astype(np.float32), embedded, [r.item_id for r in rows], lists, masks, [r.answer for r in rows])
+    member = np.zeros((len(rows), len(terms)), bool)  # which terms each passage has
+    for k, w in enumerate(lists):
+        at = of(np.array(w, np.int64).view(U))
+        member[k, at[at >= 0]] = True
+    model = (terms, (weight[:, None] * space).astype(np.float32), embedded, member, [r.item_id for r in rows], lists, masks, [r.answer for r in rows])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def verdict(window: list[int], k: int) -> tuple[int, bool]:
-        _, _, _, _, lists, masks, answers = shared.value
+        *_, lists, masks, answers = shared.value
         n = len(lists[k])
         lcs = common_subsequence(masks[k], n, window)
         if n < SHORT:
@@ -227,8 +235,8 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
         return lcs, lcs >= EXACT * n or (lcs >= PARAPHRASE * n and answers[k] > 0 and _holds(window, lists[k][n - answers[k] :]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, latent, embedded, items, lists, masks, _ = shared.value
-        of = _lookup(terms)
+        terms, latent, embedded, member, items, lists, masks, _ = shared.value
+        of, least = _lookup(terms), TERMS * member.sum(axis=1)
         for batch in batches:
             ids = batch.column("doc_id")
             for lo, hi, buf, off in chunks(batch):
@@ -256,6 +264,8 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
                     z = np.add.reduceat(latent[term[b[0] : e]], b - b[0], axis=0)
                     cos = (z @ embedded.T) / np.maximum(np.sqrt((z * z).sum(axis=1)), 1e-12)[:, None]
                     for x, k in zip(*(c.tolist() for c in np.nonzero(cos >= COSINE)), strict=True):
+                        if np.count_nonzero(member[k, term[b[x] : b[x + 1] if x + 1 < len(b) else e]]) < least[k]:
+                            continue
                         w = int(window[b[x]])
                         d = int(np.searchsorted(base, w, side="right")) - 1
                         start = (w - int(base[d])) * STRIDE
@@ -287,7 +297,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = materialise(numbered(rows, "one", ["item_id"], ["item_id", "words"], 8, "number").drop("one"))
     out = None
     for block in range(-(-rows.count() // BLOCK)):
-        mine = rows.where(F.floor(F.col("number") / BLOCK) == block)
+        mine = rows.where(F.floor(F.col("number") / BLOCK) == block).coalesce(4)  # a few hundred rows
         local = mine.orderBy("number").collect()
         terms = vocabulary(local)
         n, total = document_frequencies(docs, terms)
