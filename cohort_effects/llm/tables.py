@@ -46,3 +46,9 @@ def held_out(id_col, folds: int, fold: int):
     """crc32 of the id as text modulo ``folds`` equals ``fold`` (a null id
     counts as the empty text, crc32 0)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % folds == fold
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system that is no longer read."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
