@@ -9,19 +9,23 @@
    A distributed randomised SVD of the TF-IDF passages (range finder with one
    power iteration; each task adds its passages' part of A'(A M), the parts are
    summed by slices of terms) gives the latent space.
-3. Every document is read once and whole: overlapping windows of ``SPAN`` words
-   are projected into the space, and each passage with a cosine of ``COSINE`` or
-   more to a window that holds ``TERMS`` of its terms is a candidate.  The space has as many dimensions as the
-   block has passages, so projecting loses nothing of a passage.
+3. Every document is read once and whole, in overlapping windows of ``SPAN``
+   words.  A passage is a candidate of a window that holds as many of its words
+   as step 4 asks for, and on whose projection into the space its share is not
+   under the least share so many of its words can have.  Both bounds follow
+   from step 4, and neither looks at what else the window holds, so they drop
+   no leak.  The space has as many dimensions as the block has passages, so
+   projecting loses nothing of a passage.
 4. A candidate is a leak if the longest common subsequence of words holds
    ``EXACT`` of the passage, or ``PARAPHRASE`` of it and the answer, the last
    sentence of the text, stands in the window word for word.  A passage under
    ``SHORT`` words must stand there as a whole.
 
-Terms in many passages of the benchmark itself (its function words) do not span
-the space; they do count for the common subsequence.
+All words of a passage span the space, also those in many passages: which other
+passages share its block changes nothing.
 
-Result: one row for each document and benchmark item, for the best window.
+Result: one row for each document and benchmark item, for the best window;
+``cosine`` is that of the passage and the part of it the window holds, by weight.
 Edge cases: null or empty texts match nothing; null ids stay null; equal
 benchmark rows count once; without benchmark or documents there are no rows.
 """
@@ -41,9 +45,8 @@ from cohort_effects.llm.textarrays import U, chunks, word_hashes, words
 
 PASSAGE, BLOCK = 64, 256
 SPAN, STRIDE = 96, 32  # a passage lies in some window whole
-COSINE, EXACT, PARAPHRASE, SHORT = 0.5, 0.7, 0.5, 8
-TERMS = 0.4  # share of a passage's spanning terms that a candidate window holds
-COMMON = 0.015  # share of the benchmark's passages above which a term does not span the space
+EXACT, PARAPHRASE, SHORT = 0.7, 0.5, 8
+SLACK = 1e-3  # rounding of projections, as a share of a passage
 ANSWER = 3  # words an answer has at least
 SLICE = 1024
 _MARK = np.zeros(256, bool)
@@ -93,11 +96,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
 
 def vocabulary(rows: list) -> np.ndarray:
     """Sorted hashes of the terms that span the space."""
-    sets = [np.unique(np.array(r.words, np.int64)) for r in rows]
-    terms, n = np.unique(np.concatenate(sets), return_counts=True)
-    rare = terms[n <= max(2, COMMON * len(rows))]
-    few = [s for s in sets if np.isin(s, rare).sum() < 3]  # passages of common words only
-    return np.unique(np.concatenate([rare, *few]).view(U))
+    return np.unique(np.concatenate([np.array(r.words, np.int64) for r in rows]).view(U))
 
 
 def _lookup(terms: np.ndarray):
@@ -183,7 +182,7 @@ def randomised_svd(rows: DataFrame, terms: np.ndarray, weight: np.ndarray, rank:
     q, _ = np.linalg.qr(_gram(rows, terms, weight, q))
     values, vectors = np.linalg.eigh(q.T @ _gram(rows, terms, weight, q))
     keep = np.argsort(values)[::-1][:rank]
-    keep = keep[values[keep] > 1e-9 * max(values.max(), 1e-300)]
+    keep = keep[values[keep] > 1e-12 * max(values.max(), 1e-300)]
     return q @ vectors[:, keep]
 
 
@@ -204,26 +203,42 @@ def _holds(window: list[int], part: list[int]) -> bool:
     return any(window[k : k + n] == part for k in range(len(window) - n + 1) if window[k] == part[0])
 
 
+def least_words(n: int, answer: int) -> int:
+    """Words of a passage of ``n`` that a leak has at least."""
+    return n if n < SHORT else int(np.ceil((PARAPHRASE if answer else EXACT) * n))
+
+
+def least_share(n: np.ndarray, square: np.ndarray, need: int) -> float:
+    """The least share of a passage's squared weights that ``need`` of its words
+    have, for terms of ``n`` words and a squared weight each (parts of a term
+    count too, so this is a lower bound)."""
+    order = np.argsort(square / n)
+    before = np.cumsum(n[order]) - n[order]
+    taken = np.clip((need - before) / n[order], 0, 1)
+    return float(taken @ square[order]) / max(float(square.sum()), 1e-300)
+
+
 def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarray, space: np.ndarray) -> DataFrame:
     """Documents against one block of passages."""
     of = _lookup(terms)
     lists = [list(r.words) for r in rows]
-    embedded = np.zeros((len(rows), space.shape[1]), np.float32)
-    for k, w in enumerate(lists):
-        at, value = _row(np.array(w, np.int64).view(U), of, weight)
-        z = value @ space[at]
-        embedded[k] = z / max(float(np.sqrt(z @ z)), 1e-12)
+    embedded = np.zeros((len(rows), space.shape[1]), np.float32)  # scaled so that a window's product is the share it holds
+    count = np.zeros((len(terms), -(-len(rows) // 8) * 8), np.uint8)  # words of each term a passage has, at most PASSAGE
+    need, share = np.full(count.shape[1], 255, np.uint8), np.zeros(len(rows))
+    for k, r in enumerate(rows):
+        at, n = np.unique(of(np.array(r.words, np.int64).view(U)), return_counts=True)
+        value = weight[at]
+        embedded[k] = value @ space[at] / max(float(value @ value), 1e-300)
+        count[at, k] = n
+        need[k] = least_words(len(r.words), r.answer)
+        share[k] = least_share(n, value * value, int(need[k])) - SLACK
     masks: list[dict[int, int]] = []
     for w in lists:
         mask: dict[int, int] = {}
         for j, x in enumerate(w):
             mask[x] = mask.get(x, 0) | 1 << j
         masks.append(mask)
-    member = np.zeros((len(rows), len(terms)), bool)  # which terms each passage has
-    for k, w in enumerate(lists):
-        at = of(np.array(w, np.int64).view(U))
-        member[k, at[at >= 0]] = True
-    model = (terms, (weight[:, None] * space).astype(np.float32), embedded, member, [r.item_id for r in rows], lists, masks, [r.answer for r in rows])
+    model = (terms, (weight[:, None] * space).astype(np.float32), embedded, count, need, share, [r.item_id for r in rows], lists, masks, [r.answer for r in rows])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def verdict(window: list[int], k: int) -> tuple[int, bool]:
@@ -235,8 +250,8 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
         return lcs, lcs >= EXACT * n or (lcs >= PARAPHRASE * n and answers[k] > 0 and _holds(window, lists[k][n - answers[k] :]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, latent, embedded, member, items, lists, masks, _ = shared.value
-        of, least = _lookup(terms), TERMS * member.sum(axis=1)
+        terms, latent, embedded, count, need, least, items, lists, masks, _ = shared.value
+        of, packed = _lookup(terms), count.view(np.uint64)  # eight passages' counts are added at once: none passes a byte
         for batch in batches:
             ids = batch.column("doc_id")
             for lo, hi, buf, off in chunks(batch):
@@ -261,11 +276,17 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
                 for s in range(0, len(begin), 1024):
                     b = begin[s : s + 1024]
                     e = begin[s + 1024] if s + 1024 < len(begin) else len(term)
-                    z = np.add.reduceat(latent[term[b[0] : e]], b - b[0], axis=0)
-                    cos = (z @ embedded.T) / np.maximum(np.sqrt((z * z).sum(axis=1)), 1e-12)[:, None]
-                    for x, k in zip(*(c.tolist() for c in np.nonzero(cos >= COSINE)), strict=True):
-                        if np.count_nonzero(member[k, term[b[x] : b[x + 1] if x + 1 < len(b) else e]]) < least[k]:
-                            continue
+                    held = np.add.reduceat(packed[term[b[0] : e]], b - b[0], axis=0).view(np.uint8)
+                    xs, ks = np.nonzero(held >= need)
+                    if not len(xs):
+                        continue
+                    some, of_some = np.unique(xs, return_inverse=True)
+                    n = np.append(b[1:], e)[some] - b[some]
+                    there = np.cumsum(n) - n
+                    z = np.add.reduceat(latent[term[np.repeat(b[some] - there, n) + np.arange(n.sum())]], there, axis=0)
+                    share = (z[of_some] * embedded[ks]).sum(axis=1)
+                    near = share >= least[ks]
+                    for x, k, part in zip(xs[near].tolist(), ks[near].tolist(), share[near].tolist(), strict=True):
                         w = int(window[b[x]])
                         d = int(np.searchsorted(base, w, side="right")) - 1
                         start = (w - int(base[d])) * STRIDE
@@ -273,7 +294,7 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
                         lcs, leak = verdict(span, k)
                         if leak:
                             inside = [p for p, y in enumerate(span) if y in masks[k]]
-                            found = (lcs / len(lists[k]), lcs, len(lists[k]), float(cos[x, k]), start + inside[0], inside[-1] - inside[0] + 1)
+                            found = (lcs / len(lists[k]), lcs, len(lists[k]), min(max(part, 0.0), 1.0) ** 0.5, start + inside[0], inside[-1] - inside[0] + 1)
                             key = (d, items[k])
                             if key not in best or found[:2] > best[key][:2]:
                                 best[key] = found

@@ -7,6 +7,7 @@ import numpy as np
 from llm_fixtures import docs, make, no_docs, pairs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
+from cohort_effects.llm import op1_decontaminate as op1
 from cohort_effects.llm.op1_decontaminate import clean, common_subsequence, contamination, randomised_svd
 from cohort_effects.llm.op7_topk import op7_topk, scaled, top_k
 
@@ -39,6 +40,33 @@ def test_leaks_and_paraphrases(spark):
     assert {r.doc_id for r in stay.collect()} == {i for i, _ in rows} - {i for i, _ in leaks}
 
 
+ITEM = "item_id long, text string"
+
+
+def dump(spark):
+    """Short items next to each other in one document, five or so a window."""
+    rng = random.Random(21)
+    items = [(k, prose(rng, 12) + ". " + prose(rng, 5) + ".") for k in range(14)]
+    rows = [(1, " ".join(b for _, b in items)), *((k, prose(rng, 200)) for k in range(2, 12))]
+    return make(spark, rows), spark.createDataFrame(items, ITEM), {(1, k) for k, _ in items}
+
+
+def test_adjacent_items(spark):
+    docs, bench, leaks = dump(spark)
+    assert {(r.doc_id, r.item_id) for r in contamination(docs, bench).collect()} == leaks
+    assert 1 not in {r.doc_id for r in clean(docs, bench).collect()}
+
+
+def test_least_share_is_a_lower_bound():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n, square = rng.integers(1, 4, 8), rng.random(8)
+        need = int(rng.integers(1, n.sum() + 1))
+        held = [[b >> j & 1 for j in range(8)] for b in range(256)]
+        least = min(np.dot(h, square) for h in held if np.dot(h, n) >= need) / square.sum()
+        assert op1.least_share(n, square, need) <= least + 1e-12
+
+
 def test_no_benchmark_or_documents(spark, docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination(docs, none).collect() == []
