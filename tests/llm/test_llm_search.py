@@ -57,6 +57,20 @@ def test_adjacent_items(spark):
     assert 1 not in {r.doc_id for r in clean(docs, bench).collect()}
 
 
+def test_paraphrases_that_exchange_the_rarest_words(spark):
+    rng = random.Random(22)
+    common = [f"func{j}" for j in range(12)]
+    items, rows, leaks = [], [(k, prose(rng, 150) + " " + " ".join(common)) for k in range(50, 60)], set()
+    for k in range(8):
+        rare, answer = prose(rng, 12).split(), prose(rng, 6)
+        text = lambda words: " ".join(f"{a} {b}" for a, b in zip(common, words, strict=True)) + ". " + answer  # noqa: B023, E731
+        items.append((k, text(rare)))
+        rows.append((k, prose(rng, 40) + " " + text([f"new{k}x{j}" for j in range(12)]) + " " + prose(rng, 40)))
+        leaks.add((k, k))
+    got = contamination(make(spark, rows), spark.createDataFrame(items, ITEM)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == leaks
+
+
 def test_least_share_is_a_lower_bound():
     rng = np.random.default_rng(4)
     for _ in range(50):
