@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from llm_fixtures import docs, make, no_docs, pairs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -71,6 +72,18 @@ def test_paraphrases_that_exchange_the_rarest_words(spark):
     assert {(r.doc_id, r.item_id) for r in got} == leaks
 
 
+def test_blocks_change_nothing(spark, monkeypatch):
+    docs, bench, leaks = dump(spark)
+    found = []
+    for block in (256, 13, 5):
+        monkeypatch.setattr(op1, "BLOCK", block)
+        found.append({(r.doc_id, r.item_id): tuple(r) for r in contamination(docs, bench).collect()})
+    assert set(found[0]) == leaks
+    for other in found[1:]:
+        assert set(other) == leaks
+        assert all(other[k] == pytest.approx(found[0][k], abs=1e-5) for k in leaks)
+
+
 def test_least_share_is_a_lower_bound():
     rng = np.random.default_rng(4)
     for _ in range(50):
