@@ -3,15 +3,16 @@
 Features are n-gram indicators: runs of one to four character classes (upper
 and lower case, digits, blanks, each punctuation mark for itself), and n-grams
 of word shapes, of repeats (this word equals the one before, the one two back,
-...) and of how common a shape or repeat is in the text, hashed to ``BUCKETS``.
-Each indicator is scaled by the log ratio of its smoothed document counts in
+...) and of how common a shape or repeat is in the text, hashed to ``SHAPES``
+buckets; and the words themselves, alone and in pairs of neighbours (A-Z read as
+a-z), hashed to ``WORDS`` buckets of their own.  Each indicator is scaled by the log ratio of its smoothed document counts in
 the two classes; a linear model with hinge loss is then fitted to the scaled
 indicators by dual coordinate descent.
 
 Counts cover all labelled rows outside the held-out fold.  The hinge model is
 fitted to at most ``FIT_ROWS`` of those rows (a documented bound: all of a class
-up to half of it, else those whose id hashes below a share); the model, one
-float a bucket, is broadcast.
+up to half of it, else those whose id hashes below a share); the model, two
+floats a bucket, is broadcast.
 
 Scores are 1 / (1 + exp(-SLOPE * margin)), shifted so that margin 0 scores the
 threshold 0.3.  Edge cases: null and empty texts are scored like any text
@@ -33,8 +34,10 @@ from pyspark.sql import functions as F
 from cohort_effects.llm.tables import held_out, materialise, read
 from cohort_effects.llm.textarrays import ODD, U, chunks, mix, word_hashes, words
 
-BUCKETS = 1 << 16
+SHAPES, WORDS = 1 << 16, 1 << 18
+BUCKETS = SHAPES + WORDS
 FIT_ROWS = 20_000
+LABELS = 1 << 19
 THRESHOLD = 0.3
 SLOPE = 4.0
 C = 1.0
@@ -63,6 +66,14 @@ def _gram(kind: int, *parts: np.ndarray) -> np.ndarray:
     return (mix(h) >> U(48)).astype(np.int64)
 
 
+def _word_gram(kind: int, *parts: np.ndarray) -> np.ndarray:
+    """Bucket of words or pairs of words, given their hashes."""
+    h = np.full(len(parts[0]), kind, U) * ODD[400]
+    for j, x in enumerate(parts):
+        h = h + x * ODD[401 + j]
+    return SHAPES + (mix(h) >> U(46)).astype(np.int64)
+
+
 def indicators(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(document, bucket) pairs of a chunk, each once, in order."""
     doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
@@ -108,12 +119,14 @@ def indicators(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
         if len(shape) > 1:
             two = wd[1:] == wd[:-1]
             add(wd[1:][two], _gram(31, shape[:-1][two], shape[1:][two]))
+            add(wd[1:][two], _word_gram(41, h[:-1][two], h[1:][two]))
+        add(wd, _word_gram(40, h))
     got = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
     return got // BUCKETS, got % BUCKETS
 
 
 def featured(rows: DataFrame) -> DataFrame:
-    """``doc_id`` and the sorted buckets of each row's text."""
+    """``doc_id``, ``label`` and the sorted buckets of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,55 +134,83 @@ def featured(rows: DataFrame) -> DataFrame:
                 d, g = indicators(buf, off)
                 at = np.searchsorted(d, np.arange(hi - lo + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(g.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), lists], names=["doc_id", "buckets"])
+                ids, labels = (batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "label"))
+                yield pa.RecordBatch.from_arrays([ids, labels, lists], names=["doc_id", "label", "buckets"])
+
+    return rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, buckets array<int>")
+
+
+def class_counts(rows: DataFrame) -> np.ndarray:
+    """Rows of each class (0, 1) with each bucket; every task sums its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(2 * BUCKETS, np.int64)
+        for batch in batches:
+            labels = batch.column("label").to_numpy().astype(np.int64)
+            for lo, hi, buf, off in chunks(batch):
+                d, g = indicators(buf, off)
+                n += np.bincount(labels[lo:hi][d] * BUCKETS + g, minlength=len(n))
+        there = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], names=["key", "n"])
 
-    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, buckets array<int>")
+    got = rows.select("label", "text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(2 * BUCKETS)
+    out[got["key"].to_numpy()] = got["n"].to_numpy()
+    return out.reshape(2, BUCKETS)
 
 
 def hinge_fit(indptr: np.ndarray, index: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the hinge loss with an L2 penalty; the rows
     are scaled indicators of unit length, the bias is one more feature."""
-    weight = np.append(scale, 1.0)
-    w = np.zeros(len(scale) + 1)
-    rows = [np.append(index[a:b], len(scale)) for a, b in zip(indptr[:-1], indptr[1:], strict=True)]
-    values = [weight[r] for r in rows]
-    values = [v / np.sqrt(v @ v) for v in values]
+    w, bias = np.zeros(len(scale)), 0.0
+    rows = [index[a:b] for a, b in zip(indptr[:-1], indptr[1:], strict=True)]  # values are taken when needed
+    unit = np.array([1 / np.sqrt(scale[r] @ scale[r] + 1) for r in rows])
     alpha = np.zeros(len(rows))
     cost = C * len(y) / (2 * np.array([max(1, (y < 0).sum()), max(1, (y > 0).sum())]))
     rng = np.random.default_rng(7)
     for _ in range(EPOCHS):
         most = 0.0
         for i in rng.permutation(len(rows)).tolist():
-            r, v = rows[i], values[i]
-            step = 1 - y[i] * (v @ w[r])
+            r = rows[i]
+            v = scale[r] * unit[i]
+            step = 1 - y[i] * (v @ w[r] + bias * unit[i])
             new = min(max(alpha[i] + step, 0.0), cost[int(y[i] > 0)])
             if new != alpha[i]:
                 w[r] += (new - alpha[i]) * y[i] * v
+                bias += (new - alpha[i]) * y[i] * unit[i]
                 most = max(most, abs(new - alpha[i]))
                 alpha[i] = new
         if most < 1e-3:
             break
-    return w[:-1], float(w[-1])
+    return w, float(bias)
 
 
-def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
-    """(scale, weights, bias) from rows with ``label`` 0 or 1 and ``buckets``,
-    or None."""
-    totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float] | None:
+    """(scale, weights, bias) from ``docs`` with one undisputed label, or None.
+    No text is moved: labels go to the texts in blocks of about ``LABELS``, one
+    after the other, and the rows the hinge model sees are found by their ids."""
+    docs, one = docs.where(F.col("doc_id").isNotNull()), materialise(undisputed(labels))
+    marked = materialise(docs.select("doc_id").join(one, "doc_id"))
+    totals = {r.label: r.n for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return None
-    counts = rows.select("label", F.explode("buckets").alias("bucket")).groupBy("label", "bucket").agg(F.count("*").alias("n")).toArrow()
-    n = np.zeros((2, BUCKETS))
-    n[counts["label"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"].to_numpy()
-    p, q = n[1] + SMOOTHING, n[0] + SMOOTHING
-    scale = np.log(p / p.sum()) - np.log(q / q.sum())
-    scale[n.sum(axis=0) == 0] = 0
+    n, blocks = np.zeros((2, BUCKETS)), -(-one.count() // LABELS)
+    for block in range(blocks):
+        mine = one.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(blocks)) == block)
+        n += class_counts(docs.join(F.broadcast(mine), "doc_id"))
+    scale = np.zeros(BUCKETS)
+    for part in (slice(0, SHAPES), slice(SHAPES, BUCKETS)):  # words do not shift the share of a shape
+        p, q = n[1, part] + SMOOTHING, n[0, part] + SMOOTHING
+        seen = n[:, part].sum(axis=0) > 0
+        scale[part][seen] = (np.log(p / p[seen].sum()) - np.log(q / q[seen].sum()))[seen]
     half, parts = FIT_ROWS // 2, []
-    for label, total in totals.items():
+    for label, total in sorted(totals.items()):
         share = 1.0 if total <= half else 0.95 * half / total
         drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-        parts.append(rows.where((F.col("label") == label) & drawn).limit(half).select("label", "buckets").toArrow())
-    table = pa.concat_tables(parts).combine_chunks()
+        ids = marked.where((F.col("label") == label) & drawn).limit(half).distinct()
+        parts.append(featured(docs.join(F.broadcast(ids), "doc_id")).limit(half).toArrow())
+    table = pa.concat_tables(parts).sort_by("doc_id").combine_chunks()
+    parts.clear()
     lists = table["buckets"].combine_chunks()
     indptr = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
     y = table["label"].to_numpy() * 2.0 - 1
@@ -204,17 +245,15 @@ def score(rows: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None) -
     return rows.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double")
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Buckets of the texts with one undisputed label.  The buckets are made
-    where the texts are read, so the join moves them and not the texts."""
-    one = (
+def undisputed(labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``label`` of the ids with one undisputed label."""
+    return (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").alias("label"), F.max("quality").alias("_most"))
         .where(F.col("label") == F.col("_most"))
         .select("doc_id", F.col("label").cast("int").alias("label"))
     )
-    return materialise(featured(docs.where(F.col("doc_id").isNotNull())).join(one, "doc_id"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
@@ -223,7 +262,7 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         held_out(F.col("doc_id"), folds, fold).alias("held_out"),
     )
-    model = fit(labelled(rows.where(~F.col("held_out")), labels))
+    model = fit(rows.where(~F.col("held_out")).select("doc_id", "text"), labels)
     return score(rows, model).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -231,7 +270,7 @@ def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
     """The rows of ``docs``, all columns, that the classifier does not reject;
     they are filtered where they are read."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    model = fit(labelled(rows.where(~held_out(F.col("doc_id"), folds, fold)), labels))
+    model = fit(rows.where(~held_out(F.col("doc_id"), folds, fold)), labels)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

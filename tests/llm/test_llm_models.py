@@ -1,6 +1,7 @@
 """Operators 4, 5, 6: held-out accuracy and brute force."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -23,6 +24,20 @@ def crc(i, m):
     return zlib.crc32(str(i).encode() if i is not None else b"") % m
 
 
+def worded(spark, n=300):
+    """Texts of one shape; only the words tell good (odd ids) from bad."""
+    rng = random.Random(9)
+    names = [a + b for a in ("ba", "ke", "li", "mo", "nu", "ze") for b in ("ran", "sti", "dog", "gel", "fur")]
+    rows = [(i, " ".join(rng.choice(names[i % 2 :: 2]) for _ in range(40))) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, quality int")
+
+
+def test_quality_by_wording_alone(spark):
+    got = [r for r in classify(*worded(spark)).collect() if r.held_out]
+    assert len(got) > 30 and sum(r.predicted == r.doc_id % 2 for r in got) >= 0.97 * len(got)
+
+
 def test_quality_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = {r.doc_id: r for r in classify(docs, labels).collect()}
