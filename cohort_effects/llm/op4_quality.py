@@ -268,7 +268,7 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
 
 def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
     """The rows of ``docs``, all columns, that the classifier does not reject;
-    they are filtered where they are read."""
+    they are filtered where they are read.  Null and empty texts stay."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     model = fit(rows.where(~held_out(F.col("doc_id"), folds, fold)), labels)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -276,7 +276,7 @@ def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, off in chunks(batch):
-                yield batch.slice(lo, hi - lo).filter(pa.array(scores(shared.value, buf, off) >= THRESHOLD))
+                yield batch.slice(lo, hi - lo).filter(pa.array((scores(shared.value, buf, off) >= THRESHOLD) | (np.diff(off) == 0)))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -38,6 +38,15 @@ def test_quality_by_wording_alone(spark):
     assert len(got) > 30 and sum(r.predicted == r.doc_id % 2 for r in got) >= 0.97 * len(got)
 
 
+def test_empty_texts_pass_whatever_the_bias(spark):
+    docs, labels = worded(spark, 100)
+    empty = spark.createDataFrame([(1000, None), (1001, ""), (None, None)], docs.schema)
+    for quality in ("quality", "1 - quality"):
+        some = labels.where("doc_id % 2 = 1 or doc_id < 30").selectExpr("doc_id", f"{quality} AS quality")
+        got = [r.doc_id for r in accepted(docs.union(empty), some).collect() if not r.text]
+        assert sorted(got, key=str) == [1000, 1001, None]
+
+
 def test_quality_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = {r.doc_id: r for r in classify(docs, labels).collect()}
