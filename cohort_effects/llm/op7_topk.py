@@ -9,8 +9,9 @@ found is above every bound that is left (equal bounds are read too, so ties
 are right).  The blocks' results, k a query each, are merged by rank.
 
 Edge cases: null vectors, vectors with a null or non-finite component and null
-ids take no part; rows that share an id count once (the smallest vector);
-vectors of different length are filled up with zeros; ties go to the smaller
+ids take no part; of rows that share an id each different vector counts, as a
+query and as a candidate, rows of the same id and whole components once, and no
+row is a candidate of its own id; vectors of different length are filled up with zeros; ties go to the smaller
 id; an empty table, or one vector alone, gives no rows.  Scaled components must
 stay below 2**27 in size (an error otherwise), so that scores fit 64 bits.
 """
@@ -37,7 +38,7 @@ def scaled(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     return (
         vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & sound)
         .select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
-        .groupBy("vec_id").agg(F.min("v").alias("v"))
+        .distinct()
     )
 
 

@@ -164,3 +164,20 @@ def test_top_k_against_its_sql(spark):
     want = con.execute(OP7_SQL).fetchall()
     got = op7_topk(spark, "/root/testdata/sf0.001").select("query_id", "rank", "vec_id", "score").collect()
     assert sorted(map(tuple, got)) == sorted(want) and want
+
+
+def test_repeated_ids_with_different_vectors_against_the_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from cohort_effects.llm.op7_topk import OP7_SQL
+
+    rng = np.random.default_rng(12)
+    rows = [(i % 70 * 5, [float(x) for x in rng.normal(size=6).astype(np.float32)]) for i in range(200)]  # 0, 100, 200, 300 are queries
+    con = duckdb.connect()
+    con.register("given", pd.DataFrame(rows, columns=["vec_id", "embedding"]))
+    con.execute("CREATE VIEW embeddings AS SELECT vec_id, CAST(embedding AS FLOAT[]) AS embedding FROM given")
+    want = con.execute(OP7_SQL).fetchall()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = top_k(scaled(df), F.col("vec_id") % 100 == 0).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 40
