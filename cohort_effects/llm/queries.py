@@ -12,6 +12,8 @@ from cohort_effects.llm.op7_topk import OP7_SQL, op7_topk
 from cohort_effects.llm.op8_minhash import op8_minhash
 from cohort_effects.llm.op9_substring import op9_substring_dedup
 from cohort_effects.llm.op10_sharding import op10_sharding
+from cohort_effects.llm.op11_mixing import op11_mixing
+from cohort_effects.llm.op13_manifest import op13_manifest
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
+    "op11_mixing": op11_mixing,
+    "op13_manifest": op13_manifest,
 }
 
 ORACLE: dict[str, str] = {
