@@ -13,6 +13,7 @@ from cohort_effects.llm.op8_minhash import op8_minhash
 from cohort_effects.llm.op9_substring import op9_substring_dedup
 from cohort_effects.llm.op10_sharding import op10_sharding
 from cohort_effects.llm.op11_mixing import op11_mixing
+from cohort_effects.llm.op12_spelling import op12_spelling
 from cohort_effects.llm.op13_manifest import op13_manifest
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
     "op11_mixing": op11_mixing,
+    "op12_spelling": op12_spelling,
     "op13_manifest": op13_manifest,
 }
 
