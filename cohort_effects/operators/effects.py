@@ -6,11 +6,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from cohort_effects.functions import band, clamp_nonneg
+from cohort_effects.operators.ranges import dense_ranks
 from cohort_effects.params import Params
 
 
@@ -217,12 +218,11 @@ def rank_in_group(
 ) -> DataFrame:
     """Dense rank, highest first, NULLs last, within (subject, year).
 
-    One window partition holds one row per school of a (subject, year), i.e.
-    a mart-sized slice, never detail rows.
+    The group's distinct values are ranked slot by slot (``ranges.dense_ranks``),
+    so a (subject, year) that holds most rows is not sorted by one task.
     """
     key = F.col(col) if round_digits is None else F.round(F.col(col), round_digits)
-    w = Window.partitionBy(*by).orderBy(key.desc_nulls_last())
-    return df.withColumn(out, F.dense_rank().over(w).cast("bigint"))
+    return dense_ranks(df.withColumn("_ranked", key), list(by), "_ranked", out).drop("_ranked")
 
 
 MART_COLUMNS = (

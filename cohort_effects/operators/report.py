@@ -1,6 +1,6 @@
 """Mart reports (X1-X9): distributions, top lists, profiles, cross tables
 and shortlists.  Inputs are mart-sized (one row per school, subject, year);
-per-(subject, year) windows hold one row per school."""
+top lists reduce before their shuffle, longer orders are dealt to ranges."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohort_effects.functions import round_half_up
 from cohort_effects.params import Params
 from cohort_effects.operators.profile import counts_by_value
+from cohort_effects.operators.ranges import positions
 from cohort_effects.operators.reshape import pivot_wide
 
 DESCRIBE = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -136,8 +137,9 @@ def study_shortlist(mart: DataFrame, p: Params = Params(), signs: Sequence[str]
     then rank within (subject, year).  ``signs`` picks strong+ and/or strong-."""
     labels = [p.effect_labels[0]] * ("positive" in signs) + [p.effect_labels[4]] * ("negative" in signs)
     sel = mart.filter(F.col("effect_class").isin(labels) & (F.col("confidence") == p.confidence_labels[0]))
-    w = Window.partitionBy("subject", "year").orderBy(F.desc("weight"), F.asc("rank_in_subject"), F.asc("school_id"))
-    return sel.withColumn("priority", F.row_number().over(w).cast("bigint"))
+    order = [F.col("weight").desc(), F.col("rank_in_subject").asc(), F.col("school_id").asc()]
+    numbered = positions(sel, ["subject", "year"], order, "_before")
+    return numbered.withColumn("priority", F.col("_before") + 1).drop("_before", "_before_of")
 
 
 def monitoring_list(mart: DataFrame, p: Params = Params()) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -294,10 +294,8 @@ def q_zero_sum(spark, base):
 )
 def q_monotone(spark, base):
     m = layers(spark, base).mart
-    w = Window.partitionBy("subject", "year").orderBy("n_obs", "school_id")
-    prev = F.lag("weight").over(w)
-    flagged = m.select((prev.isNotNull() & (F.col("weight") < prev - F.lit(QP.monotone_tol))).alias("bad"))
-    return flagged.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("bad").alias("failures"))
+    flagged = Qm.drops(m, ["subject", "year"], ["n_obs", "school_id"], "weight", QP.monotone_tol)
+    return flagged.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("dropped").alias("failures"))
 
 
 @register(
