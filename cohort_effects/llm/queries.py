@@ -15,6 +15,7 @@ from cohort_effects.llm.op10_sharding import op10_sharding
 from cohort_effects.llm.op11_mixing import op11_mixing
 from cohort_effects.llm.op12_spelling import op12_spelling
 from cohort_effects.llm.op13_manifest import op13_manifest
+from cohort_effects.llm.oracle import OP12_SQL, OP13_SQL
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -34,4 +35,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op7_topk": OP7_SQL,
+    "op12_spelling": OP12_SQL,
+    "op13_manifest": OP13_SQL,
 }
