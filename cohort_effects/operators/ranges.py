@@ -75,9 +75,10 @@ def dense_ranks(
     df: DataFrame, group: list[str], value: str, name: str, descending: bool = True, step: float = 1e-3
 ) -> DataFrame:
     """Adds the dense rank (from 1) of the number ``value`` within its group,
-    null values last.  Lazy, one plan.
+    null values last.
 
-    What is numbered are the distinct values (reduced before their shuffle), so a
+    The rows are checkpointed first: their values are read twice, and a value
+    computed twice may differ in its last bit.  What is numbered are the distinct values (reduced before their shuffle), so a
     value that holds most rows is one row.  They are dealt to slots ``step`` wide;
     a value's rank is its number within (group, slot) plus the values of the slots
     before.  With values rounded to d digits a slot holds at most step * 10 ** d
@@ -87,6 +88,7 @@ def dense_ranks(
     def ordered(c: str) -> Column:
         return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()
 
+    df = pinned(df)
     plain = F.col(value).cast("double")
     slot = F.floor(plain / F.lit(step))  # null stays null: the last slot
     values = df.select(*group, value).distinct().withColumn("_slot", slot)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohort_effects.operators import effects as fx
 from cohort_effects.operators import enrich, staging
@@ -17,7 +18,8 @@ from cohort_effects.sources import read_table
 
 @dataclass
 class Layers:
-    """Every model layer as a lazy DataFrame (a view until written)."""
+    """Every model layer as a lazy DataFrame (a view until written).  The mart's
+    rows are checkpointed on their way to the ranks, so it is made on first use."""
 
     students: DataFrame | None
     scores: DataFrame
@@ -31,7 +33,11 @@ class Layers:
     moments: DataFrame
     effects: DataFrame
     variances: DataFrame
-    mart: DataFrame
+    make_mart: Callable[[], DataFrame]
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return self.make_mart()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -114,9 +120,8 @@ def _layers_from_clean(scores, attendance, classes, students, params: Params, m,
     moments = mm(fx.group_moments(demeaned))
     effects = enforce_contract(moments.select(*S.EFFECTS_SCHEMA.fieldNames()), S.EFFECTS_SCHEMA)
     variances = mm(enforce_contract(fx.variance_components(moments), S.VARIANCES_SCHEMA))
-    mart = mm(fx.score_effects(moments, None, params))
     return Layers(students, scores, attendance, classes, bridge, years, context, enriched,
-                  demeaned, moments, effects, variances, mart)
+                  demeaned, moments, effects, variances, lambda: mm(fx.score_effects(moments, None, params)))
 
 
 def fixture_layers(
@@ -186,6 +191,10 @@ def effect_mart(
     return build_layers(raw_scores, raw_attendance, raw_classes, None, params).mart
 
 
+DETAIL_CLUSTER = ("subject", "school_id")
+MART_CLUSTER = ("subject", "effect_class", "school_id")
+
+
 def run_build(
     layers: Layers,
     out_root: str,
@@ -194,67 +203,52 @@ def run_build(
 ) -> DataFrame:
     """Materialise the two table layers, test them, then publish: the full build.
 
-    * S8: each layer goes to its own folder under ``out_root``
-      (``intermediate/demeaned``, ``marts/effects``); both are written to a
-      staging folder beside them and moved there only after the gate.
+    * S8: each layer goes to its own table under ``out_root``
+      (``intermediate/demeaned``, ``marts/effects``).  Both are written as a new
+      version (``sources.versions``) that readers see only after the gate.
     * Q12/Q13: the mart is checked against its contract, and a NOT NULL
       guard inside the write fails the job before the table is committed.
-    * S6/S7: both tables are partitioned by year and clustered.
-    * Q19: the suite runs on the staged tables; error failures raise, and the
-      published tables stay as they were.
+    * S6/S7: both tables are partitioned by year and laid out in files that
+      readers can skip; the detail's row counts come from the context layer.
+    * Q19: the suite runs on the new versions; error failures raise, and the
+      published ones stay.
 
     Returns the check results.
     """
     from cohort_effects.operators import quality as Q
     from cohort_effects.plans import suite as SU
-    from cohort_effects.sources.io import write_partitioned
+    from cohort_effects.sources.clustered import write_clustered
     from cohort_effects.sources.schemas import MART_SCHEMA, NOT_NULL_DEMEANED, NOT_NULL_MART
+    from cohort_effects.sources.versions import discard, new_version, publish
 
     spark = layers.scores.sparkSession
     root = out_root.rstrip("/")
-    staging_root = f"{root}/_staging-{uuid.uuid4().hex[:12]}"
-    dm_path, mart_path = f"{staging_root}/demeaned", f"{staging_root}/effects"
-    write_partitioned(Q.assert_not_null(layers.demeaned, NOT_NULL_DEMEANED), dm_path, ["year"],
-                      ["subject", "school_id", "student_id", "term"])
-    demeaned = spark.read.schema(layers.demeaned.schema).parquet(dm_path).select(*layers.demeaned.columns)
-    # level-1 moments are mart-sized; writing them once keeps the effect and
-    # variance checks from re-aggregating the whole detail table each time
-    moments = checkpointed(fx.group_moments(demeaned))
-    mart = Q.enforce_contract(fx.score_effects(moments, None, params), MART_SCHEMA)
-    write_partitioned(Q.assert_not_null(mart, NOT_NULL_MART), mart_path, ["year"],
-                      ["subject", "effect_class", "school_id"])
-    mart = spark.read.schema(MART_SCHEMA).parquet(mart_path).select(*MART_SCHEMA.fieldNames())
-    built = Layers(layers.students, layers.scores, layers.attendance, layers.classes, layers.bridge, layers.years,
-                   layers.context, layers.enriched, demeaned, moments,
-                   moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect"),
-                   fx.variance_components(moments), mart)
-    results = Q.run_checks(SU.suite(built, params), SU.tables_of(built), params.target)
-    results = results.checkpoint(eager=True)
+    dm_path, mart_path = new_version(f"{root}/intermediate/demeaned"), new_version(f"{root}/marts/effects")
+    published = False
     try:
+        counts = layers.context.where(F.col("year").isNotNull()).groupBy("year", *DETAIL_CLUSTER).agg(F.count("*").alias("n"))
+        write_clustered(Q.assert_not_null(layers.demeaned, NOT_NULL_DEMEANED), dm_path, DETAIL_CLUSTER,
+                        sort_by=["student_id", "term"], counts=counts)
+        demeaned = spark.read.schema(layers.demeaned.schema).parquet(dm_path).select(*layers.demeaned.columns)
+        # level-1 moments are mart-sized; writing them once keeps the effect and
+        # variance checks from re-aggregating the whole detail table each time
+        moments = checkpointed(fx.group_moments(demeaned))
+        mart = Q.enforce_contract(fx.score_effects(moments, None, params), MART_SCHEMA)
+        write_clustered(Q.assert_not_null(mart, NOT_NULL_MART), mart_path, MART_CLUSTER)
+        mart = spark.read.schema(MART_SCHEMA).parquet(mart_path).select(*MART_SCHEMA.fieldNames())
+        built = Layers(layers.students, layers.scores, layers.attendance, layers.classes, layers.bridge, layers.years,
+                       layers.context, layers.enriched, demeaned, moments,
+                       moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect"),
+                       fx.variance_components(moments), lambda: mart)
+        results = Q.run_checks(SU.suite(built, params), SU.tables_of(built), params.target)
+        results = results.checkpoint(eager=True)
         if gate_on_errors:
             Q.gate(results)
-        _publish(spark, dm_path, f"{root}/intermediate/demeaned")
-        _publish(spark, mart_path, f"{root}/marts/effects")
+        publish(spark, dm_path)
+        publish(spark, mart_path)
+        published = True
     finally:
-        _files(spark, staging_root)[0].delete(_files(spark, staging_root)[1], True)
+        if not published:
+            discard(spark, dm_path)
+            discard(spark, mart_path)
     return results
-
-
-def _files(spark: SparkSession, path: str):
-    """(file system, path) of a folder, wherever it lies."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
-
-
-def _publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Move a tested table to its place; the one that was there goes last."""
-    fs, source = _files(spark, staged)
-    place = _files(spark, target)[1]
-    before = _files(spark, f"{target}-before")[1]
-    fs.mkdirs(place.getParent())
-    fs.delete(before, True)
-    if fs.exists(place) and not fs.rename(place, before):
-        raise OSError(f"cannot move {target}")
-    if not fs.rename(source, place):
-        raise OSError(f"cannot move {staged} to {target}")
-    fs.delete(before, True)

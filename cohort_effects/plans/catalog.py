@@ -1021,7 +1021,9 @@ def q_monitoring(spark, base):
 # Sinks: partitioned mart, per-subject CSV, single-year overwrite
 # --------------------------------------------------------------------------
 
+from cohort_effects.plans.build import DETAIL_CLUSTER, MART_CLUSTER  # noqa: E402
 from cohort_effects.session import work_path  # noqa: E402
+from cohort_effects.sources.clustered import read_clustered, write_clustered  # noqa: E402
 from cohort_effects.sources.schemas import MART_SCHEMA  # noqa: E402
 
 _SLICE_YEAR = 1998
@@ -1030,11 +1032,36 @@ _SLICE_YEAR = 1998
 @register("mart_year_slice", O.norm(O.with_ctes(["mart"], f"SELECT * FROM mart WHERE year = {_SLICE_YEAR}"), MART_D.split(", ")))
 def q_year_slice(spark, base):
     path = work_path(spark, "mart")
-    IO.write_partitioned(_mart(spark, base), path, ["year"], ["subject", "effect_class", "school_id"])
-    back = IO.read_partition(spark, path, {"year": _SLICE_YEAR}, schema=_mart(spark, base).schema)
+    write_clustered(_mart(spark, base), path, MART_CLUSTER)
+    back = read_clustered(spark, path, {"year": _SLICE_YEAR}, MART_SCHEMA)
     return normalize(back.select(*_MART_COLS.split(", ")))
 
 
+@register(
+    "detail_subject_slice",
+    sql(["demeaned"], f"SELECT student_id, school_id, term, grade_dm FROM demeaned WHERE year = {_SLICE_YEAR} AND subject = 'subject_1'", "grade_dm"),
+)
+def q_subject_slice(spark, base):
+    """S6/S7 on the detail: one subject of one year, read from the files whose
+    index range holds it."""
+    path = work_path(spark, "detail")
+    L = layers(spark, base)
+    counts = L.context.where(F.col("year").isNotNull()).groupBy("year", *DETAIL_CLUSTER).agg(F.count("*").alias("n"))
+    write_clustered(L.demeaned, path, DETAIL_CLUSTER, sort_by=["student_id", "term"], rows_per_file=1000, counts=counts)
+    back = read_clustered(spark, path, {"year": _SLICE_YEAR, "subject": "subject_1"}, L.demeaned.schema)
+    return normalize(back.select("student_id", "school_id", "term", "grade_dm"))
+
+
+@register("replace_load", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+def q_replace(spark, base):
+    """A load of half the rows, then the full one twice; the last is read."""
+    target = work_path(spark, "replaced")
+    rows = _t(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    for part in (rows.where("c_custkey % 2 = 0"), rows, rows):
+        IO.replace_table(part, target)
+    return IO.read_current(spark, target, rows.schema)
+
+
 @register("top10_csv", _TOP_SQL)
 def q_top10_csv(spark, base):
     path = work_path(spark, "top10_csv")
@@ -1051,10 +1078,9 @@ def q_top10_csv(spark, base):
 def q_overwrite(spark, base):
     path = work_path(spark, "mart_rw")
     m = _mart(spark, base)
-    IO.write_partitioned(m, path, ["year"], ["subject", "effect_class", "school_id"])
+    write_clustered(m, path, MART_CLUSTER)
     # Rebuild only one year: with dynamic overwrite the other years stay.
-    IO.write_partitioned(m.filter(F.col("year") == _SLICE_YEAR), path, ["year"],
-                         ["subject", "effect_class", "school_id"], dynamic=True)
+    write_clustered(m.filter(F.col("year") == _SLICE_YEAR), path, MART_CLUSTER, dynamic=True)
     return normalize(spark.read.schema(m.schema).parquet(path).select(*_MART_COLS.split(", ")))
 
 

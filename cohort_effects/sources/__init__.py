@@ -9,5 +9,7 @@ from cohort_effects.sources.io import (  # noqa: F401
     read_tables,
     table_volumes,
     write_csv_by,
+    read_current,
+    replace_table,
     write_partitioned,
 )

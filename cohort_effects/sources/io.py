@@ -12,6 +12,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohort_effects.sources.versions import current_version, discard, new_version, publish
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -38,41 +40,42 @@ def read_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLES) -
 
 
 def write_partitioned(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str] = ("year",),
-    sort_by: Sequence[str] = (),
-    mode: str = "overwrite",
-    dynamic: bool = False,
+    df: DataFrame, path: str, partition_by: Sequence[str] = ("year",), mode: str = "overwrite", dynamic: bool = False
 ) -> str:
-    """One directory per partition value, rows clustered inside.
-
-    With ``sort_by`` the rows are hash-partitioned on (partition columns,
-    cluster columns) and sorted within each task by the same columns.  A
-    large partition value (a year holding a third of the rows) is spread
-    over all writer tasks, and each file's row groups cover narrow, sorted
-    key ranges, so Parquet min/max statistics stay selective.  End
-    ``sort_by`` with a near-unique column so no single key value has to fit
-    in one task.  (Range partitioning would give disjoint files but costs a
-    sampling job that recomputes the whole input plan.)  Without ``sort_by``
-    each task writes its own rows (no shuffle).  ``dynamic=True`` overwrites
-    only the partitions present in ``df`` (Z1); it is a per-write option, the
-    session setting is left alone.
+    """One directory per partition value; each task writes its own rows, no
+    shuffle (``clustered.write_clustered`` lays out the files as well).
+    ``dynamic=True`` overwrites only the partitions present in ``df`` (Z1); it is
+    a per-write option, the session setting is left alone.
     """
-    out = df
-    if sort_by:
-        out = out.repartition(*[F.col(c) for c in (*partition_by, *sort_by)]).sortWithinPartitions(
-            *partition_by, *sort_by
-        )
-    elif partition_by:
-        out = out.sortWithinPartitions(*partition_by)
-    writer = out.write.mode(mode).partitionBy(*partition_by)
+    writer = df.sortWithinPartitions(*partition_by).write.mode(mode).partitionBy(*partition_by)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return path
 
 
+def replace_table(df: DataFrame, target: str) -> str:
+    """Full replace of a table.  The rows go to a version of their own, which
+    is then pointed to; loading the same rows again gives the same table, and a
+    load that fails leaves the one before.  Returns the version's folder."""
+    version = new_version(target)
+    try:
+        df.write.parquet(version)
+    except Exception:
+        discard(df.sparkSession, version)
+        raise
+    publish(df.sparkSession, version)
+    return version
+
+
+def read_current(spark: SparkSession, target: str, schema=None) -> DataFrame:
+    """The published version of a table."""
+    folder = current_version(spark, target)
+    if folder is None:
+        raise FileNotFoundError(f"nothing is published at {target}")
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(folder)
+
+
 def read_partition(
     spark: SparkSession, path: str, where: Mapping[str, object] | None = None, schema=None
 ) -> DataFrame:

@@ -29,7 +29,7 @@ def test_scan_prunes_columns_and_partitions(spark, tmp_path):
 
     L = layers(spark, SF_SMALL)
     path = str(tmp_path / "mart")
-    io.write_partitioned(L.mart, path, ["year"], ["subject"])
+    io.write_partitioned(L.mart, path, ["year"])
     df = io.read_partition(spark, path, {"year": 1998}).select("school_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "ReadSchema: struct<school_id:bigint>" in plan
@@ -43,12 +43,17 @@ def test_student_stats_are_partial_aggregates_not_windows(spark):
     assert "Window [avg(grade" not in s
 
 
-def test_mart_has_constant_aggregate_state_and_one_window(spark):
+def test_scored_rows_have_constant_aggregate_state_and_no_window(spark):
+    from cohort_effects.operators import effects as fx
+
     L = layers(spark, SF_SMALL)
-    L.mart.collect()
-    final = L.mart._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    scored = fx.shrink(L.moments)
+    scored.collect()
+    final = scored._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ObjectHashAggregate" not in final and "collect_set" not in final
-    assert "Window [dense_rank(" in final and "Window [sum(" not in final and "Window [var_samp(" not in final
+    assert "Window [avg(" not in final and "Window [sum(" not in final and "Window [var_samp(" not in final
+    ranks = L.mart._jdf.queryExecution().optimizedPlan().toString()
+    assert "dense_rank(" not in ranks and "_slot" in ranks
 
 
 def test_no_forced_broadcast_on_caller_chosen_keys(spark):
