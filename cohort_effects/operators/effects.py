@@ -298,15 +298,79 @@ def bootstrap_se(
     """Poisson bootstrap standard error of the raw effect per group.
 
     Each detail row gets an independent Poisson(1) weight per replicate from
-    a hash of (row key, replicate, seed) -- repeatable and computed in place,
-    no resampled copy is shuffled.  Replicate sums are aggregated per
-    (group, replicate) with partial aggregation, then the spread of the
-    replicate means per group gives the standard error.
+    a hash of (row key, replicate, seed), all of them in one array beside the
+    row: no row is copied, and the replicates' sums are columns of one grouping
+    aggregate with partial sums.
     """
-    long = replicate_weights(dm, replicates, by, row_key, value, seed)
-    per = long.groupBy(*by, "_b").agg(F.sum(F.col("_wt") * F.col(value)).alias("_s"), F.sum("_wt").alias("_w"))
-    means = per.select(*by, F.try_divide(F.col("_s"), F.col("_w")).alias("_m"))
-    return means.groupBy(*by).agg(
-        F.stddev_samp("_m").alias("boot_se"),
-        F.count("_m").alias("n_replicates"),
+    src = dm.filter(F.col(by[0]).isNotNull())
+    src = src.select(*by, F.col(value).alias("_v"), weight_array(row_key, replicates, seed).alias("_wts"))
+    per = src.groupBy(*by).agg(
+        *[F.sum(F.col("_wts")[b] * F.col("_v")).alias(f"_s{b}") for b in range(replicates)],
+        *[F.sum(F.col("_wts")[b]).alias(f"_w{b}") for b in range(replicates)],
+    )
+    means = F.array(*[F.try_divide(F.col(f"_s{b}"), F.col(f"_w{b}")) for b in range(replicates)])
+    return per.select(*by, F.filter(means, lambda m: m.isNotNull()).alias("_m")).select(
+        *by, _stddev("_m").alias("boot_se"), F.size("_m").cast("bigint").alias("n_replicates")
+    )
+
+
+def weight_array(key: Sequence[str], replicates: int, seed: int) -> Column:
+    """Poisson(1) weights of a row's replicates, from a hash of (key, replicate,
+    seed)."""
+
+    def one(b: Column) -> Column:
+        h = F.xxhash64(*[F.col(c) for c in key], b, F.lit(seed))
+        return _poisson1(F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))).cast("double")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), one)
+
+
+def _stddev(col: str) -> Column:
+    """Sample standard deviation of an array; null for fewer than two values."""
+    n = F.size(col)
+    total = F.aggregate(col, F.lit(0.0), lambda a, x: a + x)
+    mean = F.try_divide(total, n.cast("double"))
+    squares = F.aggregate(F.transform(col, lambda x: (x - mean) * (x - mean)), F.lit(0.0), lambda a, x: a + x)
+    return F.when(n > 1, F.sqrt(squares / (n - 1)))
+
+
+def bootstrap_effects(
+    dm: DataFrame,
+    replicates: int = 200,
+    unit: str = "student_id",
+    by: Sequence[str] = ("school_id", "subject", "year"),
+    value: str = "grade_dm",
+    seed: int = 42,
+    interval: tuple[float, float] = (0.025, 0.975),
+) -> DataFrame:
+    """Z2 by unit, through the whole model: a replicate draws students, a student's
+    rows keep or leave together (so their own mean stays), and each replicate gets
+    its own variance components and shrinkage.
+
+    The detail is reduced to sums per (student, group) first; a student's weights
+    stand in one array beside them, and the replicates' sums are columns of one
+    aggregate.  Only those sums, a row a group, are turned into a row a (group,
+    replicate) for the model.  Returns the spread and the percentile interval of
+    the adjusted effects, and how many replicates have the group at all.
+    """
+    v = F.col(value)
+    cells = dm.filter(F.col(by[0]).isNotNull()).groupBy(unit, *by).agg(
+        F.count(v).cast("double").alias("_n"), F.sum(v).alias("_d"), F.sum(v * v).alias("_q")
+    )
+    cells = cells.withColumn("_wts", weight_array([unit], replicates, seed))
+    sums = cells.groupBy(*by).agg(
+        *[F.sum(F.col("_wts")[b] * F.col(c)).alias(f"{c}{b}") for b in range(replicates) for c in ("_n", "_d", "_q")]
+    )
+    drawn = F.array(*[F.struct(F.lit(b).alias("_b"), *[F.col(f"{c}{b}").alias(c) for c in ("_n", "_d", "_q")]) for b in range(replicates)])
+    rows = sums.select(*by, F.inline(drawn)).where("_n > 0")
+    moments = rows.select(
+        *by, "_b", F.col("_n").cast("bigint").alias("n_obs"), (F.col("_d") / F.col("_n")).alias("raw_effect"),
+        F.greatest(F.lit(0.0), F.col("_q") - F.col("_d") * F.col("_d") / F.col("_n")).alias("m2"),
+    )
+    adjusted = shrink(moments, None, [*by[1:], "_b"])
+    low, high = interval
+    out = adjusted.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_replicates"), F.stddev_samp("adj_effect").alias("boot_se"),
+        F.percentile("adj_effect", [low, high]).alias("_q"),  # the group's replicates
     )
+    return out.select(*by, "n_replicates", "boot_se", F.col("_q")[0].alias("boot_low"), F.col("_q")[1].alias("boot_high"))

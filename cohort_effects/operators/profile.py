@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohort_effects.operators import quantiles
+from cohort_effects.operators.ranges import matched, pinned
+
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
@@ -289,20 +292,20 @@ def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
 
 
-def numeric_summary(df: DataFrame, col: str, probs: Sequence[float] = (0.01, 0.5, 0.99), accuracy: int = 10000) -> DataFrame:
-    """Min, quantiles, mean, max and sample stddev in one pass.
+def numeric_summary(df: DataFrame, col: str, probs: Sequence[float] = (0.01, 0.5, 0.99), sketch: int | None = None) -> DataFrame:
+    """Min, quantiles (values of the column), mean, max, sample stddev.
 
-    Quantiles use ``percentile_approx`` (a mergeable sketch with rank error
-    1/accuracy) so a 100 TB column never goes to one buffer.
+    The quantiles are exact, found over ranges of the counted values; with
+    ``sketch`` (an accuracy) they come from ``percentile_approx`` in the same
+    pass, with a rank error of 1 / sketch.
     """
-    qs = F.percentile_approx(col, list(probs), accuracy)
-    agg = df.agg(
-        F.count(col).alias("n"),
-        F.min(col).alias("min"),
-        qs.alias("_q"),
-        F.avg(col).alias("mean"),
-        F.max(col).alias("max"),
-        F.stddev_samp(col).alias("std"),
-    )
+    plain = [F.count(col).alias("n"), F.min(col).alias("min"), F.avg(col).alias("mean"), F.max(col).alias("max"), F.stddev_samp(col).alias("std")]
+    if sketch:
+        agg = df.agg(*plain, F.percentile_approx(col, list(probs), sketch).alias("_q"))
+    else:
+        df = pinned(df.select(col))
+        counts = counts_by_value(df, col, digits=15).withColumn("_all", F.lit(0))
+        q = quantiles.exact(counts, ["_all"], "v", "n", list(probs), linear=False).withColumnRenamed("quantiles", "_q")
+        agg = matched(df.agg(*plain).withColumn("_all", F.lit(0)), q, ["_all"], "left")  # one row each
     names = [f"p{int(round(p * 100)):02d}" for p in probs]
     return agg.select("n", "min", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)], "mean", "max", "std")

@@ -9,11 +9,10 @@ single aggregate pass over that table.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -261,15 +260,50 @@ def tag_columns(df: DataFrame, tags: Mapping[str, str]) -> DataFrame:
 
 def tag_sentinel(tags: Mapping[str, str]) -> list[tuple[str, str]]:
     """Config sentinel: tags that are empty or still hold a placeholder."""
-    pat = re.compile("|".join(TAG_PLACEHOLDERS))
-    return [(c, t) for c, t in tags.items() if t == "" or pat.search(t or "")]
+    return [(c, t) for c, t in tags.items() if t == "" or any(p in (t or "") for p in TAG_PLACEHOLDERS)]
 
 
-def mask_sensitive(df: DataFrame, actions: Mapping[str, str], enabled: bool = True) -> DataFrame:
+def tag_failures(tags: DataFrame, col: str = "tag", placeholder: str = "PROJECT_ID|TAXONOMY_ID") -> DataFrame:
+    """P12 on a table of tags: rows whose tag is empty or matches ``placeholder``
+    (a null tag is no tag and passes)."""
+    return tags.where((F.col(col) == "") | F.col(col).rlike(placeholder))
+
+
+def regex_failures(df: DataFrame, col: str, pattern: str, wanted: bool = True) -> DataFrame:
+    """Rows whose ``col`` does not match ``pattern`` (or does, where it is
+    not ``wanted``); null passes."""
+    found = F.col(col).rlike(pattern)
+    return df.where(~found if wanted else found)
+
+
+PSEUDONYM_KEY, PSEUDONYM_VERSION = "spark.cohort_effects.pseudonym.key", "spark.cohort_effects.pseudonym.version"
+
+
+def pseudonym(value: Column, key: str, version: str) -> Column:
+    """Keyed digest of a value: sha-256 over the key and an inner sha-256 over the
+    key and the value, with the key's version before it.  Ids of few possible
+    values cannot be found by trying them all without the key, and two keys give
+    unlinkable ids.  Null stays null."""
+    inner = F.sha2(F.concat(F.lit(f"{key}|in|"), value.cast("string")).cast("binary"), 256)
+    return F.concat(F.lit(f"{version}:"), F.sha2(F.concat(F.lit(f"{key}|out|"), inner).cast("binary"), 256))
+
+
+def session_key(spark) -> tuple[str, str]:
+    """(key, version) of the session; without a key nothing is masked."""
+    key, version = spark.conf.get(PSEUDONYM_KEY, None), spark.conf.get(PSEUDONYM_VERSION, "v1")
+    if not key:
+        raise ContractError(f"hash masking needs the session's {PSEUDONYM_KEY}")
+    return key, version
+
+
+def mask_sensitive(
+    df: DataFrame, actions: Mapping[str, str], enabled: bool = True, key: tuple[str, str] | None = None
+) -> DataFrame:
     """Q18: mask columns by their sensitivity tag.
 
-    ``actions`` maps a tag to ``hash`` (sha-256 of the value), ``null`` or
-    ``drop``.  Refuses to run when a tag is empty or a placeholder.
+    ``actions`` maps a tag to ``hash`` (a keyed pseudonym; ``key`` is (key,
+    version), by default the session's), ``null`` or ``drop``.  Refuses to run
+    when a tag is empty or a placeholder, or when there is no key to hash with.
     """
     if not enabled:
         return df
@@ -283,7 +317,8 @@ def mask_sensitive(df: DataFrame, actions: Mapping[str, str], enabled: bool = Tr
         if act == "drop":
             continue
         if act == "hash":
-            cols.append(F.sha2(F.col(f.name).cast("string"), 256).alias(f.name))
+            key = key or session_key(df.sparkSession)
+            cols.append(pseudonym(F.col(f.name), *key).alias(f.name))
         elif act == "null":
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:

@@ -71,6 +71,22 @@ def positions(df: DataFrame, group: list[str], order: list[Column], name: str =
     )
 
 
+def running(df: DataFrame, group: list[str], order: list[Column], weight: str, name: str, ranges: int | None = None) -> DataFrame:
+    """Adds the sum of ``weight`` over the rows before (in ``order``, within the
+    group) and over the whole group as ``<name>_of``."""
+    rows = in_ranges(df, _grouped(group, order), ranges)
+    inside = Window.partitionBy(*group, RANGE).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    sums = (
+        rows.groupBy(*group, RANGE).agg(F.sum(weight).alias("_n"))
+        .withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn(f"{name}_of", F.sum("_n").over(whole)).drop("_n")
+    )
+    own = rows.withColumn("_own", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    return matched(own, sums, [*group, RANGE]).withColumn(name, F.col("_own") + F.col("_from")).drop(RANGE, AT, "_own", "_from")
+
+
 def dense_ranks(
     df: DataFrame, group: list[str], value: str, name: str, descending: bool = True, step: float = 1e-3
 ) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from cohort_effects.functions import round_half_up
 from cohort_effects.params import Params
 from cohort_effects.operators.profile import counts_by_value
-from cohort_effects.operators.ranges import positions
+from cohort_effects.operators import quantiles
+from cohort_effects.operators.ranges import matched, pinned, positions
 from cohort_effects.operators.reshape import pivot_wide
 
 DESCRIBE = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -20,18 +21,19 @@ DESCRIBE = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 def describe_by(df: DataFrame, by: Sequence[str], col: str, digits: int = 3) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear), max per group,
-    rounded for display."""
-    q = F.percentile(col, [0.25, 0.5, 0.75])
+    rounded for display.  The quartiles are exact and found over ranges of the
+    counted values (``quantiles.exact``), not in a buffer of the group."""
+    df = pinned(df.select(*by, col))
     agg = df.groupBy(*by).agg(
         F.count(col).alias("count"),
         F.avg(col).alias("mean"),
         F.stddev_samp(col).alias("std"),
         F.min(col).alias("min"),
-        q.alias("_q"),
         F.max(col).alias("max"),
     )
-    out = agg.select(*by, "count", "mean", "std", "min",
-                     F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")
+    q = quantiles.exact(counts_by_value(df, col, by), list(by), "v", "n", [0.25, 0.5, 0.75])
+    out = matched(agg, q, list(by), "left").select(
+        *by, "count", "mean", "std", "min", *[F.col("quantiles")[k].alias(c) for k, c in enumerate(("q25", "q50", "q75"))], "max")
     return out.select(*by, "count", *[round_half_up(c, digits).alias(c) for c in DESCRIBE[1:]])
 
 
@@ -84,12 +86,12 @@ def symmetric_limits(mart: DataFrame, by: Sequence[str] = ("subject",), margin:
 def box_stats(df: DataFrame, by: Sequence[str], col: str, threshold: float = 0.10, digits: int = 3) -> DataFrame:
     """Quartiles (linear), 1.5 IQR whiskers (most extreme values
     inside the fences), outliers, median/mean/max and the share above a
-    threshold, per group.  Values are counted once; quartiles and fences both
-    read those counts, so a value cannot differ between the two."""
-    vals = counts_by_value(df, col, by)
-    q = vals.groupBy(*by).agg(F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("_q"))
-    q = q.select(*by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    j = vals.join(q, list(by))
+    threshold, per group.  Values are counted once (and checkpointed); quartiles
+    and fences both read those counts, so a value cannot differ between the two."""
+    vals = pinned(counts_by_value(df, col, by))
+    q = quantiles.exact(vals, list(by), "v", "n", [0.25, 0.5, 0.75])
+    q = q.select(*by, *[F.col("quantiles")[k].alias(c) for k, c in enumerate(("q1", "median", "q3"))])
+    j = matched(vals, q, list(by))
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     v, n = F.col("v"), F.col("n")

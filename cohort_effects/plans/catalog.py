@@ -217,6 +217,7 @@ def q_mart(spark, base):
 # --------------------------------------------------------------------------
 
 from cohort_effects.operators import quality as Qm  # noqa: E402
+from cohort_effects.operators import quantiles as QN  # noqa: E402
 from cohort_effects.plans import suite as SU  # noqa: E402
 
 _DQ_ALL = SU.ALL_SQL_TABLES
@@ -346,14 +347,37 @@ def q_orphan_classes(spark, base):
 
 @register(
     "mask_sensitive",
-    sql(["stg_students"], """SELECT sha256(student_id) AS student_id, CAST(NULL AS VARCHAR) AS age_band, district
-        FROM stg_students"""),
+    sql(["stg_students"], """SELECT 'v1:' || sha256('fixture key|out|' || sha256('fixture key|in|' || student_id)) AS student_id,
+        CAST(NULL AS VARCHAR) AS age_band, district FROM stg_students"""),
 )
 def q_mask(spark, base):
     from cohort_effects.sources.schemas import DEMOGRAPHIC, DIRECT_ID, STUDENT_TAGS
 
     st = Qm.tag_columns(layers(spark, base).students, STUDENT_TAGS)
-    return Qm.mask_sensitive(st, {DIRECT_ID: "hash", DEMOGRAPHIC: "null"})
+    return Qm.mask_sensitive(st, {DIRECT_ID: "hash", DEMOGRAPHIC: "null"}, key=("fixture key", "v1"))
+
+
+_REGEX_RULES = [  # table, column, pattern, whether it is wanted
+    ("part", "p_brand", "^Brand#[0-9]$", True),
+    ("orders", "o_orderpriority", "^[1-5]-[A-Z]+$", True),
+    ("customer", "c_name", "^Customer#[0-9]{9}$", True),
+    ("documents", "text", "[A-Za-z0-9]+@[A-Za-z0-9]+", False),
+]
+
+
+@register("dq_regex", " UNION ALL ".join(
+    f"SELECT '{t}.{c}' AS rule, count_if({'NOT ' * w}regexp_matches({c}, '{x}')) AS failures FROM {t}" for t, c, x, w in _REGEX_RULES
+))
+def q_regex(spark, base):
+    """Rows that break a pattern, per rule."""
+    parts = [
+        Qm.regex_failures(_t(spark, base, t), c, x, w).agg(F.count(F.lit(1)).alias("failures")).select(F.lit(f"{t}.{c}").alias("rule"), "failures")
+        for t, c, x, w in _REGEX_RULES
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _contract_sql():
@@ -884,6 +908,25 @@ def q_effect_dist(spark, base):
     return Rm.describe_by(_mart(spark, base), ["subject"], "adj_effect", 3)
 
 
+_PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@register(
+    "effect_quantile_sketches",
+    sql(["demeaned"], " UNION ALL ".join(
+        f"SELECT subject, CAST({p!r} AS DOUBLE) AS prob, count(grade_dm) AS n, true AS within_bound FROM demeaned GROUP BY subject" for p in _PROBS
+    )),
+)
+def q_sketches(spark, base):
+    """Sketches kept per (subject, year), merged over years, and each merged
+    quantile's true rank in the detail against the sketch's bound."""
+    dm = layers(spark, base).demeaned.select("subject", "year", "grade_dm")
+    kept = QN.sketch(dm, ["subject", "year"], "grade_dm")
+    est = QN.sketch_quantiles(kept, ["subject"], _PROBS)
+    probs = est.select("subject", F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in _PROBS]).alias("prob"), F.col("quantiles").alias("value"))).alias("x"))
+    return QN.rank_check(dm, probs.select("subject", "x.prob", "x.value"), ["subject"], "grade_dm", QN.RANK_BOUND)
+
+
 @register("effect_histogram", _hist_sql("mart", "adj_effect", "subject", 30, ["mart"]))
 def q_effect_hist(spark, base):
     return normalize(Pm.histogram(_mart(spark, base), "adj_effect", 30, ["subject"]))
@@ -1127,6 +1170,14 @@ def q_domain(spark, base):
     return Qm.domain_rules(L.attendance, L.scores)
 
 
+@register("bootstrap_effects")
+def q_bootstrap_effects(spark, base):
+    """Z2 by student, through the shrinkage (hash-seeded: rows-only check)."""
+    from cohort_effects.operators.effects import bootstrap_effects
+
+    return normalize(bootstrap_effects(layers(spark, base).demeaned, replicates=20))
+
+
 @register("bootstrap_se")
 def q_bootstrap(spark, base):
     from cohort_effects.operators.effects import bootstrap_se

@@ -42,8 +42,15 @@ def test_not_null_guard_fails_the_job(spark):
 def test_masking_and_sentinel(spark):
     df = Q.tag_columns(spark.createDataFrame([("id1", "6-10", 3)], "sid string, age string, d bigint"),
                        {"sid": "direct", "age": "demo"})
-    out = Q.mask_sensitive(df, {"direct": "hash", "demo": "drop"}).collect()[0]
-    assert out.asDict().keys() == {"sid", "d"} and len(out.sid) == 64
+    out = Q.mask_sensitive(df, {"direct": "hash", "demo": "drop"}, key=("k1", "v7")).collect()[0]
+    assert out.asDict().keys() == {"sid", "d"} and out.sid.startswith("v7:") and len(out.sid) == 67
+    with pytest.raises(Q.ContractError):  # no key, no masking by a plain digest
+        Q.mask_sensitive(df, {"direct": "hash"})
+    spark.conf.set(Q.PSEUDONYM_KEY, "k1")
+    try:
+        assert Q.mask_sensitive(df, {"direct": "hash"}).first().sid == "v1" + out.sid[2:]
+    finally:
+        spark.conf.unset(Q.PSEUDONYM_KEY)
     bad = Q.tag_columns(df.select("sid"), {"sid": "projects/PROJECT_ID/x"})
     with pytest.raises(Q.ContractError):
         Q.mask_sensitive(bad, {})
@@ -71,3 +78,22 @@ def test_source_drift(spark):
     want = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType())])
     issues = {(c, i) for c, i, _ in Q.source_drift(df, want)}
     assert issues == {("a", "type"), ("b", "missing"), ("c", "undeclared")}
+
+
+def test_pseudonyms_of_two_keys_are_unlinkable(spark):
+    import hashlib
+
+    ids = [f"s{k}" for k in range(50)]
+    df = Q.tag_columns(spark.createDataFrame([(i,) for i in [*ids, None]], "sid string"), {"sid": "direct"})
+    one, two, again = ([r.sid for r in Q.mask_sensitive(df, {"direct": "hash"}, key=k).collect()] for k in (("a", "1"), ("b", "1"), ("a", "1")))
+    assert one == again and not set(one) & set(two) - {None} and len(set(one)) == 51 and one[-1] is None
+    plain = {hashlib.sha256(i.encode()).hexdigest() for i in ids}
+    assert not {x[2:] for x in one if x} & plain
+
+
+def test_regex_failures(spark):
+    df = spark.createDataFrame([("ab1",), ("x",), ("",), (None,)], "v string")
+    assert sorted(r.v for r in Q.regex_failures(df, "v", "[0-9]").collect()) == ["", "x"]
+    assert [r.v for r in Q.regex_failures(df, "v", "[0-9]", wanted=False).collect()] == ["ab1"]
+    tags = spark.createDataFrame([("a", "projects/PROJECT_ID/x"), ("b", ""), ("c", "ok"), ("d", None), ("e", "TAXONOMY_ID")], "c string, tag string")
+    assert sorted(r.c for r in Q.tag_failures(tags).collect()) == ["a", "b", "e"]

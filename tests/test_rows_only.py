@@ -27,6 +27,58 @@ def test_bootstrap_matches_pandas(spark):
     assert abs(w["_wt"].mean() - 1.0) < 0.05
 
 
+def test_bootstrap_copies_no_detail_row(spark):
+    from cohort_effects.operators.effects import bootstrap_effects, bootstrap_se
+    from cohort_effects.plans.catalog import layers
+
+    dm = layers(spark, SF_SMALL).demeaned
+    alone = spark.createDataFrame(dm.limit(50).collect(), dm.schema)  # without the unpivot of the layers
+    assert "Generate" not in bootstrap_se(alone, 5)._jdf.queryExecution().optimizedPlan().toString()
+    plan = bootstrap_effects(alone, 5)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = [k for k, line in enumerate(plan) if "Generate inline" in line]
+    assert at and all(any("Aggregate" in line for line in plan[k:k + 4]) for k in at)  # over the groups' sums
+
+
+def test_bootstrap_by_student_matches_pandas(spark):
+    """Every replicate through the moments, the components and the shrinkage."""
+    import numpy as np
+
+    from cohort_effects.operators.effects import bootstrap_effects, weight_array
+    from cohort_effects.plans.catalog import layers
+
+    B = 6
+    dm = layers(spark, SF_SMALL).demeaned
+    rows = dm.withColumn("_wts", weight_array(["student_id"], B, 42)).toPandas().dropna(subset=["school_id"])
+    by = ["school_id", "subject", "year"]
+    drawn = {}
+    for b in range(B):
+        part = rows.assign(w=rows["_wts"].str[b])
+        part = part.assign(wx=part.w * part.grade_dm, wxx=part.w * part.grade_dm**2)
+        g = part.groupby(by)[["w", "wx", "wxx"]].sum()
+        g = g[g.w > 0].assign(mean=lambda x: x.wx / x.w, m2=lambda x: (x.wxx - x.wx**2 / x.w).clip(lower=0))
+        for key, s in g.groupby(level=[1, 2]):
+            n, k, N = s.w, len(s), s.w.sum()
+            with np.errstate(all="ignore"):
+                within = s.m2.sum() / (N - k) if N != k else np.nan
+                n_eff = (N - (n**2).sum() / N) / (k - 1) if k > 1 else np.nan
+                between = s["mean"].var(ddof=1) - (within / n_eff if n_eff else np.nan)
+                vb = max(0.0, between) if between == between else np.nan
+                denom = vb + within / n
+                weight = vb / denom.where(denom != 0)
+            for idx, a in (weight * s["mean"]).items():
+                drawn.setdefault(idx, []).append(a)
+    got = bootstrap_effects(dm, B).toPandas().set_index(by)
+    assert len(got) == len(drawn)
+    for idx, a in drawn.items():
+        r = got.loc[idx]
+        a = np.array(a, float)
+        assert r.n_replicates == len(a)
+        a = a[~np.isnan(a)]
+        if len(a) > 1:
+            assert abs(r.boot_se - a.std(ddof=1)) < 1e-6
+            assert np.allclose([r.boot_low, r.boot_high], np.quantile(a, [0.025, 0.975]), atol=1e-6)
+
+
 def test_schema_catalog_matches_parquet(spark):
     from __spark_entry__ import queries
 
