@@ -15,21 +15,6 @@ from cohort_effects.operators.ranges import dense_ranks
 from cohort_effects.params import Params
 
 
-def _join_back(detail: DataFrame, stats: DataFrame, keys: Sequence[str], null_safe: Sequence[str]) -> DataFrame:
-    """Inner join per-entity statistics back onto the detail rows.
-
-    Keys listed in ``null_safe`` compare with ``<=>`` so a NULL key is one group,
-    as it would be in a window partition.
-    """
-    cond = None
-    for k in keys:
-        c = detail[k].eqNullSafe(stats[k]) if k in null_safe else detail[k] == stats[k]
-        cond = c if cond is None else cond & c
-    return detail.join(stats, cond, "inner").select(
-        detail["*"], *[stats[c] for c in stats.columns if c not in keys]
-    )
-
-
 def _distinct_at_least(col: str, k: int, numeric: bool, values: Sequence[str] = ()) -> Column:
     """``count(distinct col) >= k`` as an aggregate expression with a buffer of
     constant size: for known ``values`` (62 at most) a bit set, for k == 2 on a
@@ -80,6 +65,16 @@ def demean(
     src = df
     for r in required:
         src = src.filter(F.col(r).isNotNull())
+    # a null key is a group: it gets a value and a mark, so that the join is on
+    # plain equality and the aggregate's own exchange serves it
+    keys = []
+    for k in entity:
+        if k in required:
+            keys.append(k)
+            continue
+        blank = F.lit(0 if _is_numeric(src, k) else "").cast(src.schema[k].dataType)
+        src = src.withColumn(f"_key_{k}", F.coalesce(F.col(k), blank)).withColumn(f"_null_{k}", F.col(k).isNull())
+        keys += [f"_key_{k}", f"_null_{k}"]
     aggs = [
         F.avg(value).alias(mean_col),
         F.count(F.lit(1)).alias(n_col),
@@ -87,12 +82,11 @@ def demean(
     ]
     if flag_target:
         aggs.append(F.coalesce(F.min(flag_target) != F.max(flag_target), F.lit(False)).alias(flag_col))
-    stats = src.groupBy(*entity).agg(*aggs).filter(
+    stats = src.groupBy(*keys).agg(*aggs).filter(
         (F.col(n_col) >= F.lit(min_obs)) & F.col("_enough_groups")
     ).drop("_enough_groups")
-    nullable = [k for k in entity if k not in required]
-    out = _join_back(src, stats, list(entity), nullable)
-    return out.withColumn(out_col, F.col(value) - F.col(mean_col))
+    out = src.join(stats, keys).drop(*[k for k in keys if k not in df.columns])
+    return out.select(*df.columns, *[c for c in stats.columns if c not in keys]).withColumn(out_col, F.col(value) - F.col(mean_col))
 
 
 def group_moments(

@@ -99,23 +99,35 @@ def distinct_sorted(df: DataFrame, col: Column | str, name: str = "period") -> D
 
 def fk_match_report(fks: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]]) -> DataFrame:
     """For each (child, col) -> (parent, col): child rows, rows without
-    a parent (a NULL key never matches) and their share.  The parent is cut
-    to distinct keys, so the left join cannot fan out."""
-    parts = []
-    for cname, child, ccol, pname, parent, pcol in fks:
-        keys = parent.select(F.col(pcol).alias("_pk")).distinct().withColumn("_m", F.lit(True))
-        j = child.select(ccol).join(keys, F.col(ccol) == F.col("_pk"), "left")
-        parts.append(
-            j.agg(F.count(F.lit(1)).alias("n_child"), F.count_if(F.col("_m").isNull()).alias("n_orphans")).select(
-                F.lit(cname).alias("child"),
-                F.lit(ccol).alias("fk"),
-                F.lit(pname).alias("parent"),
-                "n_child",
-                "n_orphans",
-                F.try_divide(F.col("n_orphans").cast("double"), F.col("n_child").cast("double")).alias("orphan_rate"),
-            )
-        )
-    return _union(parts)
+    a parent (a NULL key never matches) and their share.
+
+    A child is scanned once for all its keys, a parent once for all its children:
+    each row becomes one (foreign key, value) per key it takes part in, and one
+    grouping, with partial sums before its shuffle, counts the child rows of a
+    value and notes whether a parent has it.  A value that most rows hold is one
+    row a task, and no join multiplies or skews.  Keys are compared as text, so
+    child and parent column should be of one kind.
+    """
+    children, parents = {}, {}
+    for k, (cname, child, ccol, pname, parent, pcol) in enumerate(fks):
+        children.setdefault(cname, (child, []))[1].append((k, ccol))
+        parents.setdefault((pname, pcol), (parent, []))[1].append((k, pcol))
+
+    def stacked(df: DataFrame, keys: list[tuple[int, str]], there: bool) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(k).alias("fk"), F.col(c).cast("string").alias("key")) for k, c in keys])
+        return df.select(F.inline(each)).select("fk", "key", F.lit(int(not there)).cast("bigint").alias("n"), F.lit(there).alias("there"))
+
+    rows = _union([stacked(df, keys, False) for df, keys in children.values()] + [stacked(df, keys, True) for df, keys in parents.values()])
+    values = rows.groupBy("fk", "key").agg(F.sum("n").alias("n"), F.bool_or("there").alias("there"))
+    orphan = F.col("key").isNull() | ~F.col("there")
+    counts = values.groupBy("fk").agg(F.sum("n").alias("n_child"), F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("n_orphans"))
+    names = rows.sparkSession.range(len(fks)).select(F.col("id").cast("int").alias("fk"))  # also those without a row
+    named = [F.element_at(F.array(*[F.lit(f[j]) for f in fks]), F.col("fk") + 1) for j in (0, 2, 3)]
+    n, lost = F.coalesce("n_child", F.lit(0)).cast("bigint"), F.coalesce("n_orphans", F.lit(0)).cast("bigint")
+    return names.join(counts, "fk", "left").select(
+        *[c.alias(a) for c, a in zip(named, ("child", "fk", "parent"), strict=True)], n.alias("n_child"), lost.alias("n_orphans"),
+        F.try_divide(lost.cast("double"), n.cast("double")).alias("orphan_rate"),
+    )
 
 
 def rule_report(tables: Sequence[tuple[str, DataFrame, Sequence[tuple[str, Column]]]]) -> DataFrame:
@@ -286,6 +298,24 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame
     return df.filter(h < F.lit(int(fraction * scale)))
 
 
+def sample_files(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """T-4 as a system sample: keep all rows of about ``fraction`` of the files of
+    a scan, each file decided by a hash of its name and the seed.  The condition
+    holds for a whole file, so the scan leaves the others out before it opens
+    them; the choice is the same in every run and retry."""
+    scale = 1 << 30
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return df.where(F.pmod(F.xxhash64(name, F.lit(seed)), F.lit(scale)) < F.lit(int(fraction * scale)))
+
+
+def sample_per_group(df: DataFrame, by: Sequence[str], key: str, n: int) -> DataFrame:
+    """T-4: a repeatable sample of exactly n rows per group (all, if fewer): those
+    with the smallest md5 of ``key``.  Every task keeps its n smallest per group
+    before the shuffle, so a group that holds most rows is cut where it is read."""
+    w = Window.partitionBy(*by).orderBy(F.md5(F.col(key).cast("string")), F.col(key))
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
 def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """T-4: a repeatable sample of n rows, ordered by md5 of the key (top-n
     per partition, then merged)."""

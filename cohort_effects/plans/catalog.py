@@ -850,6 +850,16 @@ def q_sample(spark, base):
     return normalize(Pm.sample_rows(_t(spark, base, "orders"), "o_orderkey", 10))
 
 
+@register(
+    "sample_per_group",
+    O.norm("""SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority
+        ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS k FROM orders) WHERE k <= 20""", ["o_totalprice"]),
+)
+def q_sample_per_group(spark, base):
+    got = Pm.sample_per_group(_t(spark, base, "orders"), ["o_orderpriority"], "o_orderkey", 20)
+    return normalize(got.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"))
+
+
 @register("schema_catalog")
 def q_schema(spark, base):
     return IO.describe_schema(IO.read_tables(spark, base))

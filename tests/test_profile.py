@@ -47,3 +47,46 @@ def test_extreme_profiles(spark):
     )
     rows = {r.school_id: r.extreme for r in Rm.extreme_profiles(m, "A", "B").collect()}
     assert rows == {1: True, 2: False}  # school 3 lacks subject B
+
+
+def test_fk_report_scans_each_table_once_and_counts_all(spark, tmp_path):
+    child = [(k, k % 7 if k % 5 else None, f"p{k % 3}") for k in range(100)]
+    spark.createDataFrame(child, "id int, a int, b string").write.parquet(str(tmp_path / "child"))
+    c = spark.read.parquet(str(tmp_path / "child"))
+    one = spark.createDataFrame([(k,) for k in (0, 1, 2, 2, None)], "k int")
+    two = spark.createDataFrame([("p0",), ("p9",)], "k string")
+    none = spark.createDataFrame([], "k int")
+    got = Pm.fk_match_report([("c", c, "a", "one", one, "k"), ("c", c, "b", "two", two, "k"), ("c", c, "id", "none", none, "k"), ("none", none, "k", "none", none, "k")])
+    rows = {(r.child, r.fk): (r.n_child, r.n_orphans, r.orphan_rate) for r in got.collect()}
+    lost = sum(a not in (0, 1, 2) for _, a, _ in child)
+    assert rows == {("c", "a"): (100, lost, lost / 100), ("c", "b"): (100, 66, 0.66), ("c", "id"): (100, 100, 1.0), ("none", "k"): (0, 0, None)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "SortMergeJoin" not in plan
+
+
+def test_file_sample_opens_only_the_chosen_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(4000).repartition(40).write.parquet(path)
+    df = spark.read.parquet(path)
+    got = Pm.sample_files(df, 0.25)
+    plan = got._jdf.queryExecution().executedPlan()
+    rows = got.select("id", "_metadata.file_path").collect()
+    chosen = {r.file_path for r in rows}
+    whole = {f: n for f, n in df.groupBy("_metadata.file_path").count().collect()}
+    assert 3 <= len(chosen) <= 20 and len(rows) == sum(whole[f] for f in chosen)
+    assert rows == Pm.sample_files(df, 0.25).select("id", "_metadata.file_path").collect()
+    assert {r.file_path for r in Pm.sample_files(df, 0.25, seed=1).select("_metadata.file_path").distinct().collect()} != chosen
+    assert Pm.sample_files(df, 1.0).count() == 4000 and Pm.sample_files(df, 0.0).count() == 0
+    scans = got.select("id")
+    scans.collect()
+    scan = scans._jdf.queryExecution().executedPlan()
+    leaf = scan.collectLeaves().head()
+    assert leaf.metrics().apply("numFiles").value() == len(chosen)
+
+
+def test_sample_per_group_is_cut_before_the_shuffle(spark):
+    df = spark.range(5000).selectExpr("id", "if(id % 3 = 0, null, id % 2) as g")
+    got = Pm.sample_per_group(df, ["g"], "id", 7)
+    assert {r.g: r["count"] for r in got.groupBy("g").count().collect()} == {None: 7, 0: 7, 1: 7}
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(got.collect()) == sorted(Pm.sample_per_group(df.repartition(9), ["g"], "id", 7).collect())
