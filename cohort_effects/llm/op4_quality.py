@@ -11,7 +11,7 @@ indicators by dual coordinate descent.
 
 Counts cover all labelled rows outside the held-out fold.  The hinge model is
 fitted to at most ``FIT_ROWS`` of those rows (a documented bound: all of a class
-up to half of it, else those whose id hashes below a share); the model, two
+up to half of it, else those whose id hashes lowest), in one task; the model, two
 floats a bucket, is broadcast.
 
 Scores are 1 / (1 + exp(-SLOPE * margin)), shifted so that margin 0 scores the
@@ -159,11 +159,10 @@ def class_counts(rows: DataFrame) -> np.ndarray:
     return out.reshape(2, BUCKETS)
 
 
-def hinge_fit(indptr: np.ndarray, index: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
+def hinge_fit(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the hinge loss with an L2 penalty; the rows
     are scaled indicators of unit length, the bias is one more feature."""
     w, bias = np.zeros(len(scale)), 0.0
-    rows = [index[a:b] for a, b in zip(indptr[:-1], indptr[1:], strict=True)]  # values are taken when needed
     unit = np.array([1 / np.sqrt(scale[r] @ scale[r] + 1) for r in rows])
     alpha = np.zeros(len(rows))
     cost = C * len(y) / (2 * np.array([max(1, (y < 0).sum()), max(1, (y > 0).sum())]))
@@ -203,21 +202,43 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, flo
         p, q = n[1, part] + SMOOTHING, n[0, part] + SMOOTHING
         seen = n[:, part].sum(axis=0) > 0
         scale[part][seen] = (np.log(p / p[seen].sum()) - np.log(q / q[seen].sum()))[seen]
-    half, parts = FIT_ROWS // 2, []
+    half, sample = FIT_ROWS // 2, None
     for label, total in sorted(totals.items()):
         share = 1.0 if total <= half else 0.95 * half / total
         drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-        ids = marked.where((F.col("label") == label) & drawn).limit(half).distinct()
-        parts.append(featured(docs.join(F.broadcast(ids), "doc_id")).limit(half).toArrow())
-    table = pa.concat_tables(parts).sort_by("doc_id").combine_chunks()
-    parts.clear()
-    lists = table["buckets"].combine_chunks()
-    indptr = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-    y = table["label"].to_numpy() * 2.0 - 1
-    w, bias = hinge_fit(indptr, lists.flatten().to_numpy(), y, scale)
+        ids = marked.where((F.col("label") == label) & drawn).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(half)
+        rows = featured(docs.join(F.broadcast(ids), "doc_id"))  # an id may stand in many rows
+        rows = rows.orderBy(F.xxhash64("doc_id", "buckets"), "doc_id").limit(half)
+        sample = rows if sample is None else sample.unionByName(rows)
+    w, bias = np.zeros(BUCKETS), 0.0
+    for r in fitted(sample, scale).toArrow().to_batches():
+        at, values = r.column("bucket").to_numpy(), r.column("weight").to_numpy()
+        w[at[at >= 0]] = values[at >= 0]
+        bias += float(values[at < 0].sum())
     return scale, w, bias
 
 
+def fitted(sample: DataFrame, scale: np.ndarray) -> DataFrame:
+    """``bucket`` (-1: the bias) and ``weight`` of the hinge model of at most
+    ``FIT_ROWS`` rows of ``featured``, fitted in one task; the driver sees the
+    weights only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, labels = [], []
+        for batch in batches:
+            col = batch.column("buckets")
+            flat, at = pc.list_flatten(col).to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(col).to_numpy())])
+            lists += [flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+            labels.append(batch.column("label").to_numpy())
+        if lists:
+            w, bias = hinge_fit(lists, np.concatenate(labels) * 2.0 - 1, scale)
+            there = np.flatnonzero(w)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(there, -1)), pa.array(np.append(w[there], bias))], names=["bucket", "weight"])
+
+    one = sample.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("buckets"))
+    return one.mapInArrow(run, "bucket long, weight double")
+
+
 def scores(model: tuple[np.ndarray, np.ndarray, float] | None, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Score of each document of a chunk."""
     docs = len(off) - 1
