@@ -133,20 +133,57 @@ def test_top_k_against_brute_force(spark):
     rows += [(800, None), (900, [1.0, None, 2.0]), (1000, [float("nan")] * 8), (1100, [float("inf")] * 8), (None, [1.0] * 8)]
     rows += [(1200, [0.5, -0.5]), (1300, []), rows[3]]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
-    sound = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole = [math.floor(1024 * float(np.float32(x))) for x in v] + [0] * (8 - len(v))
-            sound[i] = whole
-    want = []
-    for q in sorted(sound):
-        if q % 100 == 0:
-            best = sorted((-sum(a * b for a, b in zip(sound[q], v, strict=True)), i) for i, v in sound.items() if i != q)[:10]
-            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    want = brute_top_k([(i, [*v, *[0.0] * (8 - len(v))]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)])
     got = top_k(scaled(df), F.col("vec_id") % 100 == 0).collect()
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def brute_top_k(rows, k=10):
+    """Every row a candidate; the rows of one query id ranked together."""
+    whole = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in rows]
+    out = []
+    for q in sorted({i for i, _ in whole if i % 100 == 0}):
+        scores = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for j, x in whole if j == q for i, v in whole if i != q)
+        out += [(q, n + 1, i, max(-(2**63), min(2**63 - 1, -t))) for n, (t, i) in enumerate(scores[:k])]
+    return out
+
+
+def test_repeated_rows_all_count(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rng.normal(size=4).astype(np.float32)]) for i in range(120)]
+    rows += [rows[7]] * 4 + [rows[100]] * 2 + [(100, rows[8][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = top_k(scaled(df), F.col("vec_id") % 100 == 0).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_top_k(rows))
+
+
+def test_large_components_are_scored_exactly(spark):
+    rows = [(100, [2.0**40, -1.0]), (1, [2.0**40, 3.0]), (2, [2.0**40, 2.0]), (3, [-(2.0**40), 5.0]), (4, [1.0, 1.0]), (200, [2.0**19, 1.0]), (5, [2.0**20, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = top_k(scaled(df), F.col("vec_id") % 100 == 0).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_top_k(rows))
+
+
+@pytest.mark.parametrize("block", [1 << 24, 1 << 11])
+def test_few_exact_vectors_are_read(spark, monkeypatch, block):
+    """Of 3000 x 30 pairs, the cells leave a few open and fewer are scored."""
+    from cohort_effects.llm import op7_topk as T
+
+    monkeypatch.setattr(T, "BLOCK_BYTES", block)
+    monkeypatch.setattr(T, "QUERIES", 16)
+    read, plain = [], T.exact_scores
+    monkeypatch.setattr(T, "exact_scores", lambda pairs, rows: read.append(pairs.count()) or plain(pairs, rows))
+    rng = np.random.default_rng(8)
+    rows = [(int(i), [float(x) for x in rng.normal(size=16).astype(np.float32)]) for i in range(3000)]
+    got = T.top_k(scaled(spark.createDataFrame(rows, "vec_id long, embedding array<float>")), F.col("vec_id") % 100 == 0).collect()
+    whole = np.floor(1024 * np.array([v for _, v in rows], np.float32).astype(float)).astype(np.int64)
+    for q in range(0, 3000, 100):
+        scores = whole @ whole[q]
+        best = sorted((-int(x), i) for i, x in enumerate(scores) if i != q)[:10]
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(i, -x) for x, i in best]
+    assert len(read) == 2 and 300 <= sum(read) < 0.02 * 3000 * 30
+
+
 def test_top_k_no_rows(spark, tmp_path):
     spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert op7_topk(spark, str(tmp_path)).collect() == []
