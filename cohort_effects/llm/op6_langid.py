@@ -5,7 +5,8 @@ Every training text is counted whole, on the cluster: each task adds the
 n-grams of its documents to a language x bucket table and hands on the cells it
 filled; their sums (at most languages x ``BUCKETS`` rows) make the
 log-probability matrix, which is broadcast (``BUCKETS`` floats a language).
-Batches are scored sparsely: the matrix row of every n-gram, summed by text.
+Batches are scored at once: the n-grams of all their texts, as sparse counts,
+times the matrix.  Long texts go through in runs that share no n-gram.
 
 Characters are lower-cased; everything that is not a letter reads as one class
 of blank.  n-grams run over the text including blanks, those of blanks only
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_effects.llm.tables import held_out, read
+from cohort_effects.llm.tables import held_out, lean, read
 from cohort_effects.llm.textarrays import ODD, U
 
 BUCKETS = 1 << 15
@@ -52,35 +53,54 @@ def _classes() -> np.ndarray:
 _CLASS: list[np.ndarray] = []
 
 
-def codes(text: str) -> np.ndarray:
-    """Character classes of a text, with a blank at either end."""
-    if not _CLASS:
-        _CLASS.append(_classes())
-    points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(points < 1 << 16, _CLASS[0][np.minimum(points, (1 << 16) - 1)], points)
+def _pieces(text: str) -> Iterator[tuple[str, int]]:
+    """A text, with a blank at either end, in runs: (code points, how many of them
+    n-grams start at).  A run looks ahead by the longest order less one, so each
+    n-gram of the whole text starts in one run, however long the text is."""
+    text, ahead = f" {text} ", max(ORDERS) - 1
+    for at in range(0, len(text), _CHUNK):
+        yield text[at : at + _CHUNK + ahead], min(_CHUNK, len(text) - at)
 
 
-def ngrams(c: np.ndarray) -> Iterator[np.ndarray]:
-    """Bucket of each n-gram of each order; bucket 0 has no letter in it."""
-    c = c.astype(U)
+def ngrams(texts: list[str], limit: int = _CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, bucket) of every n-gram of a batch of texts, about ``limit`` code
+    points at a time; bucket 0 has no letter in it."""
+    if not _CLASS:
+        _CLASS.append(_classes())
+    held: list[tuple[int, str, int]] = []
+    size = 0
+    for row, text in enumerate(texts):
+        for piece, own in _pieces(text):
+            held.append((row, piece, own))
+            size += len(piece)
+            if size >= limit:
+                yield from _grams(held)
+                held, size = [], 0
+    if held:
+        yield from _grams(held)
+
+
+def _grams(held: list[tuple[int, str, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    points = np.frombuffer("".join(p for _, p, _ in held).encode("utf-32-le", "surrogatepass"), np.uint32)
+    c = np.where(points < 1 << 16, _CLASS[0][np.minimum(points, (1 << 16) - 1)], points).astype(U)
+    length = np.array([len(p) for _, p, _ in held])
+    first = np.cumsum(length) - length
+    row = np.repeat([r for r, _, _ in held], length)
+    at = np.arange(len(c)) - np.repeat(first, length)
+    left = np.repeat(length, length) - at  # code points from here to the end of the run
+    starts = at < np.repeat([own for _, _, own in held], length)
     shift = U(64 - (BUCKETS.bit_length() - 1))
     for n in ORDERS:
-        if len(c) < n:
-            return
         size = len(c) - n + 1
+        if size <= 0:
+            return
         h = c[:size] * ODD[20 * n]
         for j in range(1, n):
             h += c[j : j + size] * ODD[20 * n + j]
         h ^= h >> U(31)
         h *= ODD[20 * n + 19]
-        yield (h >> shift).astype(np.int64)
-
-
-def _parts(text: str) -> Iterator[str]:
-    """A text in runs that overlap by the longest order less one."""
-    step, over = _CHUNK, max(ORDERS) - 1
-    for at in range(0, max(1, len(text)), step):
-        yield text[max(0, at - over) : at + step]
+        whole = starts[:size] & (left[:size] >= n)
+        yield row[:size][whole], (h >> shift).astype(np.int64)[whole]
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -91,12 +111,13 @@ def counted(docs: DataFrame) -> DataFrame:
         sums: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                table = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                rows[lang] = rows.get(lang, 0) + 1
-                for part in _parts(text or ""):
-                    for g in ngrams(codes(part)):
-                        table += np.bincount(g, minlength=BUCKETS)
+            names, of = np.unique(np.array(batch.column("lang").to_pylist(), dtype=object), return_inverse=True)
+            for k, lang in enumerate(names.tolist()):
+                sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
+                rows[lang] = rows.get(lang, 0) + int((of == k).sum())
+            for row, g in ngrams(pc.fill_null(batch.column("text"), "").to_pylist()):
+                for k in np.unique(of[row]).tolist():
+                    sums[names[k]] += np.bincount(g[of[row] == k], minlength=BUCKETS)
         for lang, table in sums.items():
             there = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(
@@ -104,12 +125,12 @@ def counted(docs: DataFrame) -> DataFrame:
                 names=["lang", "bucket", "n"],
             )
 
-    got = docs.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long")
+    got = docs.select("lang", "text").mapInArrow(lean(count), "lang string, bucket int, n long")
     return got.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 class Model:
-    """Languages in order and their log-probability matrix (buckets x languages)."""
+    """Languages in order and their log-probability matrix (languages x buckets)."""
 
     def __init__(self, rows: pa.Table):
         languages = sorted(set(rows["lang"].to_pylist()))
@@ -127,18 +148,19 @@ class Model:
         counts[0] = 0
         logp = np.log(counts + SMOOTHING) - np.log((counts + SMOOTHING).sum(axis=0))
         logp[0] = 0
-        self.matrix = np.ascontiguousarray(logp.astype(np.float32))
+        self.matrix = np.ascontiguousarray(logp.T.astype(np.float32))
         self.prior = np.log(docs + 1) - np.log((docs + 1).sum()) if languages else np.zeros(0)
 
-    def score(self, text: str) -> tuple[str, float]:
-        total = self.prior.copy()
-        for part in _parts(text):
-            for g in ngrams(codes(part)):
-                n = np.bincount(g, minlength=BUCKETS) if len(g) > BUCKETS // 4 else None
-                total += n @ self.matrix if n is not None else self.matrix[g].sum(axis=0, dtype=np.float64)
-        k = int(np.argmax(total))
-        p = np.exp(total - total[k])
-        return self.languages[k], float(1 / p.sum())
+    def scores(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Language and posterior of each text: the sparse n-gram counts of the
+        batch times the matrix, a language at a time."""
+        total = np.repeat(self.prior[None, :], len(texts), axis=0)
+        for row, g in ngrams(texts):
+            for k in range(len(self.languages)):
+                total[:, k] += np.bincount(row, self.matrix[k][g], len(texts))
+        best = total.argmax(axis=1)
+        p = np.exp(total - total[np.arange(len(texts)), best][:, None])
+        return [self.languages[k] for k in best], 1 / p.sum(axis=1)
 
 
 def fit(docs: DataFrame) -> Model:
@@ -152,18 +174,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            known = batch.column("has_letter").to_pylist()
-            got = [
-                m.score(x) if ok and m.languages else (UNKNOWN, 0.0)
-                for x, ok in zip(pc.fill_null(batch.column("text"), "").to_pylist(), known, strict=True)
-            ]
+            lang, score = np.full(len(batch), UNKNOWN, object), np.zeros(len(batch))
+            known = np.flatnonzero(batch.column("has_letter").to_numpy(zero_copy_only=False))
+            if len(known) and m.languages:
+                lang[known], score[known] = m.scores(batch.column("text").take(pa.array(known)).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(lang.tolist(), pa.string()), pa.array(score)],
                 names=["doc_id", "held_out", "lang_pred", "score"],
             )
 
     rows = docs.withColumn("has_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return rows.select("doc_id", "held_out", "text", "has_letter").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.select("doc_id", "held_out", "text", "has_letter").mapInArrow(lean(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:

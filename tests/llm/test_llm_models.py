@@ -7,14 +7,17 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import docs, no_docs, pairs  # noqa: F401
 
 from cohort_effects.llm import op5_ngram as N
+from cohort_effects.llm import op6_langid as L
 from cohort_effects.llm.op4_quality import accepted, classify, hinge_fit
 from cohort_effects.llm.op5_ngram import score_documents
 from cohort_effects.llm.op6_langid import identify
+from cohort_effects.llm.textarrays import ODD
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.01"
@@ -95,6 +98,62 @@ def test_language_edge_cases(spark, docs, no_docs):
     assert [tuple(r) for r in identify(unknown).collect()] == [(1, crc(1, 4) == 2, "und", 0.0)]
 
 
+def plain_grams(text):
+    """Buckets of a text's n-grams with a letter, one by one."""
+    low = [0] + [ord(c.lower()[0]) if ord(c) < 1 << 16 and c.isalpha() else 0 if ord(c) < 1 << 16 else ord(c) for c in text] + [0]
+    out = Counter()
+    for n in L.ORDERS:
+        for at in range(len(low) - n + 1):
+            h = sum(c * int(ODD[20 * n + j]) for j, c in enumerate(low[at : at + n])) % 2**64
+            h ^= h >> 31
+            out[(h * int(ODD[20 * n + 19]) % 2**64) >> (64 - 15)] += 1
+    return out
+
+
+@pytest.mark.parametrize("chunk", [7, 1000, 1 << 18])
+def test_every_ngram_is_counted_once(monkeypatch, chunk):
+    monkeypatch.setattr(L, "_CHUNK", chunk)
+    texts = ["", "a", "Été! über 12 x", "word " * 40, "語𝒜 b", "Z" * 33]
+    got = [Counter() for _ in texts]
+    for row, g in L.ngrams(texts, chunk):
+        for r, x in zip(row.tolist(), g.tolist(), strict=True):
+            got[r][x] += 1
+    assert got == [plain_grams(t) for t in texts]
+
+
+def test_language_model_against_plain_recomputation(spark):
+    rng = np.random.default_rng(3)
+    letters = {"aa": "abcde ", "bb": "cdefg ", "cc": "xyzab "}
+    rows = []
+    for k in range(60):
+        lang = ["aa", "bb", "cc", None][k % 4]
+        rows.append((k, "".join(rng.choice(list(letters.get(lang, "abxg "))) for _ in range(30 + k)), lang))
+    rows += [(60, "abc xyz " * 40_000, "aa"), (61, "cdefg xyz " * 30_000, None), (62, None, "bb"), (63, "", "cc")]  # longer than a run
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    grams = {i: plain_grams(t or "") if len(t or "") < 1000 else None for i, t, _ in rows}
+    for i, unit, times in ((60, "abc xyz ", 40_000), (61, "cdefg xyz ", 30_000)):  # n-grams of a repeated unit
+        few, more = plain_grams(unit * 3), plain_grams(unit * 4)
+        grams[i] = Counter({g: few[g] + (more[g] - few[g]) * (times - 3) for g in more})
+    learned = [(i, lang) for i, _, lang in rows if lang is not None and crc(i, 4) != 2]
+    names = sorted({lang for _, lang in learned})
+    logp, prior = {}, {}
+    for lang in names:
+        n = np.full(L.BUCKETS, L.SMOOTHING)
+        for i, other in learned:
+            if other == lang:
+                for g, c in grams[i].items():
+                    n[g] += c * (g > 0)
+        logp[lang] = np.log(n) - np.log(n.sum())
+        prior[lang] = np.log(sum(other == lang for _, other in learned) + 1)
+    for i, t, _ in rows:
+        if not any(c.isalpha() for c in t or ""):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        total = np.array([prior[x] + sum(c * logp[x][g] for g, c in grams[i].items() if g) for x in names])
+        assert got[i].lang_pred == names[int(total.argmax())]
+        assert abs(got[i].score - 1 / np.exp(total - total.max()).sum()) < 1e-3
+
+
 def brute_lm(pairs):
     rows = [(i, [w.lower() for w in WORD.findall((t or "").encode())] + [None]) for i, t in pairs]
     count, two = Counter(), Counter()
