@@ -26,6 +26,7 @@ SQL_TABLE = {
 
 def generic_checks(p: Params) -> list[Q.Check]:
     C = Q.Check
+    # Which rule holds for which column of the project's layers.
     return [
         # Q1 not_null x10
         C("nn_students_student_id", "not_null", "students", ("student_id",)),
@@ -198,7 +199,7 @@ BALANCE = """SELECT subject, year, CAST(sum(claimed) AS BIGINT) AS n_obs_mart, C
     FROM (SELECT subject, year, n_obs AS claimed, NULL AS there FROM mart
           UNION ALL SELECT subject, year, NULL, 1 FROM demeaned WHERE school_id IS NOT NULL)
     GROUP BY subject, year"""
-GAPS = """SELECT student_id, year, subject, len(list(DISTINCT term)) AS n_terms, max(term) AS max_term
+GAPS = """SELECT student_id, year, subject, count(DISTINCT term) AS n_terms, max(term) AS max_term
     FROM enriched WHERE term IS NOT NULL GROUP BY student_id, year, subject HAVING n_terms <> max_term"""
 NO_SCHOOL = "SELECT class_id, bool_and(school_id IS NULL) AS orphan FROM stg_attendance WHERE class_id IS NOT NULL GROUP BY class_id"
 
