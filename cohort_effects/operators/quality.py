@@ -394,8 +394,17 @@ def failing_rows(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     raise ValueError(check.kind)
 
 
-def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(check_name, failures) for every check.
+def row_level_metrics(checks: Sequence[Check], table: str) -> list[Column]:
+    """Failures of a table's row-level checks as aggregates, named by check: what a
+    write can observe of the rows it writes."""
+    return [_row_level_exprs(ch).cast("bigint").alias(ch.name) for ch in checks if ch.kind in ROW_KINDS and ch.table == table]
+
+
+def check_counts(
+    checks: Sequence[Check], tables: Mapping[str, DataFrame], measured: Mapping[str, int] | None = None
+) -> DataFrame:
+    """(check_name, failures) for every check.  Those in ``measured`` (by name)
+    were counted while their table was written and are not counted again.
 
     Row-level checks on one table share one aggregate (one scan).  The other
     checks tag their failing rows with the check name; the tagged rows of all
@@ -407,6 +416,10 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
     spark = next(iter(tables.values())).sparkSession
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
+    measured = {ch.name: int(measured[ch.name]) for ch in checks if ch.name in (measured or {})}
+    checks = [ch for ch in checks if ch.name not in measured]
+    if measured:
+        parts.append(spark.createDataFrame(sorted(measured.items()), "check_name string, failures bigint"))
     for ch in checks:
         if ch.kind in ROW_KINDS:
             by_table.setdefault(ch.table, []).append(ch)
@@ -433,14 +446,16 @@ def check_counts(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Da
     return out
 
 
-def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame], target: str = "dev") -> DataFrame:
+def run_checks(
+    checks: Sequence[Check], tables: Mapping[str, DataFrame], target: str = "dev", measured: Mapping[str, int] | None = None
+) -> DataFrame:
     """Q19: result table with severity and status (pass / warn / fail)."""
     spark = next(iter(tables.values())).sparkSession
     meta = spark.createDataFrame(
         [(c.name, c.kind, c.table, effective_severity(c.severity, target)) for c in checks],
         "check_name string, kind string, table_name string, severity string",
     )
-    counts = check_counts(checks, tables)
+    counts = check_counts(checks, tables, measured)
     j = F.broadcast(meta).join(counts, "check_name")  # one row per check: bounded by the suite size
     status = (
         F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "error", "fail").otherwise("warn")

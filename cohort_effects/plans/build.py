@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_effects.operators import effects as fx
@@ -211,7 +211,8 @@ def run_build(
     * S6/S7: both tables are partitioned by year and laid out in files that
       readers can skip; the detail's row counts come from the context layer.
     * Q19: the suite runs on the new versions; error failures raise, and the
-      published ones stay.
+      published ones stay.  Row-level checks of the two tables (not null, between,
+      mean, deviation) are observed while they are written, not scanned for.
 
     Returns the check results.
     """
@@ -224,23 +225,26 @@ def run_build(
     spark = layers.scores.sparkSession
     root = out_root.rstrip("/")
     dm_path, mart_path = new_version(f"{root}/intermediate/demeaned"), new_version(f"{root}/marts/effects")
+    generic = SU.generic_checks(params)
+    seen = {t: (Observation(f"{t}-{dm_path[-12:]}"), Q.row_level_metrics(generic, t)) for t in ("demeaned", "mart")}
     published = False
     try:
         counts = layers.context.where(F.col("year").isNotNull()).groupBy("year", *DETAIL_CLUSTER).agg(F.count("*").alias("n"))
         write_clustered(Q.assert_not_null(layers.demeaned, NOT_NULL_DEMEANED), dm_path, DETAIL_CLUSTER,
-                        sort_by=["student_id", "term"], counts=counts)
+                        sort_by=["student_id", "term"], counts=counts, observe=seen["demeaned"])
         demeaned = spark.read.schema(layers.demeaned.schema).parquet(dm_path).select(*layers.demeaned.columns)
         # level-1 moments are mart-sized; writing them once keeps the effect and
         # variance checks from re-aggregating the whole detail table each time
         moments = checkpointed(fx.group_moments(demeaned))
         mart = Q.enforce_contract(fx.score_effects(moments, None, params), MART_SCHEMA)
-        write_clustered(Q.assert_not_null(mart, NOT_NULL_MART), mart_path, MART_CLUSTER)
+        write_clustered(Q.assert_not_null(mart, NOT_NULL_MART), mart_path, MART_CLUSTER, observe=seen["mart"])
         mart = spark.read.schema(MART_SCHEMA).parquet(mart_path).select(*MART_SCHEMA.fieldNames())
         built = Layers(layers.students, layers.scores, layers.attendance, layers.classes, layers.bridge, layers.years,
                        layers.context, layers.enriched, demeaned, moments,
                        moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect"),
                        fx.variance_components(moments), lambda: mart)
-        results = Q.run_checks(SU.suite(built, params), SU.tables_of(built), params.target)
+        measured = {name: n for observed, metrics in seen.values() if metrics for name, n in observed.get.items()}
+        results = Q.run_checks(SU.suite(built, params), SU.tables_of(built), params.target, measured)
         results = results.checkpoint(eager=True)
         if gate_on_errors:
             Q.gate(results)
