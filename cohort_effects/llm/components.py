@@ -15,8 +15,8 @@ def _mark(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node of the
     links ``a``, ``b`` (longs; loops are ignored).  Each round is checkpointed;
-    minima are partial sums before the shuffle, and no node's links are
-    gathered in one task."""
+    minima are partial sums before the shuffle.  The minimum is joined back to a
+    node's links, so those of a hub meet in one task unless AQE splits it."""
     low, high = F.least("a", "b"), F.greatest("a", "b")
     e = materialise(edges.where("a <> b").select(high.alias("u"), low.alias("v")).distinct())
     before = _mark(e)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_effects.llm.op10_sharding import numbered
-from cohort_effects.llm.tables import materialise, read, texts
+from cohort_effects.llm.tables import lean, materialise, read, texts
 from cohort_effects.llm.textarrays import U, chunks, word_hashes, words
 
 PASSAGE, BLOCK = 64, 256
@@ -91,7 +91,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
                     )
 
     rows = texts(benchmark, id_col="item_id").withColumn("text", F.lower("text")).distinct()
-    return rows.mapInArrow(run, "item_id long, words array<long>, answer int")
+    return rows.mapInArrow(lean(run), "item_id long, words array<long>, answer int")
 
 
 def vocabulary(rows: list) -> np.ndarray:
@@ -131,7 +131,7 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
         there = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], names=["term", "n"])
 
-    got = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    got = docs.select("text").mapInArrow(lean(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(terms) + 1, np.int64)
     out[got["term"].to_numpy()] = got["n"].to_numpy()
     return out[:-1], int(out[-1])
@@ -167,7 +167,7 @@ def _gram(rows: DataFrame, terms: np.ndarray, weight: np.ndarray, m: np.ndarray)
             sums += np.frombuffer(x.as_py())
         return pa.table([table["slice"][:1], pa.array([sums.tobytes()], pa.binary())], names=["slice", "part"])
 
-    got = rows.select("words").mapInArrow(part, "slice long, part binary").groupBy("slice").applyInArrow(total, "slice long, part binary").collect()
+    got = rows.select("words").mapInArrow(lean(part), "slice long, part binary").groupBy("slice").applyInArrow(total, "slice long, part binary").collect()
     out = np.zeros_like(m)
     for r in got:
         piece = np.frombuffer(r["part"]).reshape(-1, m.shape[1])
@@ -303,7 +303,7 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
                     out = [(doc_ids[d], item, *v) for (d, item), v in best.items()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], names=_NAMES)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), _SCHEMA)
 
 
 _NAMES = ["doc_id", "item_id", "share", "common_words", "passage_words", "cosine", "start_word", "n_words"]

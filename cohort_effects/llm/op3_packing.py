@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_effects.llm.op10_sharding import numbered
-from cohort_effects.llm.tables import materialise, read, texts
+from cohort_effects.llm.tables import lean, materialise, read, texts
 from cohort_effects.llm.textarrays import chunks
 from cohort_effects.llm.wordcache import word_cache
 
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> D
                     ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PIECES.types, strict=True)], schema=_PIECES)
 
-    return texts(docs).mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return texts(docs).mapInArrow(lean(encode), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 class _Sums:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_effects.llm.tables import held_out, materialise, read
+from cohort_effects.llm.tables import held_out, lean, materialise, read
 from cohort_effects.llm.textarrays import ODD, U, chunks, mix, word_hashes, words
 
 SHAPES, WORDS = 1 << 16, 1 << 18
@@ -43,6 +43,7 @@ SLOPE = 4.0
 C = 1.0
 SMOOTHING = 1.0
 EPOCHS = 30
+PIECE = 1 << 18  # bytes of text that are made into indicators at once
 
 
 def _byte_classes() -> np.ndarray:
@@ -130,14 +131,14 @@ def featured(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, off in chunks(batch):
+            for lo, hi, buf, off in chunks(batch, limit=PIECE):
                 d, g = indicators(buf, off)
                 at = np.searchsorted(d, np.arange(hi - lo + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(g.astype(np.int32)))
                 ids, labels = (batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "label"))
                 yield pa.RecordBatch.from_arrays([ids, labels, lists], names=["doc_id", "label", "buckets"])
 
-    return rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, buckets array<int>")
+    return rows.select("doc_id", "label", "text").mapInArrow(lean(run), "doc_id long, label int, buckets array<int>")
 
 
 def class_counts(rows: DataFrame) -> np.ndarray:
@@ -147,13 +148,13 @@ def class_counts(rows: DataFrame) -> np.ndarray:
         n = np.zeros(2 * BUCKETS, np.int64)
         for batch in batches:
             labels = batch.column("label").to_numpy().astype(np.int64)
-            for lo, hi, buf, off in chunks(batch):
+            for lo, hi, buf, off in chunks(batch, limit=PIECE):
                 d, g = indicators(buf, off)
                 n += np.bincount(labels[lo:hi][d] * BUCKETS + g, minlength=len(n))
         there = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], names=["key", "n"])
 
-    got = rows.select("label", "text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    got = rows.select("label", "text").mapInArrow(lean(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(2 * BUCKETS)
     out[got["key"].to_numpy()] = got["n"].to_numpy()
     return out.reshape(2, BUCKETS)
@@ -236,7 +237,7 @@ def fitted(sample: DataFrame, scale: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(there, -1)), pa.array(np.append(w[there], bias))], names=["bucket", "weight"])
 
     one = sample.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("buckets"))
-    return one.mapInArrow(run, "bucket long, weight double")
+    return one.mapInArrow(lean(run), "bucket long, weight double")
 
 
 def scores(model: tuple[np.ndarray, np.ndarray, float] | None, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -257,13 +258,13 @@ def score(rows: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, off in chunks(batch):
+            for lo, hi, buf, off in chunks(batch, limit=PIECE):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(scores(shared.value, buf, off))],
                     names=["doc_id", "held_out", "score"],
                 )
 
-    return rows.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, held_out boolean, score double")
+    return rows.select("doc_id", "held_out", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(run), "doc_id long, held_out boolean, score double")
 
 
 def undisputed(labels: DataFrame) -> DataFrame:
@@ -296,10 +297,10 @@ def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, off in chunks(batch):
+            for lo, hi, buf, off in chunks(batch, limit=PIECE):
                 yield batch.slice(lo, hi - lo).filter(pa.array((scores(shared.value, buf, off) >= THRESHOLD) | (np.diff(off) == 0)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

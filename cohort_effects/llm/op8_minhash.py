@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cohort_effects.llm.components import components
 from cohort_effects.llm.repeats import NO_ID
-from cohort_effects.llm.tables import materialise, read, texts
+from cohort_effects.llm.tables import lean, materialise, read, texts
 from cohort_effects.llm.textarrays import ODD, U, as_long, chunks, mix, shingle_hashes, whole_groups, word_hashes, words
 
 BANDS, ROWS = 35, 5
@@ -114,7 +114,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
                 )
 
     rows = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
-    return rows.mapInArrow(run, "id long, n long, a long, b long, sig binary, keys array<long>")
+    return rows.mapInArrow(lean(run), "id long, n long, a long, b long, sig binary, keys array<long>")
 
 
 def forest(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     near = (
         members.join(classes.select("rep", "sig"), "rep").select("key", "cell", "rep", "sig")
         .repartition("key", "cell").sortWithinPartitions("key", "cell")
-        .mapInArrow(_bucket_pass, "a long, b long").distinct()
+        .mapInArrow(lean(_bucket_pass), "a long, b long").distinct()
     )
     groups = materialise(components(near).join(classes.select(F.col("rep").alias("node"), "n"), "node"))
     sizes = groups.groupBy("component").agg(F.count("*").alias("_m"), F.sum("n").alias("_s"))
@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     links = (
         _cells(rows.join(wanted.hint("shuffle_hash"), "rep"), blocks, "rep").select("key", "cell", "rep", "text")
         .repartition("key", "cell").sortWithinPartitions("key", "cell")
-        .mapInArrow(_verify_pass(shingle, percent), "a long, b long")
+        .mapInArrow(lean(_verify_pass(shingle, percent)), "a long, b long")
     )
     found = components(links)
     settled = classes.select("a", "b", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")

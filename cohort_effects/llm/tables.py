@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,23 @@ def texts(docs: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "
     )
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for ``mapInArrow``, giving what it has freed back to the system at
+    its end: Python workers are used again, and an executor's memory limit counts
+    what idle ones hold."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``."""
     ensure_checkpoint_dir(df.sparkSession)
