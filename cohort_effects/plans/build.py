@@ -33,11 +33,15 @@ class Layers:
     moments: DataFrame
     effects: DataFrame
     variances: DataFrame
-    make_mart: Callable[[], DataFrame]
+    make_mart: Callable[[list[int] | None], DataFrame]
 
     @cached_property
     def mart(self) -> DataFrame:
-        return self.make_mart()
+        return self.make_mart(None)
+
+    def mart_of(self, years: list[int]) -> DataFrame:
+        """The mart's rows of some years; the others are not built."""
+        return self.make_mart(years)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -120,8 +124,13 @@ def _layers_from_clean(scores, attendance, classes, students, params: Params, m,
     moments = mm(fx.group_moments(demeaned))
     effects = enforce_contract(moments.select(*S.EFFECTS_SCHEMA.fieldNames()), S.EFFECTS_SCHEMA)
     variances = mm(enforce_contract(fx.variance_components(moments), S.VARIANCES_SCHEMA))
+
+    def make_mart(only: list[int] | None) -> DataFrame:
+        chosen = moments if only is None else moments.where(F.col("year").isin(only))
+        return mm(fx.score_effects(chosen, None, params))
+
     return Layers(students, scores, attendance, classes, bridge, years, context, enriched,
-                  demeaned, moments, effects, variances, lambda: mm(fx.score_effects(moments, None, params)))
+                  demeaned, moments, effects, variances, make_mart)
 
 
 def fixture_layers(
@@ -242,7 +251,7 @@ def run_build(
         built = Layers(layers.students, layers.scores, layers.attendance, layers.classes, layers.bridge, layers.years,
                        layers.context, layers.enriched, demeaned, moments,
                        moments.select("school_id", "subject", "year", "n_obs", "pct_multi_school", "raw_effect"),
-                       fx.variance_components(moments), lambda: mart)
+                       fx.variance_components(moments), lambda years: mart)
         measured = {name: n for observed, metrics in seen.values() if metrics for name, n in observed.get.items()}
         results = Q.run_checks(SU.suite(built, params), SU.tables_of(built), params.target, measured)
         results = results.checkpoint(eager=True)

@@ -1209,8 +1209,8 @@ def q_stream_refresh(spark, base):
     inbox, mart_path, ckpt = work_path(spark, "inbox"), work_path(spark, "mart_stream"), work_path(spark, "stream_ckpt")
     schema = FX.raw_score(li).schema
 
-    def build_mart(scores):
-        return build_layers(scores, raw_att, raw_cls, None, QP).mart
+    def build_mart(scores, years):
+        return build_layers(scores, raw_att, raw_cls, None, QP).mart_of(years)
 
     first = F.coalesce(F.year("l_shipdate") < 1998, F.lit(False))  # every row lands in one of the two drops
     for drop in (li.filter(first), li.filter(~first)):

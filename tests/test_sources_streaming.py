@@ -40,8 +40,8 @@ def test_stream_refresh_only_touched_years(spark, tmp_path):
     inbox, mart_path, ckpt = (str(tmp_path / n) for n in ("inbox", "mart", "ckpt"))
     schema = FX.raw_score(li).schema
 
-    def build(scores):
-        return build_layers(scores, att, cls).mart
+    def build(scores, years):
+        return build_layers(scores, att, cls).mart_of(years)
 
     FX.raw_score(li.filter(F.year("l_shipdate") < 1997)).write.parquet(inbox)
     start_year_refresh(spark, inbox, schema, build, cls, mart_path, ckpt).awaitTermination()
