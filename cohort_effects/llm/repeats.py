@@ -10,8 +10,10 @@ symbols instead of one row a symbol.
    are unique; a unit a document is not told about is repeated somewhere.  No
    key is ever joined back to all its members.
 2. Repeated units go, with the bytes they span, to their anchor's group.
-   Anchors over ``HOT_SHARE`` of all units (so at most 1 / HOT_SHARE of them,
-   a broadcast of known size) are dealt to several sub-groups by document.
+   Anchors of more than ``HOT_UNITS`` units are dealt to sub-groups of about
+   that many by document.  There are at most units / HOT_UNITS of them: their
+   table is broadcast while that is no more than ``HOT_BROADCAST``, else joined
+   by shuffle.
 3. A sub-group finds the first of equal windows (``refine``, the method of the
    operator).  Windows of split groups meet once more by window hash, again
    with partial minima.
@@ -22,8 +24,10 @@ Equal whole texts are settled before: all but the smallest id are covered
 wholly.  The texts are shuffled once, by id; every step reuses that exchange.
 
 Rows that share id and text are one document (each row gets its result); rows
-that share an id only are documents of their own, ordered by a text hash.  A
-null id orders first.
+that share an id only are documents of their own, told apart by 64 bits of a text
+hash.  Where an earlier window of the same document counts, they are ordered by
+that hash; where only documents with a smaller id count, they remove nothing from
+each other.  A null id is one id, and orders first.
 """
 
 from __future__ import annotations
@@ -36,12 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort_effects.llm.tables import texts
+from cohort_effects.llm.tables import lean, texts
 from cohort_effects.llm.textarrays import ODD, U, as_long, chunks, mix, shingle_hashes, sliding_min, whole_groups, word_hashes, words
 
 NO_ID = -(2**63)
-HOT_SHARE = 1e-5
-HOT_LEAST = 512  # units an anchor may have in one sub-group at least
+HOT_UNITS = 512  # units of an anchor in one sub-group, about
+HOT_BROADCAST = 1 << 20  # rows
 
 
 @dataclass(frozen=True)
@@ -162,7 +166,7 @@ def _keyed(docs: DataFrame, carry: list[str]) -> DataFrame:
         *rest,
         F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"),
         # never null, and known as such: a null filter would make the join's exchange a second one
-        F.coalesce(F.pmod(F.xxhash64("text"), F.lit(32749)), F.lit(0)).cast("smallint").alias("_tag"),
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_tag"),
         "text",
     )
 
@@ -222,11 +226,9 @@ def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: in
         anchor, ids, tags = (table[c].to_numpy() for c in ("anchor", "_id", "_tag"))
         first, n, split, salt = (table[c].to_numpy() for c in ("first", "n", "split", "salt"))
         order = np.lexsort((first, tags, ids))
-        spans = table["span"].take(pa.array(order)).combine_chunks()
-        if isinstance(spans, pa.ChunkedArray):
-            spans = spans.chunk(0)
+        spans = table["span"].cast(pa.large_binary()).combine_chunks().take(pa.array(order))
         buf = np.frombuffer(spans.buffers()[2], np.uint8)
-        off = np.frombuffer(spans.buffers()[1], np.int32)[: len(order) + 1].astype(np.int64)
+        off = np.frombuffer(spans.buffers()[1], np.int64)[: len(order) + 1]
         anchor, ids, tags, first, n, split, salt = (x[order] for x in (anchor, ids, tags, first, n, split, salt))
         # equal units: only the first of them can hold a first occurrence (with `same_doc_counts`, any of its document)
         h = word_hashes(buf, off[:-1], off[1:], False) + as_long(anchor).view(U) + salt.astype(U) * ODD[300]
@@ -234,7 +236,7 @@ def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: in
         lead = lead[inverse]
         kept = lead == np.arange(len(h))
         if not same_doc_counts:
-            kept |= (ids[lead] == ids) & (tags[lead] == tags)
+            kept |= ids[lead] == ids
         k = np.flatnonzero(kept)
         lengths = np.diff(off)[k]
         new_off = np.concatenate([[0], np.cumsum(lengths)])
@@ -246,7 +248,7 @@ def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: in
         lead = lead[inverse]
         keep = lead == np.arange(len(cls))
         if not same_doc_counts:
-            keep |= (ids[row[lead]] == ids[row]) & (tags[row[lead]] == tags[row])
+            keep |= ids[row[lead]] == ids[row]
         at = np.flatnonzero(keep)
         if not len(at):
             return
@@ -258,7 +260,7 @@ def _first_pass(scheme: Scheme, refine: Refine, same_doc_counts: bool, limit: in
         new[1:] = (r[1:] != r[:-1]) | (start[1:] != start[:-1] + 1) | hot[1:]
         j = np.flatnonzero(new)
         length = np.diff(np.append(j, len(at)))
-        key1, key2 = ids[r[j]].copy(), (start[j].astype(np.int64) << 16) + tags[r[j]]
+        key1, key2 = ids[r[j]].copy(), as_long(mix(tags[r[j]].view(U) + start[j].astype(U) * ODD[301]))
         warm = hot[j]
         if warm.any():
             pos = (new_off[:-1][r[j]] + at[j] - (np.cumsum(n) - n)[r[j]])[warm]
@@ -297,32 +299,32 @@ def repeated_windows(
     hashed = keyed.select("_id", "_tag", F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"))
     heads = hashed.groupBy("a", "b").agg(F.min(F.struct("_id", "_tag")).alias("k")).select("k.*").withColumn("head", F.lit(True)).distinct()
     n_units = (docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0) * 2 / (scheme.window - scheme.gram + 2) / (6 if scheme.by_word else 1)
-    hot_at = int(max(HOT_LEAST, n_units * HOT_SHARE))
     own = keyed.join(heads.hint("shuffle_hash"), key, "left_semi")
     stats = (
-        own.mapInArrow(_stats_pass(scheme, same_doc_counts), "anchor long, _id long, _tag smallint, ordinal int")
+        own.mapInArrow(lean(_stats_pass(scheme, same_doc_counts)), "anchor long, _id long, _tag long, ordinal int")
         .where("anchor is not null")  # as the join below infers it; said here, both uses share one exchange
         .groupBy("anchor")
         .agg(F.count("*").alias("n"), F.max("_id").alias("_id"), F.max("_tag").alias("_tag"), F.max("ordinal").alias("ordinal"))
     )
     uniques = stats.where("n = 1").groupBy(*key).agg(F.collect_list("ordinal").alias("uniques"))
     # all columns are read here as well, so that both uses share one exchange
-    hot = stats.where((F.col("n") > hot_at) & (F.col("ordinal") >= -1) & (F.col("_id") >= NO_ID) & (F.col("_tag") >= -(2**15)))
-    hot = hot.select("anchor", F.ceil(F.col("n") / hot_at).cast("int").alias("split"))
+    hot = stats.where((F.col("n") > HOT_UNITS) & (F.col("ordinal") >= -1) & (F.col("_id") >= NO_ID) & (F.col("_tag") >= NO_ID))
+    hot = hot.select("anchor", F.ceil(F.col("n") / HOT_UNITS).cast("int").alias("split"))
+    hot = F.broadcast(hot) if n_units / HOT_UNITS <= HOT_BROADCAST else hot
     found = (
         own.join(uniques.hint("shuffle_hash"), key, "left")
         .select(*key, *rest, "text", "uniques")
-        .mapInArrow(_unit_pass(scheme), "anchor long, _id long, _tag smallint, first int, n int, span binary")
-        .join(F.broadcast(hot), "anchor", "left")
+        .mapInArrow(lean(_unit_pass(scheme)), "anchor long, _id long, _tag long, first int, n int, span binary")
+        .join(hot, "anchor", "left")
         .withColumn("split", F.coalesce("split", F.lit(1)))
         .withColumn("salt", F.pmod(F.xxhash64(*key), F.col("split")).cast("int"))
         .repartition("anchor", "salt")
         .sortWithinPartitions("anchor", "salt")
-        .mapInArrow(_first_pass(scheme, refine, same_doc_counts), "key1 long, key2 long, _id long, _tag smallint, start int, length int")
+        .mapInArrow(lean(_first_pass(scheme, refine, same_doc_counts)), "key1 long, key2 long, _id long, _tag long, start int, length int")
     )
-    if not same_doc_counts:  # all windows of the first document stay: its starts travel together
-        found = found.groupBy("key1", "key2", *key).agg(F.collect_list(F.struct("start", "length")).alias("runs"))
-        firsts = found.groupBy("key1", "key2").agg(F.min(F.struct(*key, "runs")).alias("x")).select("x.*").select(*key, F.explode("runs").alias("run"))
+    if not same_doc_counts:  # all windows under the smallest id stay
+        least = found.groupBy("key1", "key2").agg(F.min("_id").alias("_least"))
+        firsts = found.join(least, ["key1", "key2"]).where("_id = _least").select(*key, F.struct("start", "length").alias("run"))
     else:
         firsts = found.groupBy("key1", "key2").agg(F.min(F.struct(*key, "start", "length")).alias("x")).select("x._id", "x._tag", F.struct("x.start", "x.length").alias("run"))
     firsts = firsts.groupBy(*key).agg(F.collect_list("run").alias("runs"))
@@ -349,7 +351,7 @@ def repeated_windows(
         .join(uniques.hint("shuffle_hash"), key, "left")
         .join(firsts.hint("shuffle_hash"), key, "left")
         .select(*key, *rest, "text", "head", "uniques", "runs")
-        .mapInArrow(last, schema)
+        .mapInArrow(lean(last), schema)
     )
 
 

@@ -1,10 +1,12 @@
 """Operators 2 and 9 against brute force, also with all groups split."""
 
 import hashlib
+import random
 import re
 
 import pytest
-from llm_fixtures import docs, no_docs, pairs  # noqa: F401
+import xxhash
+from llm_fixtures import docs, make, no_docs, pairs, prose  # noqa: F401
 
 from cohort_effects.llm import repeats
 from cohort_effects.llm.op2_suffix import dedup_strings
@@ -14,8 +16,9 @@ WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def order(pairs):
-    """Distinct (id, text), a null id first."""
-    return sorted({(i, t or "") for i, t in pairs}, key=lambda p: (p[0] is not None, p[0] or 0))
+    """Distinct (id, text), a null id first, texts of one id by their hash."""
+    key = lambda p: (p[0] is not None, p[0] or 0, xxhash.xxh64(p[1].encode(), seed=42).intdigest() ^ (1 << 63))
+    return sorted({(i, t or "") for i, t in pairs}, key=key)
 
 
 def removed_bytes(pairs, n=100):
@@ -47,11 +50,13 @@ def removed_words(pairs, n=50):
     return out
 
 
-@pytest.fixture(params=["whole groups", "split groups"])
+@pytest.fixture(params=["whole groups", "split groups", "split, joined by shuffle"])
 def groups(request, monkeypatch):
     if request.param == "split groups":
-        monkeypatch.setattr(repeats, "HOT_LEAST", 2)
-        monkeypatch.setattr(repeats, "HOT_SHARE", 0)
+        monkeypatch.setattr(repeats, "HOT_UNITS", 2)
+    if request.param == "split, joined by shuffle":
+        monkeypatch.setattr(repeats, "HOT_UNITS", 2)
+        monkeypatch.setattr(repeats, "HOT_BROADCAST", 0)
 
 
 def expected(pairs, result):
@@ -84,6 +89,36 @@ def test_cut_text_keeps_columns(docs, pairs):
     assert got.count() == len(pairs)
 
 
+def twins(seed):
+    """Two texts whose hashes agree modulo 32749."""
+    seen = {}
+    for k in range(100_000):
+        text = f"head {seed} {k} " + prose(random.Random(k % 50 + 1000 * seed), 70)
+        other = seen.setdefault(xxhash.xxh64(text.encode(), seed=42).intdigest() % 32749, text)
+        if other != text:
+            return other, text
+
+
+def test_texts_that_share_an_id(spark):
+    rng = random.Random(8)
+    passage = prose(rng, 80)
+    a, b = twins(1)
+    rows = [(0, prose(rng, 5) + " " + passage), (5, a + " " + passage), (5, b + " " + passage + " tail"), (6, passage), (6, passage + " x")]
+    rows += [(7, prose(rng, 60)) for _ in range(3)] + [(7, rows[1][1]), (7, rows[1][1])]
+    for got, want in ((dedup_strings, removed_bytes), (dedup_passages, removed_words)):
+        expect, key = expected(rows, want(rows))
+        assert sorted(map(tuple, got(make(spark, rows)).collect()), key=key) == expect
+
+
+def test_many_rows_without_an_id(spark):
+    rng = random.Random(9)
+    shared = [prose(rng, 55) for _ in range(40)]
+    rows = [(None, f"{k} {prose(rng, 4)} {rng.choice(shared)} {k}") for k in range(2000)] + [(1, shared[0]), (2, "a " + shared[1])]
+    for got, want in ((dedup_strings, removed_bytes), (dedup_passages, removed_words)):
+        expect, key = expected(rows, want(rows))
+        assert sorted(map(tuple, got(make(spark, rows)).collect()), key=key) == expect
+
+
 def test_no_rows(no_docs):
     assert dedup_strings(no_docs).collect() == []
     assert dedup_passages(no_docs).collect() == []
