@@ -38,6 +38,7 @@ from cohort_effects.operators.ranges import matched, positions
 
 WEIGHTS = (5, 2, 1)
 LEAF, FAN, RESERVE = 64, 64, 64
+FEW = 1 << 16  # rows of a table of sources, or of their size classes, that is broadcast
 RUN = 4096  # equal rows are numbered in runs of this many
 WORD, BLANKS = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 ITEM = "struct<size:bigint,h:bigint,doc_id:bigint,text_hash:bigint,mass:double>"
@@ -109,6 +110,13 @@ def _settled(nodes: DataFrame, by: list[str], seed: int) -> DataFrame:
     return chain.withColumn("_got", got).select(*by, F.inline(F.array_append(F.col("_got.done"), left)))
 
 
+def _told(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joins a checkpointed table of sources: broadcast while it has no more than
+    ``FEW`` rows, so that a source with most documents is not one task, else by
+    shuffle, where AQE splits it."""
+    return matched(rows, F.broadcast(table) if table.count() <= FEW else table, keys, how)
+
+
 def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2, seed: int = 11) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``text_hash`` (one row a document) with
     ``source_size``, ``target`` and ``copies``."""
@@ -125,11 +133,13 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     )
     due = wanted.select("source", (F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))).alias("due"))
     due = due.select("source", F.coalesce(F.floor("due"), F.lit(0)).alias("whole"), F.coalesce(F.col("due") - F.floor("due"), F.lit(0.0)).alias("fraction"))
+    due = materialise(matched(wanted, due, ["source"]))
     classes = matched(
         rows.where("size > 0").groupBy("source", F.expr("length(bin(size))").alias("class")).agg(F.count("*").alias("n")), due, ["source"]
     ).select("source", "class", "fraction", F.ceil(F.col("n") / LEAF).alias("leaves"), (F.lit(float(RESERVE)) / F.col("n")).alias("waits"))
+    classes = materialise(classes)
     deepest = classes.agg(F.max("leaves")).first()[0] or 1
-    dealt = matched(items, classes, ["source", "class"], "left")
+    dealt = _told(items, classes, ["source", "class"], "left")
     open_ = dealt.where("size > 0 and fraction > 0")
     root = _uniform(F.lit(seed), F.lit(1), F.col("h")) < F.col("waits")
     open_ = open_.select(
@@ -156,7 +166,7 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
-    return matched(matched(out, due, ["source"]), wanted, ["source"]).select(
+    return _told(out, due, ["source"]).select(
         "doc_id", "source", "size", "text_hash", "source_size", "target", (F.col("whole") + F.col("extra")).cast("long").alias("copies")
     )
 
