@@ -60,5 +60,5 @@ def test_odd_rows_and_no_rows(spark, tmp_path, pairs, no_docs):
 
 def test_registered():
     numbers = [q for q in QUERIES if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in numbers) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in numbers) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
