@@ -42,7 +42,7 @@ def test_statistics_before_the_unpivot_are_those_after_it(spark):
 
 def test_dates_and_text_as_before(spark):
     dates = ["2000-01-31", "2000-1-3", "2001-02-29", "1582-10-10", "0000-01-01", "0000-00-00", "9999-12-31", " 200-01-31", "2000-01-3 ", "2000-01-3T",
-             "12000-1-12", "+200-01-31", "", None, "x", "2000-13-01", "٢٠٠٠-٠١-٠١", "2000-01-31 "]
+             "12000-1-12", "+200-01-31", "", None, "x", "2000-13-01", "٢٠٠٠-٠١-٠١", "2000-01-31 ", "2000-01-31\n", "\n2000-01-31", "2000-01-31\n\n"]
     df = spark.createDataFrame([(d,) for d in dates], "d string")
     assert [r[0] for r in df.select(parse_date("d").cast("string")).collect()] == [r[0] for r in df.select(F.try_to_date("d", "yyyy-M-d").cast("string")).collect()]
     texts = ["a", " a", "a ", " a b　", "a\tb", "", " ", None, "é", "é ", "~!", "\x7fa", "a\x1f", " z", "z\x85"]
