@@ -49,6 +49,9 @@ EXACT, PARAPHRASE, SHORT = 0.7, 0.5, 8
 SLACK = 1e-3  # rounding of projections, as a share of a passage
 ANSWER = 3  # words an answer has at least
 SLICE = 1024
+CHUNK = 1 << 18  # bytes of text looked at together: its arrays stay in a core's cache
+CELLS, PAIRS = 2048, 1024  # windows counted, and candidates asked, at a time
+_RUNS = SPAN // STRIDE  # cells of STRIDE words that a window has
 _MARK = np.zeros(256, bool)
 _MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _STOP = np.zeros(256, bool)
@@ -60,9 +63,13 @@ def plain_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     trimmed; words of marks only are left out."""
     starts, ends, doc = words(buf, off)
     stop = _STOP[buf[ends - 1]] if len(ends) else np.zeros(0, bool)
-    for _ in range(4):
-        starts = starts + ((starts < ends) & _MARK[buf[np.minimum(starts, len(buf) - 1)]]) if len(starts) else starts
-        ends = ends - ((starts < ends) & _MARK[buf[ends - 1]]) if len(ends) else ends
+    marked = np.flatnonzero(_MARK[buf[starts]] | _MARK[buf[ends - 1]]) if len(ends) else np.zeros(0, np.int64)
+    if len(marked):  # the others stay as they are
+        s, e = starts[marked], ends[marked]
+        for _ in range(4):
+            s += (s < e) & _MARK[buf[np.minimum(s, len(buf) - 1)]]
+            e -= (s < e) & _MARK[buf[e - 1]]
+        starts[marked], ends[marked] = s, e
     keep = starts < ends
     return word_hashes(buf, starts[keep], ends[keep], True), doc[keep], stop[keep]
 
@@ -100,17 +107,20 @@ def vocabulary(rows: list) -> np.ndarray:
 
 
 def _lookup(terms: np.ndarray):
-    """Number of each word in the sorted terms, or -1."""
-    bits = 20
-    there = np.zeros(1 << bits, bool)
-    there[(terms >> U(64 - bits)).astype(np.int64)] = True
+    """Number of each word in the sorted terms, or -1: terms are looked for
+    from the first one with the word's leading bits."""
+    shift = U(64 - min(20, len(terms).bit_length() + 5))
+    head = (terms >> shift).astype(np.int64)
+    first = np.searchsorted(head, np.arange(1 << (64 - int(shift)))).astype(np.int32)
+    most = int(np.bincount(head).max(initial=0))  # terms that share their leading bits
+    there = np.append(terms, np.repeat(terms[-1:], most))
 
     def of(h: np.ndarray) -> np.ndarray:
         out = np.full(len(h), -1, np.int64)
-        k = np.flatnonzero(there[(h >> U(64 - bits)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(terms, h[k]), len(terms) - 1)
-        hit = terms[at] == h[k]
-        out[k[hit]] = at[hit]
+        at = first[(h >> shift).astype(np.int64)]
+        for k in range(most):
+            hit = np.flatnonzero(there[at + k] == h)
+            out[hit] = np.minimum(at[hit] + k, len(terms) - 1)
         return out
 
     return of
@@ -122,11 +132,12 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, n = _lookup(terms), np.zeros(len(terms) + 1, np.int64)
         for batch in batches:
-            for lo, hi, buf, off in chunks(batch):
+            for lo, hi, buf, off in chunks(batch, limit=CHUNK):
                 h, doc, _ = plain_words(buf, off)
                 at = of(h)
-                k = at >= 0
-                n[:-1] += np.bincount(np.unique(doc[k] * len(terms) + at[k]) % len(terms), minlength=len(terms))
+                k = np.flatnonzero(at >= 0)
+                pair = np.sort(doc[k] * len(terms) + at[k])
+                n[:-1] += np.bincount(pair[np.diff(pair, prepend=-1) > 0] % len(terms), minlength=len(terms))
                 n[-1] += hi - lo
         there = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], names=["term", "n"])
@@ -218,6 +229,52 @@ def least_share(n: np.ndarray, square: np.ndarray, need: int) -> float:
     return float(taken @ square[order]) / max(float(square.sum()), 1e-300)
 
 
+def common_subsequences(masks: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``common_subsequence`` of many pairs at once: ``masks`` has a row for
+    each word of the windows and a column for each pair (0: the word is not in
+    the passage), ``length`` the passages' words, at most 64."""
+    free = np.full(masks.shape[1], ~U(0))
+    for m in masks:
+        u = free & m
+        free = (free + u) | (free - u)  # carries beyond a passage's end never come back
+    return length - np.bitwise_count(free & (~U(0) >> (64 - length).astype(U))).astype(np.int64)
+
+
+def previous(at: np.ndarray) -> np.ndarray:
+    """Position of the word before that is the same term, or -1."""
+    hit = np.flatnonzero(at >= 0)
+    bits = len(at).bit_length()
+    key = np.sort(at[hit] << bits | hit)
+    pos, term = key & ((1 << bits) - 1), key >> bits
+    same = np.flatnonzero(term[1:] == term[:-1])
+    out = np.full(len(at), -1, np.int64)
+    out[pos[same + 1]] = pos[same]
+    return out
+
+
+def window_counts(at: np.ndarray, before: np.ndarray, cell: np.ndarray, packed: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(first cell, sums) of runs of cells: for the window that begins with each
+    cell, the rows of ``packed`` of its distinct terms, summed.  A term counts
+    in a cell once, for as many of the windows that reach it as have not met the
+    term before: as many as cells have passed since, so each row is added up
+    once and not for each window.  Documents are ``_RUNS - 1`` empty cells apart."""
+    hit = np.flatnonzero(at >= 0)
+    age = cell[hit] - np.where(before[hit] >= 0, cell[before[hit]], -_RUNS)
+    levels = [(n, k := hit[age == n if n < _RUNS else age >= n], cell[k]) for n in range(1, _RUNS + 1)]
+    for s in range(0, int(cell[-1]) + 1 if len(cell) else 0, CELLS):
+        held = np.zeros((CELLS + 2 * (_RUNS - 1), packed.shape[1]), packed.dtype)
+        for n, k, mine in levels:
+            lo, hi = np.searchsorted(mine, [s, s + CELLS + _RUNS - 1])
+            if lo == hi:
+                continue
+            begin = np.flatnonzero(np.diff(mine[lo:hi], prepend=-1))
+            sums = np.add.reduceat(packed[at[k[lo:hi]]], begin, axis=0)
+            row = mine[lo:hi][begin] - s + _RUNS - 1
+            for back in range(n):
+                held[row - back] += sums
+        yield s, held[_RUNS - 1 : _RUNS - 1 + CELLS]
+
+
 def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarray, space: np.ndarray) -> DataFrame:
     """Documents against one block of passages."""
     of = _lookup(terms)
@@ -225,77 +282,70 @@ def find_leaks(docs: DataFrame, rows: list, terms: np.ndarray, weight: np.ndarra
     embedded = np.zeros((len(rows), space.shape[1]), np.float32)  # scaled so that a window's product is the share it holds
     count = np.zeros((len(terms), -(-len(rows) // 8) * 8), np.uint8)  # words of each term a passage has, at most PASSAGE
     need, share = np.full(count.shape[1], 255, np.uint8), np.zeros(len(rows))
+    masks = [0]  # of a term's words in a passage, passage by passage
     for k, r in enumerate(rows):
-        at, n = np.unique(of(np.array(r.words, np.int64).view(U)), return_counts=True)
+        mine = of(np.array(r.words, np.int64).view(U))
+        at, n = np.unique(mine, return_counts=True)
         value = weight[at]
         embedded[k] = value @ space[at] / max(float(value @ value), 1e-300)
         count[at, k] = n
         need[k] = least_words(len(r.words), r.answer)
         share[k] = least_share(n, value * value, int(need[k])) - SLACK
-    masks: list[dict[int, int]] = []
-    for w in lists:
-        mask: dict[int, int] = {}
-        for j, x in enumerate(w):
-            mask[x] = mask.get(x, 0) | 1 << j
-        masks.append(mask)
-    model = (terms, (weight[:, None] * space).astype(np.float32), embedded, count, need, share, [r.item_id for r in rows], lists, masks, [r.answer for r in rows])
+        masks += [sum(1 << int(j) for j in np.flatnonzero(mine == x)) for x in at]
+    latent = (weight[:, None] * space).astype(np.float32)
+    model = (terms, latent, embedded, count, need, share, np.array(masks, U), [r.item_id for r in rows], lists, np.array([r.answer for r in rows]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def verdict(window: list[int], k: int) -> tuple[int, bool]:
-        *_, lists, masks, answers = shared.value
-        n = len(lists[k])
-        lcs = common_subsequence(masks[k], n, window)
-        if n < SHORT:
-            return lcs, lcs == n and _holds(window, lists[k])
-        return lcs, lcs >= EXACT * n or (lcs >= PARAPHRASE * n and answers[k] > 0 and _holds(window, lists[k][n - answers[k] :]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, latent, embedded, count, need, least, items, lists, masks, _ = shared.value
+        terms, latent, embedded, count, need, least, masks, items, lists, answers = shared.value
         of, packed = _lookup(terms), count.view(np.uint64)  # eight passages' counts are added at once: none passes a byte
+        length = np.array([len(w) for w in lists])
+        # of each term, and of no term, with each passage: their product in the space, the place of the mask
+        product, slot = (np.zeros((len(terms) + 1, len(lists)), t) for t in (np.float32, np.uint16))
+        product[:-1] = latent @ embedded.T
+        slot[:-1].T[count[:, : len(lists)].T > 0] = np.arange(1, len(masks))
         for batch in batches:
             ids = batch.column("doc_id")
-            for lo, hi, buf, off in chunks(batch):
+            for lo, hi, buf, off in chunks(batch, limit=CHUNK):
                 h, doc, _ = plain_words(buf, off)
                 at = of(h)
-                hit = np.flatnonzero(at >= 0)
-                if not len(hit):
+                if not (at >= 0).any():
                     continue
                 size = np.bincount(doc, minlength=hi - lo)
                 first = np.cumsum(size) - size
-                n_windows = np.maximum(-(-size // STRIDE), 1)  # the last ones are shorter
-                base = np.cumsum(n_windows) - n_windows
-                j = (hit - first[doc[hit]]) // STRIDE
-                keys = []
-                for back in range(SPAN // STRIDE):
-                    k = j >= back
-                    keys.append((base[doc[hit[k]]] + j[k] - back) * len(terms) + at[hit[k]])
-                pair = np.unique(np.concatenate(keys))
-                window, term = pair // len(terms), pair % len(terms)
-                begin = np.flatnonzero(np.diff(window, prepend=-1))
+                n_cells = np.maximum(-(-size // STRIDE), 1)  # a window begins with each, the last ones are shorter
+                base = np.cumsum(n_cells + _RUNS - 1) - n_cells
+                before = previous(at)
+                cell = np.repeat(base, size) + (np.arange(len(h)) - np.repeat(first, size)) // STRIDE
+                term = np.append(np.where(at < 0, len(terms), at), np.full(SPAN, len(terms)))
+                met = np.append(before, np.full(SPAN, -1))
                 best: dict[tuple[int, int], tuple] = {}
-                for s in range(0, len(begin), 1024):
-                    b = begin[s : s + 1024]
-                    e = begin[s + 1024] if s + 1024 < len(begin) else len(term)
-                    held = np.add.reduceat(packed[term[b[0] : e]], b - b[0], axis=0).view(np.uint8)
-                    xs, ks = np.nonzero(held >= need)
-                    if not len(xs):
-                        continue
-                    some, of_some = np.unique(xs, return_inverse=True)
-                    n = np.append(b[1:], e)[some] - b[some]
-                    there = np.cumsum(n) - n
-                    z = np.add.reduceat(latent[term[np.repeat(b[some] - there, n) + np.arange(n.sum())]], there, axis=0)
-                    share = (z[of_some] * embedded[ks]).sum(axis=1)
-                    near = share >= least[ks]
-                    for x, k, part in zip(xs[near].tolist(), ks[near].tolist(), share[near].tolist(), strict=True):
-                        w = int(window[b[x]])
-                        d = int(np.searchsorted(base, w, side="right")) - 1
-                        start = (w - int(base[d])) * STRIDE
-                        span = h[first[d] + start : first[d] + min(start + SPAN, int(size[d]))].view(np.int64).tolist()
-                        lcs, leak = verdict(span, k)
-                        if leak:
-                            inside = [p for p, y in enumerate(span) if y in masks[k]]
-                            found = (lcs / len(lists[k]), lcs, len(lists[k]), min(max(part, 0.0), 1.0) ** 0.5, start + inside[0], inside[-1] - inside[0] + 1)
-                            key = (d, items[k])
+                for s, held in window_counts(at, before, cell, packed):
+                    near = np.flatnonzero(held.view(np.uint8) >= need)
+                    for x in range(0, len(near), PAIRS):
+                        window, ks = near[x : x + PAIRS] // len(need) + s, near[x : x + PAIRS] % len(need)
+                        d = np.searchsorted(base, window, side="right") - 1
+                        real = (d >= 0) & (window - base[d] < n_cells[d])  # others begin between documents
+                        window, ks, d = window[real], ks[real], d[real]
+                        start = (window - base[d]) * STRIDE
+                        begin, end = first[d] + start, first[d] + np.minimum(start + SPAN, size[d])
+                        at_word = begin + np.arange(SPAN)[:, None]
+                        within = np.where(at_word < end, term[at_word], len(terms))
+                        # the share of a window's projection, term by term
+                        asked = (product[within, ks] * (met[at_word] < begin)).sum(axis=0) >= least[ks]
+                        within, ks, d, start, begin, end = within[:, asked], ks[asked], d[asked], start[asked], begin[asked], end[asked]
+                        lcs, n = common_subsequences(masks[slot[within, ks]], length[ks]), length[ks]
+                        sure = (n >= SHORT) & (lcs >= EXACT * n)
+                        maybe = np.where(n < SHORT, lcs == n, (lcs >= PARAPHRASE * n) & (answers[ks] > 0))
+                        for i in np.flatnonzero(sure | maybe).tolist():
+                            k, there = int(ks[i]), within[: end[i] - begin[i], i]
+                            if not sure[i] and not _holds(h[begin[i] : end[i]].view(np.int64).tolist(), lists[k][0 if n[i] < SHORT else -int(answers[k]) :]):
+                                continue
+                            whole = np.unique(there[there < len(terms)])
+                            part = float((np.add.reduceat(latent[whole], [0], axis=0)[0] * embedded[k]).sum())
+                            inside = np.flatnonzero(slot[there, k])
+                            found = (int(lcs[i]) / int(n[i]), int(lcs[i]), int(n[i]), min(max(part, 0.0), 1.0) ** 0.5, int(start[i] + inside[0]), int(inside[-1] - inside[0] + 1))
+                            key = (int(d[i]), items[k])
                             if key not in best or found[:2] > best[key][:2]:
                                 best[key] = found
                 if best:

@@ -114,6 +114,107 @@ def test_common_subsequence():
         assert common_subsequence(masks, len(a), b) == t[-1][-1]
 
 
+def test_common_subsequences_at_once():
+    rng = random.Random(31)
+    pairs = []
+    for n in (1, 2, 7, 8, 33, 63, 64, 64):
+        for _ in range(6):
+            pairs.append(([rng.randrange(9) for _ in range(n)], [rng.randrange(12) for _ in range(96)]))
+    pairs += [(list(range(64)), list(range(64)) + [99] * 32), (list(range(64)), [99] * 96)]
+    want, masks = [], np.zeros((96, len(pairs)), np.uint64)
+    for i, (a, b) in enumerate(pairs):
+        bits = {x: sum(1 << j for j, y in enumerate(a) if y == x) for x in a}
+        want.append(common_subsequence(bits, len(a), b))
+        masks[:, i] = [bits.get(x, 0) for x in b]
+    assert op1.common_subsequences(masks, np.array([len(a) for a, _ in pairs])).tolist() == want
+
+
+def test_windows_add_up_each_term_of_a_cell_once(monkeypatch):
+    """A window holds three cells; its rows were added up once for each."""
+    monkeypatch.setattr(op1, "CELLS", 4)
+    rng = np.random.default_rng(12)
+    size = np.array([0, 1, 31, 32, 33, 500, 64, 0, 97])
+    at = rng.integers(-3, 40, size.sum())
+    packed = rng.integers(0, 9, (40, 2)).astype(np.uint64)
+    first, n_cells = np.cumsum(size) - size, np.maximum(-(-size // op1.STRIDE), 1)
+    base = np.cumsum(n_cells + 2) - n_cells
+    cell = np.concatenate([base[d] + np.arange(n) // op1.STRIDE for d, n in enumerate(size)])
+    asked = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, k):
+            asked.append(k)
+            return np.asarray(self)[k]
+
+    got = {}
+    for s, held in op1.window_counts(at, op1.previous(at), cell, packed.view(Counted)):
+        got |= {s + k: row.tolist() for k, row in enumerate(held)}
+    for d, n in enumerate(size):
+        for k in range(int(n_cells[d]) if n else 0):
+            held = set(at[first[d] + k * op1.STRIDE : first[d] + min(n, k * op1.STRIDE + op1.SPAN)].tolist()) - {-1, -2, -3}
+            assert got[int(base[d]) + k] == packed[sorted(held)].sum(axis=0).tolist()
+    # slices of four cells read two cells of the next slice again
+    alone = sum(len(set(at[(cell == c) & (at >= 0)].tolist())) for c in set(cell.tolist()))
+    assert alone <= sum(map(len, asked)) <= 1.6 * alone
+
+
+def test_lookup_of_terms_with_the_same_leading_bits():
+    rng = random.Random(2)
+    terms = np.unique(np.array([*range(50), *range(2**63, 2**63 + 9), *range(2**64 - 7, 2**64), *(rng.getrandbits(64) for _ in range(200))], np.uint64))
+    asked = np.concatenate([terms, terms + np.uint64(1), terms - np.uint64(1)])
+    number = {int(x): k for k, x in enumerate(terms)}
+    assert op1._lookup(terms)(asked).tolist() == [number.get(int(x), -1) for x in asked]
+
+
+def brute_leaks(rows, items):
+    """Every passage against every window, by the rule itself."""
+    strip = lambda text: [(w.strip(MARKS), w[-1] in ".!?") for w in text.lower().split() if w.strip(MARKS)]
+    out = {}
+    for item, text in items:
+        words = strip(text)
+        a = [w for w, _ in words]
+        stops = [k for k, (_, stop) in enumerate(words[:-1]) if stop]
+        tail = a[-min(len(a), max(3, len(a) - 1 - stops[-1] if stops else len(a))) :]
+        masks = {x: sum(1 << j for j, y in enumerate(a) if y == x) for x in a}
+        for doc, body in rows:
+            b = [w for w, _ in strip(body)]
+            for start in range(0, max(len(b), 1), 32):
+                window = b[start : start + 96]
+                holds = lambda part: any(window[k : k + len(part)] == part for k in range(len(window)))  # noqa: B023, E731
+                lcs = common_subsequence(masks, len(a), window)
+                if (lcs == len(a) and holds(a)) if len(a) < 8 else lcs >= 0.7 * len(a) or (lcs >= 0.5 * len(a) and holds(tail)):
+                    inside = [p for p, w in enumerate(window) if w in masks]
+                    found = (lcs / len(a), lcs, len(a), start + inside[0], inside[-1] - inside[0] + 1)
+                    if found[:2] > out.get((doc, item), (0, 0))[:2]:
+                        out[doc, item] = found
+    return out
+
+
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def test_leaks_against_brute_force(spark):
+    """Few different words, so that windows meet terms again and most passages
+    share many words with most windows; documents of several chunks of text."""
+    rng = random.Random(41)
+    few = [prose(rng, 1) for _ in range(45)]
+    text = lambda n: " ".join(rng.choice(few) + rng.choice(("", "", "", ",", ".")) for _ in range(n))
+    items = [(k, text(n)) for k, n in enumerate((1, 3, 7, 8, 9, 15, 16, 24, 33, 48, 63, 64))]
+    items += [(20 + k, text(n) + ". " + text(4)) for k, n in enumerate((10, 20, 30, 59))]
+    rows = [(k, text(rng.choice((0, 1, 5, 31, 32, 33, 96, 97, 200, 400)))) for k in range(60)]
+    for k, (_, b) in enumerate(items):
+        w = b.split()
+        rows.append((100 + k, text(rng.randrange(90)) + " " + b.upper() + " " + text(rng.randrange(60))))
+        rows.append((150 + k, text(33) + " " + " ".join(x for j, x in enumerate(w) if j % 4 or j > len(w) - 5) + " " + text(10)))
+        rows.append((200 + k, text(20) + " " + " ".join(x if j % 2 or j > len(w) - 5 else "other" for j, x in enumerate(w))))
+    rows.append((300, text(300) + " " + " ".join(prose(rng, 1) + "x" for _ in range(45_000)) + " " + items[11][1]))
+    rows = [(i, " ".join(t.split())) for i, t in rows]
+    got = contamination(make(spark, rows).coalesce(1), spark.createDataFrame(items, ITEM)).collect()
+    want = brute_leaks(rows, items)
+    assert {(r.doc_id, r.item_id): (r.share, r.common_words, r.passage_words, r.start_word, r.n_words) for r in got} == want
+    assert len(got) == len(want) > 100 and all(0 < r.cosine <= 1 for r in got)
+
+
 def test_svd_spans_the_passages(spark):
     rng = np.random.default_rng(6)
     terms = np.unique(rng.integers(0, 2**63, 300)).astype(np.uint64)
