@@ -199,7 +199,8 @@ def randomised_svd(rows: DataFrame, terms: np.ndarray, weight: np.ndarray, rank:
 
 def common_subsequence(masks: dict[int, int], n: int, window: list[int]) -> int:
     """Length of the longest common subsequence with a passage of ``n`` words,
-    given the bit mask of each of its words (bit-parallel)."""
+    given the bit mask of each of its words (bit-parallel); the plain form of
+    ``common_subsequences``, which tests hold it against."""
     free = full = (1 << n) - 1
     for w in window:
         m = masks.get(w)
